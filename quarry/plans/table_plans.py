@@ -44,3 +44,299 @@ def items_without_detail_ranked(spark, sf):
                            F.col("item").try_cast("bigint").alias("item_long"))
     ranked = T.serial_number(typed, [F.col("item_long").asc_nulls_first(), F.col("item").asc()])
     return T.cap_rows(ranked, "serial", RANK_CAP)
+
+
+@query("keep_last_per_key", ops="O04 O44", sql="""
+SELECT event_id, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def keep_last_per_key(spark, sf):
+    from quarry.sources.io import read_table
+    from quarry.session import table_path
+
+    ev = read_table(spark, "parquet", table_path(sf, "events"))
+    last = T.keep_last(ev.select("user_id", "event_id", "ts", "event_type", "value", "props"),
+                       ["user_id"], ["ts", "event_id"])
+    return last.select("event_id", "user_id", "event_type", "value", "props")
+
+
+@query("distinct_rows", ops="O45", sql="""
+SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem
+""")
+def distinct_rows(spark, sf):
+    return load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus").distinct()
+
+
+@query("item_detail_join", ops="O36 O37 O24", sql="""
+SELECT CAST(o_orderkey AS VARCHAR) AS item, o_orderstatus AS status, o_totalprice,
+       CAST(l_orderkey AS VARCHAR) AS detail_item, l_linestatus AS detail_status, l_linenumber, l_quantity
+FROM orders JOIN lineitem ON CAST(o_orderkey AS VARCHAR) = CAST(l_orderkey AS VARCHAR)
+""")
+def item_detail_join(spark, sf):
+    items = load(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("item"),
+                                             F.col("o_orderstatus").alias("status"), "o_totalprice")
+    detail = load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("item"),
+                                                F.col("l_linestatus").alias("status"), "l_linenumber", "l_quantity")
+    return T.join_prefixed(items, detail, "item", "item", prefix="detail_")
+
+
+def _ip_points(spark, sf):
+    ev = load(spark, sf, "events")
+    ip = F.concat_ws(".", F.lit("10"), (F.col("user_id") % 4).cast("string"),
+                     (F.col("user_id") % 7).cast("string"), (F.col("user_id") % 256).cast("string"))
+    return ev.select("event_id", ip.alias("ip"))
+
+
+def _range_groups(spark, sf):
+    n = load(spark, sf, "nation")
+    k, r = F.col("n_nationkey"), F.col("n_regionkey").cast("string")
+    first = F.concat(F.lit("10.0."), r, F.lit("."), (k * 10).cast("string"),
+                     F.lit("-10.0."), r, F.lit("."), (k * 10 + 14).cast("string"))
+    lo2 = (k * 37) % 250
+    second = F.concat(F.lit("10.1.1."), lo2.cast("string"), F.lit("-10.1.1."), (lo2 + 5).cast("string"))
+    return n.select("n_nationkey", F.array(first, second).alias("ips"))
+
+
+_RANGE_SQL_PREFIX = """
+WITH p AS (
+  SELECT event_id, '10.' || (user_id % 4) || '.' || (user_id % 7) || '.' || (user_id % 256) AS ip FROM events),
+g AS (
+  SELECT n_nationkey, unnest([
+    '10.0.' || n_regionkey || '.' || (n_nationkey * 10) || '-10.0.' || n_regionkey || '.' || (n_nationkey * 10 + 14),
+    '10.1.1.' || ((n_nationkey * 37) % 250) || '-10.1.1.' || ((n_nationkey * 37) % 250 + 5)]) AS rng
+  FROM nation),
+b AS (
+  SELECT n_nationkey, split_part(rng, '-', 1) AS lo_addr, split_part(rng, '-', 2) AS hi_addr FROM g)
+"""
+
+
+@query("range_membership_join", ops="O40 O76 O77", sql=_RANGE_SQL_PREFIX + """
+SELECT DISTINCT p.event_id, p.ip, b.n_nationkey FROM p JOIN b
+  ON CAST(split_part(p.ip, '.', 4) AS INT)
+     BETWEEN CAST(split_part(b.lo_addr, '.', 4) AS INT) AND CAST(split_part(b.hi_addr, '.', 4) AS INT)
+""")
+def range_membership_join(spark, sf):
+    out = T.range_membership_join(_ip_points(spark, sf), _range_groups(spark, sf), "ip", "ips",
+                                  group_key=["n_nationkey"])
+    return out.select("event_id", "ip", "n_nationkey")
+
+
+def _ipnum(col: str) -> str:
+    return (f"(CAST(split_part({col}, '.', 1) AS BIGINT) * 16777216 + CAST(split_part({col}, '.', 2) AS BIGINT) * 65536"
+            f" + CAST(split_part({col}, '.', 3) AS BIGINT) * 256 + CAST(split_part({col}, '.', 4) AS BIGINT))")
+
+
+@query("range_membership_full", ops="O40 O76 (full address)", sql=_RANGE_SQL_PREFIX + f"""
+SELECT DISTINCT p.event_id, p.ip, b.n_nationkey FROM p JOIN b
+  ON {_ipnum('p.ip')} BETWEEN {_ipnum('b.lo_addr')} AND {_ipnum('b.hi_addr')}
+""")
+def range_membership_full(spark, sf):
+    out = T.range_membership_join(_ip_points(spark, sf), _range_groups(spark, sf), "ip", "ips",
+                                  group_key=["n_nationkey"], point_key=["event_id"], match="full")
+    return out.select("event_id", "ip", "n_nationkey")
+
+
+def graph_documents(spark, sf):
+    """Nested graph documents made from line items: two nodes per document
+    (part and supplier), with null names, empty label lists and null node
+    arrays where the source data had them."""
+    li = load(spark, sf, "lineitem")
+    part_node = F.struct(
+        F.col("l_partkey").cast("double").alias("id"),
+        F.struct(F.when(F.col("l_linenumber") == 3, F.lit(None).cast("string"))
+                 .otherwise(F.concat(F.lit("part-"), F.col("l_partkey").cast("string"))).alias("name")).alias("properties"),
+        F.array(F.when(F.col("l_returnflag") == "R", F.lit("Person")).otherwise(F.lit("Company")), F.lit("Node")).alias("labels"))
+    supp_node = F.struct(
+        F.col("l_suppkey").cast("double").alias("id"),
+        F.struct(F.concat(F.lit("supp-"), F.col("l_suppkey").cast("string")).alias("name")).alias("properties"),
+        F.when(F.col("l_linestatus") == "O", F.array().cast("array<string>")).otherwise(F.array(F.lit("Company"))).alias("labels"))
+    nodes = F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.array(part_node, supp_node))
+    return li.select(F.struct(F.struct(nodes.alias("nodes")).alias("data")).alias("content"))
+
+
+@query("flatten_nested", ops="O23 O30 O31 O39 O45 O60 O73 O74", sql="""
+SELECT DISTINCT CAST(l_partkey AS DOUBLE) AS node_id,
+       CASE WHEN l_linenumber = 3 THEN NULL ELSE 'part-' || l_partkey END AS name
+FROM lineitem WHERE l_linenumber <> 7 AND l_returnflag <> 'R'
+UNION
+SELECT DISTINCT CAST(l_suppkey AS DOUBLE) AS node_id, 'supp-' || l_suppkey AS name
+FROM lineitem WHERE l_linenumber <> 7 AND l_linestatus <> 'O'
+""")
+def flatten_nested(spark, sf):
+    from quarry.operators.clean import flatten_company_nodes
+
+    return flatten_company_nodes(graph_documents(spark, sf)).select("node_id", "name")
+
+
+@query("pivot_popular", ops="O47 O48 O61 O78", sql="""
+WITH tops AS (
+  SELECT event_type, row_number() OVER (ORDER BY count(*) DESC, event_type) AS rk
+  FROM events GROUP BY event_type QUALIFY rk <= 3)
+SELECT e.user_id,
+       COALESCE(arg_min(e.value, e.ts) FILTER (WHERE t.rk = 1), 3.0) AS top1,
+       COALESCE(arg_min(e.value, e.ts) FILTER (WHERE t.rk = 2), 3.0) AS top2,
+       COALESCE(arg_min(e.value, e.ts) FILTER (WHERE t.rk = 3), 3.0) AS top3
+FROM events e LEFT JOIN tops t ON e.event_type = t.event_type
+GROUP BY e.user_id
+""")
+def pivot_popular(spark, sf):
+    ev = load(spark, sf, "events").select("user_id", "event_type", "value", "ts")
+    vals = T.top_values(ev, "event_type", 3)
+    return T.pivot_first(ev, "user_id", "event_type", "value", "ts", vals, 3.0,
+                         names=[f"top{i + 1}" for i in range(len(vals))])
+
+
+def ratings(spark, sf):
+    """Ratings from line items: user = customer, item = part, rating 1..5."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return j.select(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"),
+                    (F.lit(1) + F.col("l_quantity").cast("bigint") % 5).cast("double").alias("rating"))
+
+
+_RATINGS_SQL = """
+WITH ratings AS (
+  SELECT o_custkey AS "user", l_partkey AS item, CAST(1 + CAST(l_quantity AS BIGINT) % 5 AS DOUBLE) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+
+
+@query("rating_profile", ops="O49 O50", sql=_RATINGS_SQL + """
+SELECT count(rating) AS n, round(avg(rating), 6) AS mean, round(stddev_pop(rating), 6) AS stdev,
+       max(rating) AS max, min(rating) AS min FROM ratings
+""")
+def rating_profile(spark, sf):
+    s = T.numeric_summary(ratings(spark, sf), "rating")
+    return s.select("n", F.round("mean", 6).alias("mean"), F.round("stdev", 6).alias("stdev"), "max", "min")
+
+
+@query("value_histogram", ops="O51", sql=_RATINGS_SQL + """
+SELECT rating, count(*) AS count FROM ratings GROUP BY rating
+""")
+def value_histogram(spark, sf):
+    return T.value_histogram(ratings(spark, sf), "rating")
+
+
+@query("group_sizes", ops="O47 O52", sql="""
+SELECT o_custkey, count(*) AS size FROM orders GROUP BY o_custkey
+""")
+def group_sizes(spark, sf):
+    return T.group_sizes(load(spark, sf, "orders"), "o_custkey")
+
+
+@query("column_cardinality", ops="O53", sql="""
+SELECT count(DISTINCT c_nationkey) AS distinct_c_nationkey, count(DISTINCT c_mktsegment) AS distinct_c_mktsegment,
+       count(DISTINCT c_name) AS distinct_c_name, count(DISTINCT c_acctbal) AS distinct_c_acctbal
+FROM customer
+""")
+def column_cardinality(spark, sf):
+    return T.column_cardinality(load(spark, sf, "customer"), ["c_nationkey", "c_mktsegment", "c_name", "c_acctbal"])
+
+
+@query("age_histogram", ops="O54", sql="""
+WITH y AS (SELECT TRY_CAST(split_part(strftime(o_orderdate, '%d-%b-%Y'), '-', 3) AS INT) AS yr FROM orders)
+SELECT 1998 - yr AS age, count(*) AS count FROM y WHERE yr IS NOT NULL AND yr <> 1990 GROUP BY 1
+""")
+def age_histogram(spark, sf):
+    o = load(spark, sf, "orders").select(F.date_format("o_orderdate", "dd-MMM-yyyy").alias("release"))
+    return T.age_histogram(o, "release", ref_year=1998, sentinel=1990)
+
+
+@query("sql_count", ops="O49", sql="""
+SELECT count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+""")
+def sql_count(spark, sf):
+    ratings(spark, sf).createOrReplaceTempView("ratings")
+    return spark.sql("SELECT count(0) AS n FROM ratings")
+
+
+@query("composite_sort", ops="O62", sql="""
+SELECT l_suppkey AS first, l_partkey AS second, l_orderkey, l_linenumber FROM lineitem
+ORDER BY first, second, l_orderkey, l_linenumber
+""")
+def composite_sort(spark, sf):
+    li = load(spark, sf, "lineitem").select(F.col("l_suppkey").alias("first"), F.col("l_partkey").alias("second"),
+                                            "l_orderkey", "l_linenumber")
+    return T.composite_sort(li, "first", "second", "l_orderkey", "l_linenumber")
+
+
+@query("observed_counters", ops="O56", sql="""
+SELECT CAST(sum(l_linenumber) AS BIGINT) AS sum_linenumber, count(*) AS n, min(l_quantity) AS min_quantity,
+       max(l_quantity) AS max_quantity, list_sort(list(DISTINCT l_returnflag)) AS flags
+FROM lineitem
+""")
+def observed_counters(spark, sf):
+    li = load(spark, sf, "lineitem")
+    # ``flags`` collects a column whose domain is fixed (three return flags).
+    m = T.observed_counters(li, {
+        "sum_linenumber": F.sum("l_linenumber"), "n": F.count(F.lit(1)),
+        "min_quantity": F.min("l_quantity"), "max_quantity": F.max("l_quantity"),
+        "flags": F.sort_array(F.collect_set("l_returnflag"))})
+    return spark.createDataFrame(
+        [(m["sum_linenumber"], m["n"], m["min_quantity"], m["max_quantity"], list(m["flags"]))],
+        "sum_linenumber bigint, n bigint, min_quantity double, max_quantity double, flags array<string>")
+
+
+@query("top_rows_per_user", ops="O65", sql="""
+SELECT o_custkey, o_orderkey, o_totalprice,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank
+FROM orders QUALIFY rank <= 10
+""")
+def top_rows_per_user(spark, sf):
+    o = load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return T.top_per_group(o, "o_custkey", [F.desc("o_totalprice"), F.asc("o_orderkey")], 10)
+
+
+@query("key_frequency", ops="O66", sql="""
+SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey ORDER BY count DESC, o_custkey
+""")
+def key_frequency(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "o_custkey")
+
+
+@query("titles_lookup", ops="O43", sql="""
+WITH t AS (SELECT p_partkey, p_name FROM part
+           QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_name DESC) = 1)
+SELECT l_orderkey, l_linenumber, l_partkey, t.p_name
+FROM lineitem LEFT JOIN t ON l_partkey = t.p_partkey
+""")
+def titles_lookup(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    titles = load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return T.lookup_titles(li, titles, "l_partkey", "p_name").select("l_orderkey", "l_linenumber", "l_partkey", "p_name")
+
+
+_CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+
+@query("export_csv", ops="O12 O21", sql=_CUSTOMER_SQL)
+def export_csv(spark, sf):
+    from quarry.session import shared_path
+    from quarry.sources import io
+
+    c = load(spark, sf, "customer")
+    path = shared_path(spark, "export_csv")
+    io.export_csv(c, path, files=10)
+    return io.read_table(spark, "csv", path, schema=c.schema, header="true")
+
+
+@query("export_parquet", ops="O10 O11 O13 O14", sql=_CUSTOMER_SQL)
+def export_parquet(spark, sf):
+    from quarry.session import shared_path
+    from quarry.sources import io
+
+    c = load(spark, sf, "customer")
+    path = shared_path(spark, "export_parquet")
+    io.export_parquet(c, path, files=8)
+    return io.read_table(spark, "parquet", path)
+
+
+@query("ordinal_scan", ops="O05 O20", sql="""
+SELECT c_custkey, c_nationkey FROM customer
+""")
+def ordinal_scan(spark, sf):
+    from quarry.sources.io import ordinal_scan as scan
+
+    return scan(load(spark, sf, "customer"), [0, 2])
