@@ -1,6 +1,6 @@
 """Driver queries over the supplied tables, each with its DuckDB oracle."""
 
-from quarry.plans import clean_plans, stream_plans, table_plans, text_plans  # noqa: F401  (register queries)
+from quarry.plans import clean_plans, similar_plans, stream_plans, table_plans, text_plans  # noqa: F401  (register queries)
 from quarry.plans.registry import REGISTRY
 
 
