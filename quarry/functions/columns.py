@@ -40,11 +40,14 @@ def octet(addr: str | Column, i: int) -> Column:
 
 
 def address_number(addr: str | Column) -> Column:
-    """32-bit value of a dotted address as bigint; null when any octet is bad."""
-    parts = [octet(addr, i).cast("bigint") for i in range(4)]
-    n = F.size(F.split(col_of(addr), "[.]"))
-    v = parts[0] * (1 << 24) + parts[1] * (1 << 16) + parts[2] * (1 << 8) + parts[3]
-    return F.when(n == 4, v)
+    """32-bit value of a dotted address as bigint; null unless there are four
+    octets in 0..255. One ``split`` folded by ``aggregate``, so the parse is
+    not repeated when Catalyst copies the expression into inferred filters."""
+    parts = F.split(col_of(addr), "[.]")
+    value = F.aggregate(parts, F.lit(0).cast("bigint"),
+                        lambda acc, x: acc * 256 + x.try_cast("int").cast("bigint"))
+    ok = (F.size(parts) == 4) & F.forall(parts, lambda x: x.try_cast("int").between(0, 255))
+    return F.when(ok, value)
 
 
 def dot(a: str | Column, b: str | Column) -> Column:

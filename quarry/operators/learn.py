@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer, Tokenizer,
+from pyspark.ml.feature import (HashingTF, IDF, IndexToString, SQLTransformer, StringIndexer, Tokenizer,
                                 VectorAssembler, VectorIndexer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +21,18 @@ from quarry.operators.text import WORD_PATTERN
 
 
 def text_features(text_col: str = "text", num_features: int = 5000, raw_tokens: bool = False) -> list:
-    """Tokens -> hashed term frequencies -> IDF."""
+    """Tokens -> hashed term frequencies -> IDF.
+
+    The token stage is a ``SQLTransformer`` over ``regexp_extract_all``, so
+    it runs in generated code and is saved with the model; ``raw_tokens``
+    uses the whitespace ``Tokenizer`` for pre-spaced text instead.
+    """
     if raw_tokens:
         tok = Tokenizer(inputCol=text_col, outputCol="words")
     else:
-        tok = RegexTokenizer(inputCol=text_col, outputCol="words", pattern=WORD_PATTERN, gaps=False,
-                             toLowercase=True)
+        pat = WORD_PATTERN.replace("\\", "\\\\")
+        tok = SQLTransformer(statement=f"SELECT *, regexp_extract_all(lower(`{text_col}`), '{pat}', 0) AS words "
+                                       "FROM __THIS__")
     return [tok, HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
             IDF(inputCol="tf", outputCol="features")]
 

@@ -22,19 +22,20 @@ STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "h
               "its", "of", "on", "that", "the", "to", "was", "were", "will", "with"]
 
 # Word runs of letters; Han characters are single tokens.
-WORD_PATTERN = r"\p{IsHan}|[\p{L}&&[^\p{IsHan}]]+"
+WORD_PATTERN = r"[\p{L}&&[^\p{IsHan}]]+|\p{IsHan}"
 
 
 def text_lines(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Whole texts to lines, as a line reader would see the file (O01):
     ``\\n`` separates lines and one final line break ends the last line."""
     body = F.regexp_replace(F.col(text), r"\n\z", "")
-    return df.select(*keep, F.explode(F.split(body, "\n")).alias("line"))
+    return df.select(*keep, F.explode_outer(F.split(body, "\n")).alias("line")).where(F.col("line").isNotNull())
 
 
 def words(lines: DataFrame, line: str = "line", sep: str = " ", keep: Sequence[str] = ()) -> DataFrame:
     """Split lines on a separator and explode (O75), JVM split rules."""
-    return lines.select(*keep, F.explode(split_words(F.col(line), sep)).alias("word"))
+    return (lines.select(*keep, F.explode_outer(split_words(F.col(line), sep)).alias("word"))
+            .where(F.col("word").isNotNull()))
 
 
 def word_count(words_df: DataFrame, word: str = "word") -> DataFrame:
@@ -70,14 +71,23 @@ def whitespace_tokens(text: str | Column) -> Column:
 
 
 def term_counts(docs: DataFrame, doc_id: str, toks: str) -> DataFrame:
-    """(doc_id, term, tf): raw term counts per document (O88, exact-term form)."""
-    return (docs.select(doc_id, F.explode(toks).alias("term"))
+    """(doc_id, term, tf): raw term counts per document (O88, exact-term form).
+
+    ``explode_outer`` (then dropping its null row) rather than ``explode``:
+    the latter lets Catalyst infer ``size(tokens) > 0`` and push it, with the
+    whole tokeniser, below an earlier repartition into the scan stage.
+    """
+    return (docs.select(doc_id, F.explode_outer(toks).alias("term")).where(F.col("term").isNotNull())
             .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def idf_table(tf: DataFrame, doc_id: str, n_docs: int) -> DataFrame:
-    """(term, idf) with ``idf = ln((N + 1) / (df + 1))``, Spark's IDF formula."""
-    return (tf.groupBy("term").agg(F.count(doc_id).alias("df"))
+    """(term, idf) with ``idf = ln((N + 1) / (df + 1))``, Spark's IDF formula.
+
+    ``tf`` has one row per (doc, term), so a row count per term is the
+    document frequency.
+    """
+    return (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
             .select("term", F.log((F.lit(float(n_docs + 1))) / (F.col("df") + 1)).alias("idf")))
 
 
@@ -113,7 +123,8 @@ class ExactNaiveBayes:
     def fit(self, tf: DataFrame, labels: DataFrame, doc_id: str, label: str) -> "ExactNaiveBayes":
         lam = self.lam
         lt = tf.join(labels.select(doc_id, label), doc_id)
-        self.counts = (lt.groupBy(label, "term").agg(F.sum("tf").alias("cnt")))
+        # (class, term) counts are read by the fit and by every scoring pass.
+        self.counts = lt.groupBy(label, "term").agg(F.sum("tf").alias("cnt")).persist()
         vocab = self.counts.select("term").distinct().count()
         per_class = {r[0]: (r[1], r[2]) for r in
                      labels.groupBy(label).agg(F.count(F.lit(1)).alias("n")).join(

@@ -126,15 +126,23 @@ def als_top_items(spark, sf):
 
 
 def _docs_labels(spark, sf):
-    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    d = load(spark, sf, "documents", spread=True).select("doc_id", "text", "lang")
     return d.join(load(spark, sf, "labels").select("doc_id", "toxic"), "doc_id")
 
 
 @query("classify_spam_lr", ops="O85 O88 O89 O90 O93 O94")
 def classify_spam_lr(spark, sf):
+    from quarry.session import shared_path
+
     d = _docs_labels(spark, sf).withColumn("label", F.col("toxic").cast("double"))
     train = _split("doc_id")
-    model = L.text_classifier("lr", num_features=5000).fit(d.where(train))
+    fitted = L.text_classifier("lr", num_features=5000).fit(d.where(train))
+    # Train, save, and score with the loaded model (O17), as the source's
+    # train and test programs do. The loaded model also carries no training
+    # summary, which would tie the scoring closure to the session.
+    path = shared_path(spark, "model_lr")
+    L.save(fitted, path)
+    model = L.load(path)
     return model.transform(d.where(~train)).select("doc_id", "label", "prediction")
 
 
@@ -143,7 +151,7 @@ def classify_lang_nb(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
 
-    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    d = load(spark, sf, "documents", spread=True).select("doc_id", "text", "lang")
     train = _split("doc_id")
     pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label"),
                             L.text_classifier("nb", num_features=5000)])
@@ -153,7 +161,7 @@ def classify_lang_nb(spark, sf):
 
 @query("classify_tree", ops="O32 O33 O100 O101 O102 O103 O104")
 def classify_tree(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = load(spark, sf, "lineitem", spread=True)
     # Records arrive as comma-separated lines; only 5-field lines are kept.
     line = F.concat_ws(",", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     lines = li.select("l_orderkey", "l_linenumber", line.alias("value"))
@@ -168,11 +176,11 @@ def classify_tree(spark, sf):
 
 @query("kmeans_docs", ops="O96 O97 O98 O99")
 def kmeans_docs(spark, sf):
-    d = load(spark, sf, "documents")
+    d = load(spark, sf, "documents", spread=True)
     lines = d.select(F.concat(F.col("lang"), F.col("doc_id").cast("string"), F.lit(".txt\t"), F.col("text")).alias("value"))
     named = named_documents(lines)
-    # Rows of one class (first character of the name) share a partition.
-    named = named.repartition(8, F.substring("name", 1, 1))
+    # Rows of one class (first character of the name) share a partition.
+    named = named.repartition(spark.sparkContext.defaultParallelism, F.substring("name", 1, 1))
     model = L.kmeans_pipeline("content", k=10, seed=1, num_features=6000).fit(named)
     return model.transform(named).select("name", F.col("prediction").alias("cluster"))
 

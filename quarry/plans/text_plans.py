@@ -27,13 +27,13 @@ w AS (SELECT unnest(ws) AS word FROM toks)
 SELECT word, count(*) AS count FROM w GROUP BY word ORDER BY count DESC, word LIMIT 20
 """)
 def word_count_top(spark, sf):
-    docs = load(spark, sf, "documents").select("text")
+    docs = load(spark, sf, "documents", spread=True).select("text")
     counts = X.word_count(X.words(X.text_lines(docs)))
     return counts.orderBy(F.desc("count"), F.asc("word")).limit(20)
 
 
 def doc_terms(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", X.tokens("text").alias("toks"))
+    docs = load(spark, sf, "documents", spread=True).select("doc_id", X.tokens("text").alias("toks"))
     return X.term_counts(docs, "doc_id", "toks")
 
 
@@ -77,7 +77,8 @@ SELECT doc_id, lang, arg_max(cls, score) AS prediction FROM sc GROUP BY doc_id,
 def naive_bayes_scores(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "lang")
     train = F.col("doc_id") % 10 < 7
-    tf = doc_terms(spark, sf)
+    # Term counts feed the fit (three aggregates) and the scoring: tokenise once.
+    tf = doc_terms(spark, sf).persist()
     train_docs = docs.where(train)
     model = X.ExactNaiveBayes(1.0).fit(tf.join(train_docs.select("doc_id"), "doc_id", "left_semi"),
                                        train_docs, "doc_id", "lang")

@@ -16,9 +16,31 @@ from pyspark.sql import types as T
 from quarry.session import table_path
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the supplied tables (parquet, schema from the file)."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One of the supplied tables (parquet, schema from the file).
+
+    ``spread`` is for CPU-heavy row work (tokenising, parsing): see ``spread``.
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism when the input is
+    fewer files than cores (a file without inner splits is read by one task).
+
+    A large table already arrives in many splits and is returned as it is,
+    so no shuffle is added at scale.
+    """
+    sc = df.sparkSession.sparkContext
+    par = sc.defaultParallelism
+    try:
+        files = df.inputFiles()
+    except Exception:
+        return df
+    if 0 < len(files) < par:
+        return df.repartition(par)
+    return df
 
 
 def read_table(spark: SparkSession, fmt: str, path: str | None = None,
