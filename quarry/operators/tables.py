@@ -185,13 +185,15 @@ def pivot_first(df: DataFrame, row_key: str, pivot_col: str, value: str, order:
     """Pivot over a given value list, earliest ``value`` per cell, ``default`` when absent.
 
     ``first`` in the source is order-dependent; ``min_by(value, order)`` fixes
-    the answer. Passing the value list saves the distinct-values job.
+    the answer. Passing the value list saves the distinct-values job. The
+    default is applied after the pivot: Spark aggregates per (row, pivot
+    value) first, so a default inside the aggregate would never see the
+    cells that have no rows.
     """
-    agg = F.coalesce(F.min_by(F.col(value), F.col(order)), F.lit(default))
-    out = df.groupBy(row_key).pivot(pivot_col, list(values)).agg(agg)
-    if names:
-        out = out.select(row_key, *[F.col(f"`{v}`").alias(n) for v, n in zip(values, names)])
-    return out
+    names = list(names) if names else [str(v) for v in values]
+    out = df.groupBy(row_key).pivot(pivot_col, list(values)).agg(F.min_by(F.col(value), F.col(order)))
+    return out.select(row_key, *[F.coalesce(F.col(f"`{v}`"), F.lit(default)).alias(n)
+                                 for v, n in zip(values, names)])
 
 
 # ---------------------------------------------------------------- profiles

@@ -1,0 +1,21 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from quarry.session import get_session
+
+    s = get_session("local[*]", 8, app_name="quarry-tests", extra={"spark.driver.memory": "4g"})
+    yield s
+    s.stop()
+
+
+@pytest.fixture(scope="session")
+def sf001():
+    return "/root/testdata/sf0.001"
