@@ -241,6 +241,12 @@ def observed_counters(df: DataFrame, metrics: dict[str, Column], name: str = "co
 
     ``DataFrame.observe`` merges the partial values on the executors; only the
     final metric row reaches the driver. The pass is a ``noop`` write.
+
+    Give it a frame read through its own session (``spark.newSession()``,
+    same cluster) when the main session later scores models that keep a
+    training summary: in Spark 4.1 registering an ``Observation`` leaves the
+    session unserialisable, and such models capture the session in their
+    scoring closures.
     """
     obs = Observation(name)
     observed = df.observe(obs, *[m.alias(k) for k, m in metrics.items()])

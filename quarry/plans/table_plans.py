@@ -267,7 +267,8 @@ SELECT CAST(sum(l_linenumber) AS BIGINT) AS sum_linenumber, count(*) AS n, min(l
 FROM lineitem
 """)
 def observed_counters(spark, sf):
-    li = load(spark, sf, "lineitem")
+    # The counting pass runs in a sibling session (same cluster), see T.observed_counters.
+    li = load(spark.newSession(), sf, "lineitem")
     # ``flags`` collects a column whose domain is fixed (three return flags).
     m = T.observed_counters(li, {
         "sum_linenumber": F.sum("l_linenumber"), "n": F.count(F.lit(1)),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,8 +152,6 @@ def read_mail_corpus(spark: SparkSession, root_glob: str, index: DataFrame,
     Returns (folder, key, label, text). Decoding runs in an Arrow UDF because
     Spark's ``decode`` only knows the legacy charsets behind a flag.
     """
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def _decode(b: pd.Series) -> pd.Series:
         return b.map(lambda x: None if x is None else

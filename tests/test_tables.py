@@ -94,7 +94,7 @@ def test_histograms(spark):
 
 
 def test_observed_counters_one_pass(spark):
-    df = spark.range(1, 11, numPartitions=3)
+    df = spark.newSession().range(1, 11, numPartitions=3)
     m = T.observed_counters(df, {"total": F.sum("id"), "values": F.sort_array(F.collect_list("id"))})
     assert m["total"] == 55
     assert list(m["values"]) == list(range(1, 11))
