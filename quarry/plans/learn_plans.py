@@ -49,7 +49,8 @@ def implicit_error(spark, sf):
 def _recs(r):
     """Predicted (user, item, score): each rated item and its successor id,
     scored by a fixed formula; one candidate row per rating at most."""
-    cand = r.select("user", "item").unionByName(r.select("user", (F.col("item") + 1).alias("item"))).distinct()
+    pairs = r.groupBy("user", "item").agg(F.count(F.lit(1)).alias("_cnt"))
+    cand = pairs.select("user", "item").unionByName(pairs.select("user", (F.col("item") + 1).alias("item"))).distinct()
     return cand.withColumn("score", ((F.col("user") * 31 + F.col("item") * 17) % 101).cast("double"))
 
 
@@ -134,7 +135,7 @@ def _docs_labels(spark, sf):
 def classify_spam_lr(spark, sf):
     from quarry.session import shared_path
 
-    d = _docs_labels(spark, sf).withColumn("label", F.col("toxic").cast("double"))
+    d = _docs_labels(spark, sf).withColumn("label", F.col("toxic").cast("double")).persist()
     train = _split("doc_id")
     fitted = L.text_classifier("lr", num_features=5000).fit(d.where(train))
     # Train, save, and score with the loaded model (O17), as the source's
@@ -151,7 +152,7 @@ def classify_lang_nb(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
 
-    d = load(spark, sf, "documents", spread=True).select("doc_id", "text", "lang")
+    d = load(spark, sf, "documents", spread=True).select("doc_id", "text", "lang").persist()
     train = _split("doc_id")
     pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label"),
                             L.text_classifier("nb", num_features=5000)])
@@ -169,6 +170,8 @@ def classify_tree(spark, sf):
     rec = lines.where(F.size(parts) == 5).select(
         "l_orderkey", "l_linenumber", *[F.get(parts, i).try_cast("double").alias(f"f{i}") for i in range(4)],
         F.get(parts, 4).alias("flag"))
+    # Indexers and the tree make several passes: parse the lines once.
+    rec = rec.persist()
     train = _split(F.struct("l_orderkey", "l_linenumber"))
     model = L.fit_tree(rec.where(train), ["f0", "f1", "f2", "f3"], "flag", max_depth=5)
     return model.transform(rec.where(~train)).select("l_orderkey", "l_linenumber", "flag", "predictedLabel")
@@ -180,7 +183,7 @@ def kmeans_docs(spark, sf):
     lines = d.select(F.concat(F.col("lang"), F.col("doc_id").cast("string"), F.lit(".txt\t"), F.col("text")).alias("value"))
     named = named_documents(lines)
     # Rows of one class (first character of the name) share a partition.
-    named = named.repartition(spark.sparkContext.defaultParallelism, F.substring("name", 1, 1))
+    named = named.repartition(spark.sparkContext.defaultParallelism, F.substring("name", 1, 1)).persist()
     model = L.kmeans_pipeline("content", k=10, seed=1, num_features=6000).fit(named)
     return model.transform(named).select("name", F.col("prediction").alias("cluster"))
 
