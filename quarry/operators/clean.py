@@ -87,7 +87,7 @@ def first_seen(batch: DataFrame, registry: DataFrame, key: Sequence[str], order:
     if reject_default is not None:
         batch = batch.where(F.col(key[0]) != reject_default)
     firsts = keep_first(batch, key, order)
-    return firsts.join(registry.select(*key).distinct(), list(key), "left_anti")
+    return firsts.join(registry.select(*key), list(key), "left_anti")
 
 
 def flatten_company_nodes(docs: DataFrame, label: str = "Company") -> DataFrame:

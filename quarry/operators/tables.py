@@ -129,7 +129,7 @@ def cap_rows(df: DataFrame, serial: str, n: int) -> DataFrame:
 
 def range_membership_join(points: DataFrame, groups: DataFrame, ip: str, ranges: str,
                           group_key: Sequence[str], point_key: Sequence[str] | None = None,
-                          match: str = "last_octet") -> DataFrame:
+                          match: str = "last_octet", salt_buckets: int = 1) -> DataFrame:
     """Points whose address falls in any ``a.b.c.lo-a.b.c.hi`` range of a group.
 
     ``match="last_octet"`` reproduces the source: only the fourth octet counts.
@@ -139,6 +139,12 @@ def range_membership_join(points: DataFrame, groups: DataFrame, ip: str, ranges:
     ``match="full"`` compares the 32-bit address: ranges are exploded into
     their /24 blocks, equi-joined on the block, then filtered by ``between``,
     and pairs are deduplicated on the point key.
+
+    The exploded group side is usually small and AQE broadcasts it. When it
+    is not, the octet key has only 256 values, which would cap the join at
+    256 tasks: ``salt_buckets > 1`` spreads each key over that many buckets,
+    the point side by a hash of the point (repeatable on retry), the group
+    side copied once per bucket.
     """
     g = groups.select(*[F.col(c) for c in groups.columns], F.explode_outer(F.col(ranges)).alias("_rng"))
     lo_addr = F.get(F.split("_rng", "-"), 0)
@@ -151,6 +157,10 @@ def range_membership_join(points: DataFrame, groups: DataFrame, ip: str, ranges:
              .select(*keep, F.explode(F.sequence("_lo", "_hi")).alias("_oct"))
              .dropDuplicates([*group_key, "_oct"]))
         p = points.withColumn("_oct", octet(ip, 3))
+        if salt_buckets > 1:
+            p = p.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt_buckets)))
+            g = g.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+            return p.join(g, ["_oct", "_salt"]).drop("_oct", "_salt")
         return p.join(g, "_oct").drop("_oct")
     if match != "full":
         raise ValueError("match must be 'last_octet' or 'full'")

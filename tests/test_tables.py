@@ -56,6 +56,8 @@ def test_range_membership_last_octet(spark):
     out = {(r.id, r.g) for r in T.range_membership_join(pts, _groups(spark), "ip", "ips", ["g"]).collect()}
     # 172.16.0.150 matches group 3 on the last octet alone, as in the source.
     assert out == {(1, 1), (1, 2), (2, 2), (3, 2), (4, 3)}
+    salted = T.range_membership_join(pts, _groups(spark), "ip", "ips", ["g"], salt_buckets=4)
+    assert {(r.id, r.g) for r in salted.collect()} == out
     # Row predicate form agrees.
     j = pts.join(_groups(spark), T.in_any_range(F.col("ip"), F.col("ips")))
     assert {(r.id, r.g) for r in j.collect()} == out
