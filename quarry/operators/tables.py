@@ -30,7 +30,7 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order``.
 
-    The reference keeps the last row in arrival order, which a table does not
+    The source job keeps the last row in arrival order, which a table does not
     have; the caller names the order, and with none every non-key column is
     the order (H4). ``max_by`` over a struct is partially aggregated on the
     map side, so a key holding a third of the rows is reduced to one row per
