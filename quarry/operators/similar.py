@@ -9,6 +9,7 @@ verify each candidate with the exact score.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ def _segment(length, d, i):
     return start, seg_len
 
 
-def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: bool = True) -> DataFrame:
+def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: bool = True,
+                    strict: bool = False) -> DataFrame:
     """All pairs (key_a < key_b) with ``1 - lev(a, b) / max(len) >= tau``.
 
     Segment filter: a pair within distance ``d`` of a string cut into
@@ -47,11 +49,23 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     compares code units equal up to +-32, which folds ASCII case; declared
     difference for other pairs). Empty strings have an undefined ratio
     (0/0) and never pair.
+
+    ``strict=True`` reproduces the source's comparator exactly: two code
+    units match when equal or 32 apart. That rule is not an equivalence, so
+    no normalisation reproduces it; candidates come from the same segment
+    filter on the strings mapped to ``code point mod 32`` (characters that
+    match under the rule share that value, so no pair is lost) and each
+    candidate is verified by the exact dynamic program in an Arrow UDF.
     """
     if not 0.0 < tau <= 1.0:
         raise ValueError("tau must be in (0, 1]")
-    t = F.lower(F.col(text)) if fold_case else F.col(text)
-    s = df.select(F.col(key).alias("k"), t.alias("t")).where(F.length("t") > 0).withColumn("L", F.length("t"))
+    if strict:
+        t = F.expr(f"concat_ws('', transform(split(`{text}`, ''), c -> chr(64 + ascii(c) % 32)))")
+        s = (df.select(F.col(key).alias("k"), t.alias("t"), F.col(text).alias("orig"))
+             .where(F.length("t") > 0).withColumn("L", F.length("t")))
+    else:
+        t = F.lower(F.col(text)) if fold_case else F.col(text)
+        s = df.select(F.col(key).alias("k"), t.alias("t")).where(F.length("t") > 0).withColumn("L", F.length("t"))
 
     # Index side: segments of each string as the longer (or equal) member.
     idx = (s.withColumn("d", _dmax(F.col("L"), tau))
@@ -77,10 +91,16 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     cand = (pr.join(idx, ["L", "i", "seg"]).where(F.col("k_short") != F.col("k_long"))
             .select(F.least("k_short", "k_long").alias("key_a"), F.greatest("k_short", "k_long").alias("key_b"))
             .distinct())
-    a = s.select(F.col("k").alias("key_a"), F.col("t").alias("ta"), F.col("L").alias("la"))
-    b = s.select(F.col("k").alias("key_b"), F.col("t").alias("tb"), F.col("L").alias("lb"))
+    src = "orig" if strict else "t"
+    a = s.select(F.col("k").alias("key_a"), F.col(src).alias("ta"), F.col("L").alias("la"))
+    b = s.select(F.col("k").alias("key_b"), F.col(src).alias("tb"), F.col("L").alias("lb"))
     v = cand.join(a, "key_a").join(b, "key_b")
     mx = F.greatest("la", "lb")
+    if strict:
+        v = v.withColumn("dist", _strict_distance("ta", "tb"))
+        ratio = F.lit(1.0) - F.col("dist") / mx
+        return (v.select("key_a", "key_b", "dist", ratio.alias("ratio"))
+                .where(F.col("ratio") >= F.lit(tau) - F.lit(_EPS)))
     v = v.withColumn("_thr", _dmax(mx, tau))
     v = v.withColumn("dist", F.expr("levenshtein(ta, tb, _thr)")).where(F.col("dist") >= 0)
     ratio = F.lit(1.0) - F.col("dist") / mx
@@ -88,6 +108,35 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
             .where(F.col("ratio") >= F.lit(tau) - F.lit(_EPS)))
 
 
+def _strict_pair_distance(a: str, b: str) -> int:
+    """Edit distance where two code units match when equal or 32 apart."""
+    n, m = len(a), len(b)
+    if n == 0:
+        return m
+    if m == 0:
+        return n
+    prev = list(range(m + 1))
+    bc = [ord(c) for c in b]
+    for i in range(1, n + 1):
+        ca = ord(a[i - 1])
+        cur = [i] + [0] * m
+        for j in range(1, m + 1):
+            cb = bc[j - 1]
+            cost = 0 if (ca == cb or ca == cb + 32 or ca + 32 == cb) else 1
+            cur[j] = min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + cost)
+        prev = cur
+    return prev[m]
+
+
+def _strict_batch(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_strict_pair_distance(x, y) for x, y in zip(a, b)], dtype="int32")
+
+
+def _strict_distance(a: str, b: str):
+    """Arrow UDF over candidate pairs (built on first use: needs a session)."""
+    return F.pandas_udf(_strict_batch, "int")(F.col(a), F.col(b))
+
+
 def edit_ratio(a, b, fold_case: bool = True):
     """Column form for one pair (O81): float ratio, NaN for two empty strings."""
     x, y = (F.lower(a), F.lower(b)) if fold_case else (a, b)

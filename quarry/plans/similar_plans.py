@@ -45,3 +45,10 @@ def char_cosine_pairs(spark, sf):
     out = S.char_cosine_join(_names(spark, sf), "p_name", "p_name", COSINE_TAU, char_class=S.LATIN_CLASS)
     return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"),
                       F.round("cosine", 6).alias("cosine"))
+
+
+@query("edit_ratio_strict_pairs", ops="O81 (strict +-32 comparator)")
+def edit_ratio_strict_pairs(spark, sf):
+    out = S.edit_ratio_join(_names(spark, sf), "p_name", "p_name", EDIT_TAU, strict=True)
+    return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"), "dist",
+                      F.round("ratio", 6).alias("ratio"))

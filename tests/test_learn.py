@@ -57,3 +57,13 @@ def test_kmeans_and_purity(spark):
     assert purity.count() == 2
     overall = L.overall_purity(purity).first().rate
     assert 0.5 <= overall <= 1.0
+
+
+def test_partition_by_first_char(spark):
+    df = spark.createDataFrame([("a1",), ("a2",), ("b1",), ("c9",)], "name string")
+    parts = L.partition_by_first_char(df, "name", 3).rdd.glom().collect()
+    by_char = {}
+    for i, rows in enumerate(parts):
+        for r in rows:
+            by_char.setdefault(r.name[0], set()).add(i)
+    assert all(len(v) == 1 for v in by_char.values())

@@ -79,3 +79,23 @@ def test_char_cosine_han_with_gb2312(spark):
     out = S.char_cosine_join(df, "id", "t", 0.5, allowed=allowed).collect()
     assert len(out) == 1 and (out[0].key_a, out[0].key_b) == (1, 2)
     assert abs(out[0].cosine - 1.0) < 1e-9
+
+
+def test_strict_edit_ratio_equals_brute_force(spark):
+    from quarry.operators.similar import _strict_pair_distance
+
+    rnd = random.Random(11)
+    alphabet = "aAbB0P@`pq"  # pairs 32 apart: a/A, b/B, 0/P, @/`, p/P
+    strings = list(dict.fromkeys(["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 7)))
+                                  for _ in range(90)] + ["0P0", "P0P", "龙腾", "龙腾花园"]))
+    df = spark.createDataFrame([(s,) for s in strings], "s string")
+    for tau in (0.6, 0.8):
+        got = {(r.key_a, r.key_b) for r in S.edit_ratio_join(df, "s", "s", tau, strict=True).collect()}
+        want = set()
+        for i, a in enumerate(strings):
+            for b in strings[i + 1:]:
+                x, y = sorted((a, b))
+                if 1 - _strict_pair_distance(x, y) / max(len(x), len(y)) >= tau - 1e-9:
+                    want.add((x, y))
+        assert got == want, tau
+    assert _strict_pair_distance("0", "P") == 0 and _strict_pair_distance("a", "A") == 0
