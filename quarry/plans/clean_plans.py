@@ -94,7 +94,7 @@ QUALIFY row_number() OVER (PARTITION BY item ORDER BY ts, event_id) = 1
 def first_seen_registry(spark, sf):
     msgs = item_messages(load(spark, sf, "events"))
     rows, _ = clean_messages(msgs, ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"])
-    split = F.lit(REGISTRY_SPLIT).cast("timestamp")
+    split = F.lit(REGISTRY_SPLIT).cast("timestamp_ntz")  # the column is a local timestamp
     registry = rows.where(F.col("ts") < split).select("item")
     batch = rows.where(F.col("ts") >= split)
     return first_seen(batch, registry, ["item"], ["ts", "event_id"]).drop("ts")
