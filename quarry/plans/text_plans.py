@@ -84,3 +84,32 @@ def naive_bayes_scores(spark, sf):
                                        train_docs, "doc_id", "lang")
     test_docs = docs.where(~train)
     return model.predict(tf.join(test_docs.select("doc_id"), "doc_id", "left_semi"), test_docs, "doc_id")
+
+
+# User phrases kept whole by the tokeniser in ``phrase_terms``.
+PHRASES = ["of the", "on the", "and the"]
+
+
+@query("phrase_terms", ops="O86 O87", sql=f"""
+WITH toks AS (
+  SELECT unnest(regexp_extract_all(lower(text), 'and the|of the|on the|\\p{{L}}+')) AS term FROM documents)
+SELECT term, count(*) AS count FROM toks WHERE term NOT IN ({_STOP_SQL}) GROUP BY term
+""")
+def phrase_terms(spark, sf):
+    docs = load(spark, sf, "documents", spread=True)
+    toks = docs.select(F.explode_outer(X.tokens("text", phrases=PHRASES)).alias("term")).where(F.col("term").isNotNull())
+    return toks.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("whitespace_token_counts", ops="O85", sql="""
+WITH toks AS (
+  SELECT unnest(regexp_split_to_array(regexp_replace(lower(text), '\\s+$', ''), '\\s')) AS word FROM documents)
+SELECT word, count(*) AS count FROM toks GROUP BY word
+""")
+def whitespace_token_counts(spark, sf):
+    from pyspark.ml.feature import Tokenizer
+
+    docs = load(spark, sf, "documents", spread=True).select("text")
+    words = Tokenizer(inputCol="text", outputCol="words").transform(docs)
+    return (words.select(F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
+            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
