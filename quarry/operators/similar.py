@@ -40,8 +40,10 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     """All pairs (key_a < key_b) with ``1 - lev(a, b) / max(len) >= tau``.
 
     Segment filter: a pair within distance ``d`` of a string cut into
-    ``d + 1`` segments must contain one segment unchanged, at most ``d``
-    positions away. The longer string of a pair publishes its segments; the
+    ``d + 1`` segments must contain one segment unchanged; taking the first
+    unchanged one bounds how far it can have moved (edits before and after
+    it, and the length difference), which fixes a short window of start
+    positions to probe. The longer string of a pair publishes its segments; the
     shorter one publishes, for each length it could pair with, the
     substrings at those positions; the two meet in an equi-join on
     (length, segment number, text). Candidates are verified with Spark's
@@ -81,8 +83,14 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     pr = pr.select("*", F.explode(F.sequence(F.lit(0), F.col("d2"))).alias("i"))
     st2, ln2 = _segment(F.col("L2"), F.col("d2"), F.col("i"))
     pr = pr.select("k", "t", "l", "L2", "d2", "i", st2.alias("p"), ln2.alias("n"))
-    lo = F.greatest(F.lit(0), F.col("p") - F.col("d2"))
-    hi = F.least(F.col("l") - F.col("n"), F.col("p") + F.col("d2"))
+    # Shift x = p - q of the unchanged segment i, taking segment i as the first
+    # unchanged one: at least i edits lie before it, so at most d2 - i after;
+    # with delta = L2 - l, |delta - x| <= d2 - i and |x| + |delta - x| <= d2.
+    delta, d2, i = F.col("L2") - F.col("l"), F.col("d2"), F.col("i")
+    x_lo = F.greatest(delta - (d2 - i), F.ceil((delta - d2) / 2).cast("int"))
+    x_hi = F.least(delta + (d2 - i), F.floor((delta + d2) / 2).cast("int"))
+    lo = F.greatest(F.lit(0), F.col("p") - x_hi)
+    hi = F.least(F.col("l") - F.col("n"), F.col("p") - x_lo)
     pr = (pr.where(lo <= hi)
           .select("k", "L2", "i", "n", F.explode(F.sequence(lo, hi)).alias("q"), "t")
           .select(F.col("k").alias("k_short"), F.col("L2").alias("L"), "i",

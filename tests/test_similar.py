@@ -99,3 +99,26 @@ def test_strict_edit_ratio_equals_brute_force(spark):
                     want.add((x, y))
         assert got == want, tau
     assert _strict_pair_distance("0", "P") == 0 and _strict_pair_distance("a", "A") == 0
+
+
+def test_edit_ratio_join_longer_strings_small_alphabet(spark):
+    rnd = random.Random(23)
+    base = ["".join(rnd.choice("ab") for _ in range(rnd.randint(8, 20))) for _ in range(40)]
+    # near copies: a few random edits each
+    near = []
+    for s in base[:20]:
+        t = list(s)
+        for _ in range(rnd.randint(1, 4)):
+            op, pos = rnd.choice("isd"), rnd.randrange(len(t))
+            if op == "i":
+                t.insert(pos, rnd.choice("ab"))
+            elif op == "s":
+                t[pos] = rnd.choice("ab")
+            elif len(t) > 1:
+                del t[pos]
+        near.append("".join(t))
+    strings = list(dict.fromkeys(base + near))
+    df = spark.createDataFrame([(s,) for s in strings], "s string")
+    for tau in (0.6, 0.75, 0.9):
+        got = {(r.key_a, r.key_b) for r in S.edit_ratio_join(df, "s", "s", tau).collect()}
+        assert got == brute_edit(strings, tau), tau
