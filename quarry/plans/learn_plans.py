@@ -245,3 +245,13 @@ def cheapest_path(spark, sf):
     source = load(spark, sf, "nation").agg(F.min("n_nationkey")).first()[0]
     dist = P.cheapest_paths(edges, source)
     return dist.select("node", F.round("dist", 6).alias("dist"))
+
+
+@query("als_item_neighbours", ops="O109 (on ALS item factors)")
+def als_item_neighbours(spark, sf):
+    r = _rating_ints(spark, sf)
+    model = R.fit_als(r)
+    items = model.itemFactors.select(F.col("id").alias("item"), "features")
+    target = items.orderBy("item").first()  # one factor row: the target item
+    out = R.neighbours(items, "item", "features", list(target["features"]), target["item"], k=10)
+    return out.select("item", F.round("sim", 6).alias("sim"))

@@ -47,7 +47,8 @@ def test_every_query_has_oracle_or_is_declared():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
-    assert rows_only == {"als_explicit", "als_implicit", "als_top_items", "classify_spam_lr", "classify_lang_nb",
+    assert rows_only == {"als_explicit", "als_implicit", "als_top_items", "als_item_neighbours", "classify_spam_lr",
+                         "classify_lang_nb",
                          "edit_ratio_strict_pairs",
                          "classify_tree", "kmeans_docs"}
 
