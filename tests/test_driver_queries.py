@@ -55,6 +55,10 @@ def test_every_query_has_oracle_or_is_declared():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF).toPandas()
+    df = E.queries()[name](spark, SF)
+    sdf = df.toPandas()
     odf = duck.execute(E.oracle_sql()[name]).df()
     assert _rows(sdf) == _rows(odf)
+    # No query may plan a cross product.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
