@@ -146,3 +146,28 @@ _DETAIL_SQL_COLS = ", ".join(
      "CASE WHEN value > 20 THEN 'bus-' || event_id ELSE '0' END AS \"busScope\"" if f == "busScope" else
      "event_type AS industry" if f == "industry" else
      f"'{f[:3]}-' || event_id AS \"{f}\"" for f in DETAIL_FIELDS])
+
+
+@query("json_scan", ops="O01 O02 O10", sql="""
+SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(user_id % 50 AS VARCHAR) END AS city,
+       CAST(floor(value) AS BIGINT) AS score,
+       CASE WHEN event_type = 'view' AND value < 5 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS item
+FROM events WHERE NOT (event_type = 'error' AND value > 45)
+""")
+def json_scan(spark, sf):
+    """Messages written as JSON lines to the shared folder, then scanned with
+    an inferred schema; malformed lines land in ``_corrupt_record``."""
+    from quarry.session import shared_path
+    from quarry.sources.io import read_json
+
+    ev = load(spark, sf, "events")
+    msgs = item_messages(ev)
+    js = msgs.select(F.when(F.col("value").startswith("{") & F.col("value").endswith("}"),
+                            F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(","),
+                                     F.expr("substring(value, 2)")))
+                     .otherwise(F.col("value")).alias("value"))
+    path = shared_path(spark, "json_scan")
+    js.write.mode("overwrite").text(path)
+    scanned = read_json(spark, path)
+    good = scanned.where(F.col("_corrupt_record").isNull()) if "_corrupt_record" in scanned.columns else scanned
+    return good.select("event_id", "city", "score", "item")
