@@ -17,10 +17,11 @@ from pyspark.ml.feature import (HashingTF, IDF, IndexToString, SQLTransformer, S
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry import fixed
 from quarry.operators.text import WORD_PATTERN
 
 
-def text_features(text_col: str = "text", num_features: int = 5000, raw_tokens: bool = False) -> list:
+def text_features(text_col: str = "text", num_features: int = fixed.LR_FEATURES, raw_tokens: bool = False) -> list:
     """Tokens -> hashed term frequencies -> IDF.
 
     The token stage is a ``SQLTransformer`` over ``regexp_extract_all``, so
@@ -37,8 +38,9 @@ def text_features(text_col: str = "text", num_features: int = 5000, raw_tokens:
             IDF(inputCol="tf", outputCol="features")]
 
 
-def text_classifier(kind: str, label_col: str = "label", text_col: str = "text", num_features: int = 5000,
-                    smoothing: float = 1.0, max_iter: int = 100) -> Pipeline:
+def text_classifier(kind: str, label_col: str = "label", text_col: str = "text",
+                    num_features: int = fixed.LR_FEATURES, smoothing: float = fixed.NB_SMOOTHING,
+                    max_iter: int = 100) -> Pipeline:
     """Text classification pipeline: ``nb`` multinomial naive Bayes (O92) or
     ``lr`` multinomial logistic regression by L-BFGS (O93)."""
     if kind == "nb":
@@ -50,7 +52,7 @@ def text_classifier(kind: str, label_col: str = "label", text_col: str = "text",
     return Pipeline(stages=[*text_features(text_col, num_features), model])
 
 
-def fit_tree(df: DataFrame, feature_cols: Sequence[str], label_col: str, max_depth: int = 5,
+def fit_tree(df: DataFrame, feature_cols: Sequence[str], label_col: str, max_depth: int = fixed.TREE_DEPTH,
              max_categories: int = 4) -> PipelineModel:
     """String label indexer, vector assembler, categorical indexer, gini tree
     (O100-O102), fitted; then a converter from the predicted index back to
@@ -66,7 +68,8 @@ def fit_tree(df: DataFrame, feature_cols: Sequence[str], label_col: str, max_dep
     return PipelineModel(stages=[*fitted.stages, back])
 
 
-def kmeans_pipeline(text_col: str = "text", k: int = 10, seed: int = 1, num_features: int = 6000) -> Pipeline:
+def kmeans_estimator(text_col: str = "text", k: int = fixed.KMEANS_K, seed: int = fixed.KMEANS_SEED,
+                     num_features: int = fixed.KMEANS_FEATURES) -> Pipeline:
     """TF-IDF then k-means with a fixed seed."""
     return Pipeline(stages=[*text_features(text_col, num_features), KMeans(k=k, seed=seed, featuresCol="features")])
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from quarry import fixed
 from quarry.functions.columns import address_number, col_of, octet
 
 # Rows under which an explicitly hinted broadcast is allowed.
@@ -231,7 +232,8 @@ def column_cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False,
     return df.agg(*[f(c).alias(f"distinct_{c}") for c in cols])
 
 
-def age_histogram(df: DataFrame, date_text: str, ref_year: int = 1998, sentinel: int | None = 1990) -> DataFrame:
+def age_histogram(df: DataFrame, date_text: str, ref_year: int = fixed.AGE_REFERENCE_YEAR,
+                  sentinel: int | None = fixed.AGE_SENTINEL_YEAR) -> DataFrame:
     """Age from the third ``-`` part of a date text.
 
     The source maps unknown dates to 1990 and then drops every 1990, so real

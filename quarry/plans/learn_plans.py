@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry import fixed
 from quarry.operators import learn as L
 from quarry.operators import paths as P
 from quarry.operators import recommend as R
@@ -11,7 +12,7 @@ from quarry.plans.registry import query
 from quarry.plans.table_plans import _RATINGS_SQL, ratings
 from quarry.sources.io import load, named_documents
 
-MAP_K = 10
+MAP_K = fixed.TOP_K
 
 
 def _predictions(r):
@@ -123,7 +124,7 @@ def als_top_items(spark, sf):
     r = _rating_ints(spark, sf)
     model = R.fit_als(r)
     first_user = r.agg(F.min("user")).first()[0]
-    return R.top_items_for_user(model, first_user, 10)
+    return R.top_items_for_user(model, first_user, fixed.TOP_K)
 
 
 def _docs_labels(spark, sf):
@@ -137,7 +138,7 @@ def classify_spam_lr(spark, sf):
 
     d = _docs_labels(spark, sf).withColumn("label", F.col("toxic").cast("double")).persist()
     train = _split("doc_id")
-    fitted = L.text_classifier("lr", num_features=5000).fit(d.where(train))
+    fitted = L.text_classifier("lr", num_features=fixed.LR_FEATURES).fit(d.where(train))
     # Train, save, and score with the loaded model (O17), as the source's
     # train and test programs do. The loaded model also carries no training
     # summary, which would tie the scoring closure to the session.
@@ -155,7 +156,7 @@ def classify_lang_nb(spark, sf):
     d = load(spark, sf, "documents", spread=True).select("doc_id", "text", "lang").persist()
     train = _split("doc_id")
     pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label"),
-                            L.text_classifier("nb", num_features=5000)])
+                            L.text_classifier("nb", num_features=fixed.NB_FEATURES)])
     model = pipe.fit(d.where(train))
     return model.transform(d.where(~train)).select("doc_id", "lang", "label", "prediction")
 
@@ -173,7 +174,7 @@ def classify_tree(spark, sf):
     # Indexers and the tree make several passes: parse the lines once.
     rec = rec.persist()
     train = _split(F.struct("l_orderkey", "l_linenumber"))
-    model = L.fit_tree(rec.where(train), ["f0", "f1", "f2", "f3"], "flag", max_depth=5)
+    model = L.fit_tree(rec.where(train), ["f0", "f1", "f2", "f3"], "flag")
     return model.transform(rec.where(~train)).select("l_orderkey", "l_linenumber", "flag", "predictedLabel")
 
 
@@ -183,7 +184,7 @@ def kmeans_docs(spark, sf):
     lines = d.select(F.concat(F.col("lang"), F.col("doc_id").cast("string"), F.lit(".txt\t"), F.col("text")).alias("value"))
     # Parsed once: the IDF fit, the k-means fit and the assignment all read it.
     named = named_documents(lines).persist()
-    model = L.kmeans_pipeline("content", k=10, seed=1, num_features=6000).fit(named)
+    model = L.kmeans_estimator("content").fit(named)
     return model.transform(named).select("name", F.col("prediction").alias("cluster"))
 
 

@@ -8,8 +8,7 @@ from quarry.operators import tables as T
 from quarry.plans.registry import query
 from quarry.sources.io import load
 
-# Cap after ranking used by the source ranking job (a fixed value).
-RANK_CAP = 3_000_000
+from quarry.fixed import AGE_REFERENCE_YEAR, AGE_SENTINEL_YEAR, PIVOT_DEFAULT, RANK_CAP
 
 
 def _items(spark, sf):
@@ -182,7 +181,7 @@ GROUP BY e.user_id
 def pivot_popular(spark, sf):
     ev = load(spark, sf, "events").select("user_id", "event_type", "value", "ts")
     vals = T.top_values(ev, "event_type", 3)
-    return T.pivot_first(ev, "user_id", "event_type", "value", "ts", vals, 3.0,
+    return T.pivot_first(ev, "user_id", "event_type", "value", "ts", vals, float(PIVOT_DEFAULT),
                          names=[f"top{i + 1}" for i in range(len(vals))])
 
 
@@ -240,7 +239,7 @@ SELECT 1998 - yr AS age, count(*) AS count FROM y WHERE yr IS NOT NULL AND yr <>
 """)
 def age_histogram(spark, sf):
     o = load(spark, sf, "orders").select(F.date_format("o_orderdate", "dd-MMM-yyyy").alias("release"))
-    return T.age_histogram(o, "release", ref_year=1998, sentinel=1990)
+    return T.age_histogram(o, "release", ref_year=AGE_REFERENCE_YEAR, sentinel=AGE_SENTINEL_YEAR)
 
 
 @query("sql_count", ops="O49", sql="""

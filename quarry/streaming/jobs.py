@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry import fixed
 from quarry.operators.clean import clean_messages, first_seen
 
 
@@ -94,7 +95,7 @@ def clean_and_register(rows: DataFrame, *, key: Sequence[str], order: Sequence[s
             for fmt, root in sinks.items():
                 _write_batch(out, fmt, root, batch_id)
             if registry_path is not None:
-                _write_batch(out.select(*key).distinct(), "parquet", registry_path, batch_id)
+                _write_batch(out.select(*key), "parquet", registry_path, batch_id)  # one row per key already
                 out.unpersist()
         finally:
             df.unpersist()
@@ -108,6 +109,12 @@ def clean_and_register(rows: DataFrame, *, key: Sequence[str], order: Sequence[s
     return started
 
 
+def production_trigger(kind: str = "topic") -> dict:
+    """Micro-batch interval of the source jobs (O72): 600 s for the topic
+    jobs, 10 s for the socket job; tests and driver queries use availableNow."""
+    return {"processingTime": fixed.TOPIC_BATCH_INTERVAL if kind == "topic" else fixed.SOCKET_BATCH_INTERVAL}
+
+
 def await_all(queries) -> None:
     for q in queries:
         q.awaitTermination()

@@ -50,7 +50,7 @@ def test_tree_pipeline_iris_like(spark):
 
 def test_kmeans_and_purity(spark):
     d = _docs(spark)
-    m = L.kmeans_pipeline("text", k=2, seed=1, num_features=256).fit(d)
+    m = L.kmeans_estimator("text", k=2, seed=1, num_features=256).fit(d)
     assert L.within_set_sse(m) >= 0
     pred = m.transform(d).select(F.when(F.col("lang") == "fr", 1).otherwise(0).alias("cls"), "prediction")
     purity = L.cluster_purity(pred, "cls", "prediction")

@@ -71,3 +71,19 @@ def test_replay_counts(spark):
     jobs.replay_counts(log, f"{root}/out", f"{root}/ck")
     got = {(r.group, r.topic, r.entries) for r in spark.read.parquet(f"{root}/out").collect()}
     assert got == {("g1", "t1", 2), ("g2", None, 1)}
+
+
+def test_dedup_within_horizon(spark):
+    root = tempfile.mkdtemp(prefix="quarry-horizon-")
+    src = f"{root}/src"
+    batches = [[("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:01")],
+               [("a", "2024-01-01 00:00:05"), ("c", "2024-01-01 00:00:06")]]
+    for b, rows in enumerate(batches):
+        spark.createDataFrame(rows, "item string, t string").selectExpr("item", "CAST(t AS TIMESTAMP) AS ts") \
+            .coalesce(1).write.parquet(f"{src}/part{b}")
+    stream = spark.readStream.schema("item string, ts timestamp").option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", "true").parquet(src)
+    q = (jobs.dedup_stream(stream, ["item"], event_time="ts", horizon="1 hour").writeStream.format("parquet")
+         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.item for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c"]
