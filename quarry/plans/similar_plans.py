@@ -19,7 +19,7 @@ def _names(spark, sf):
 @query("edit_ratio_pairs", ops="O81", sql=f"""
 WITH n AS (SELECT DISTINCT p_name FROM part WHERE length(p_name) > 0),
 p AS (
-  SELECT a.p_name AS name_a, b.p_name AS name_b, levenshtein(lower(a.p_name), lower(b.p_name)) AS dist,
+  SELECT a.p_name AS name_a, b.p_name AS name_b, CAST(levenshtein(lower(a.p_name), lower(b.p_name)) AS INTEGER) AS dist,
          greatest(length(a.p_name), length(b.p_name)) AS mx
   FROM n a JOIN n b ON a.p_name < b.p_name)
 SELECT name_a, name_b, dist, round(1 - dist / mx, 6) AS ratio FROM p WHERE 1 - dist / mx >= {EDIT_TAU} - 1e-9

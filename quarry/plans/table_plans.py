@@ -281,7 +281,7 @@ def observed_counters(spark, sf):
 
 @query("top_rows_per_user", ops="O65", sql="""
 SELECT o_custkey, o_orderkey, o_totalprice,
-       row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank
 FROM orders QUALIFY rank <= 10
 """)
 def top_rows_per_user(spark, sf):
