@@ -59,11 +59,13 @@ def anti_join(items: DataFrame, detail: DataFrame, item_key: str, detail_key: st
               keep_null_key: str | None = None) -> DataFrame:
     """Items with no detail row (O38): left-outer + is-null written as ``left_anti``.
 
-    The detail side is projected to its key before the join, so the shuffle
-    carries one column. ``keep_null_key`` adds the null detail key column the
-    left-outer form carries, when the output shape must match.
+    The detail side is projected to its key and deduplicated before the join:
+    the shuffle carries one column, and the partial aggregate removes repeated
+    keys on the map side (detail rows cluster by key, several per item).
+    ``keep_null_key`` adds the null detail key column the left-outer form
+    carries, when the output shape must match.
     """
-    d = detail.select(F.col(detail_key).alias("_dkey"))
+    d = detail.select(F.col(detail_key).alias("_dkey")).distinct()
     out = items.join(d, items[item_key] == d["_dkey"], "left_anti")
     if keep_null_key:
         out = out.withColumn(keep_null_key, F.lit(None).cast(detail.schema[detail_key].dataType))
