@@ -70,24 +70,33 @@ def whitespace_tokens(text: str | Column) -> Column:
     return F.split(F.lower(col_of(text)), r"\s")
 
 
-def term_counts(docs: DataFrame, doc_id: str, toks: str) -> DataFrame:
+def term_counts(docs: DataFrame, doc_id: str, toks: str, stop_words: Sequence[str] | None = None) -> DataFrame:
     """(doc_id, term, tf): raw term counts per document (O88, exact-term form).
 
     ``explode_outer`` (then dropping its null row) rather than ``explode``:
     the latter lets Catalyst infer ``size(tokens) > 0`` and push it, with the
-    whole tokeniser, below an earlier repartition into the scan stage.
+    whole tokeniser, below an earlier repartition into the scan stage. Stop
+    words are dropped after the explode with a plain ``isin``: an array
+    lambda would give each copy of this subtree fresh variable ids, so two
+    readers of the counts could not share one shuffle.
     """
-    return (docs.select(doc_id, F.explode_outer(toks).alias("term")).where(F.col("term").isNotNull())
-            .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf")))
+    t = docs.select(doc_id, F.explode_outer(toks).alias("term")).where(F.col("term").isNotNull())
+    if stop_words:
+        t = t.where(~F.col("term").isin(*stop_words))
+    return t.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf_table(tf: DataFrame, doc_id: str, n_docs: int) -> DataFrame:
     """(term, idf) with ``idf = ln((N + 1) / (df + 1))``, Spark's IDF formula.
 
-    ``tf`` has one row per (doc, term), so a row count per term is the
-    document frequency.
+    ``tf`` has one row per (doc, term) with ``tf >= 1``, so counting rows
+    with ``tf > 0`` per term is the document frequency. Referencing ``tf``
+    through a nullable expression keeps this reader's input subtree identical
+    to the other reader's (a plain ``count(tf)`` is rewritten to ``count(1)``
+    and the column pruned), so the shuffle under both is shared and the
+    documents are tokenised once.
     """
-    return (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return (tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
             .select("term", F.log((F.lit(float(n_docs + 1))) / (F.col("df") + 1)).alias("idf")))
 
 

@@ -33,8 +33,8 @@ def word_count_top(spark, sf):
 
 
 def doc_terms(spark, sf):
-    docs = load(spark, sf, "documents", spread=True).select("doc_id", X.tokens("text").alias("toks"))
-    return X.term_counts(docs, "doc_id", "toks")
+    docs = load(spark, sf, "documents", spread=True).select("doc_id", X.tokens("text", stop_words=None).alias("toks"))
+    return X.term_counts(docs, "doc_id", "toks", stop_words=X.STOP_WORDS)
 
 
 @query("tfidf_terms", ops="O84 O86 O88 O89", sql=_TOKENS_SQL + """
