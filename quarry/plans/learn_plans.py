@@ -47,11 +47,13 @@ def implicit_error(spark, sf):
     return m.select("n", F.round("mse", 6).alias("mse"))
 
 
-def _recs(r):
-    """Predicted (user, item, score): each rated item and its successor id,
-    scored by a fixed formula; one candidate row per rating at most."""
-    pairs = r.groupBy("user", "item").agg(F.count(F.lit(1)).alias("_cnt"))
-    cand = pairs.select("user", "item").unionByName(pairs.select("user", (F.col("item") + 1).alias("item"))).distinct()
+def _recs(pairs):
+    """Predicted (user, item, score) from the rated pairs: each rated item and
+    its successor id, scored by a fixed formula. ``_cnt`` is referenced so the
+    pair aggregate stays one shared subtree (see ``R.pair_counts``)."""
+    rated = F.when(F.col("_cnt") > 0, F.col("item"))
+    cand = (pairs.select("user", rated.alias("item"))
+            .unionByName(pairs.select("user", (rated + 1).alias("item"))).distinct())
     return cand.withColumn("score", ((F.col("user") * 31 + F.col("item") * 17) % 101).cast("double"))
 
 
@@ -71,8 +73,8 @@ apk AS (SELECT r."user", sum(CASE WHEN hit = 1 THEN hits / (pos + 1) ELSE 0 END)
 SELECT round(sum(apk) / count(*), 6) AS mapk, count(*) AS n_users FROM apk
 """)
 def map_at_k(spark, sf):
-    r = ratings(spark, sf)
-    m = R.mean_average_precision_at_k(_recs(r), r.select("user", "item"), MAP_K)
+    pairs = R.pair_counts(ratings(spark, sf).select("user", "item"))
+    m = R.mean_average_precision_at_k(_recs(pairs), None, MAP_K, counts=pairs)
     return m.select(F.round("mapk", 6).alias("mapk"), "n_users")
 
 
