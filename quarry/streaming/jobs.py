@@ -82,9 +82,10 @@ def clean_and_register(rows: DataFrame, *, key: Sequence[str], order: Sequence[s
     trig = trigger or {"availableNow": True}
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()  # before the emptiness test, so the batch is computed once
         if df.isEmpty():
+            df.unpersist()
             return
-        df = df.persist()
         try:
             out = df
             if registry_path is not None:
