@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from quarry.operators.clean import clean_messages, first_seen, flatten_company_nodes
 from quarry.sources.schemas import GRAPH_DOCUMENT_SCHEMA, ITEM_FIELDS

@@ -3,7 +3,6 @@ the batch result on the same rows; a replayed batch is idempotent."""
 
 import tempfile
 
-from pyspark.sql import functions as F
 
 from quarry.operators.clean import clean_messages, first_seen
 from quarry.sources.schemas import ITEM_FIELDS
