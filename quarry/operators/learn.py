@@ -101,6 +101,19 @@ def cluster_purity(df: DataFrame, cls: str, pred: str) -> DataFrame:
             .withColumn("rate", F.col("best") / F.col("total")))
 
 
+def train_test_split(df: DataFrame, id_col: str | None = None, train_fraction: float = fixed.TRAIN_FRACTION,
+                     seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Train / test split (O90). With ``id_col``, a hash of the id decides, so
+    a rerun or a recomputed partition gives the same split; without it,
+    ``randomSplit`` with a seed (repeatable only over the same partitioning)."""
+    if id_col is not None:
+        percent = int(round(train_fraction * 100))
+        train = F.pmod(F.xxhash64(F.col(id_col)), F.lit(100)) < percent
+        return df.where(train), df.where(~train)
+    a, b = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
+    return a, b
+
+
 def partition_by_first_char(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Key-derived partitioner: rows whose ``key`` starts with the same
     character share a partition (O98). With few distinct first characters

@@ -72,11 +72,15 @@ SELECT CAST(o_orderkey AS VARCHAR) AS item, o_orderstatus AS status, o_totalpric
 FROM orders JOIN lineitem ON CAST(o_orderkey AS VARCHAR) = CAST(l_orderkey AS VARCHAR)
 """)
 def item_detail_join(spark, sf):
-    items = load(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("item"),
+    # The text keys are made from numeric keys one-to-one, so the join runs on
+    # the numbers (8-byte shuffle keys) and the text columns ride along.
+    items = load(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("item"),
                                              F.col("o_orderstatus").alias("status"), "o_totalprice")
-    detail = load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("item"),
+    detail = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                                F.col("l_orderkey").cast("string").alias("item"),
                                                 F.col("l_linestatus").alias("status"), "l_linenumber", "l_quantity")
-    return T.join_prefixed(items, detail, "item", "item", prefix="detail_")
+    j = T.join_prefixed(items, detail, "o_orderkey", "o_orderkey", prefix="detail_")
+    return j.select("item", "status", "o_totalprice", "detail_item", "detail_status", "l_linenumber", "l_quantity")
 
 
 def _ip_points(spark, sf):

@@ -67,3 +67,12 @@ def test_partition_by_first_char(spark):
         for r in rows:
             by_char.setdefault(r.name[0], set()).add(i)
     assert all(len(v) == 1 for v in by_char.values())
+
+
+def test_train_test_split(spark):
+    df = spark.range(2000)
+    tr, te = L.train_test_split(df, "id")
+    assert tr.count() + te.count() == 2000 and 1200 < tr.count() < 1600
+    assert sorted(r.id for r in tr.collect()) == sorted(r.id for r in L.train_test_split(df, "id")[0].collect())
+    a, b = L.train_test_split(df, seed=7)
+    assert a.count() + b.count() == 2000
