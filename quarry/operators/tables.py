@@ -108,6 +108,10 @@ def serial_number(df: DataFrame, order: Sequence[Column], name: str = "serial",
     other bounds. ``order`` must be a total order (include a unique tiebreak).
     """
     spark = df.sparkSession
+    if checkpoint:
+        from quarry.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
