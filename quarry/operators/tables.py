@@ -113,8 +113,7 @@ def serial_number(df: DataFrame, order: Sequence[Column], name: str = "serial",
 
         ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = _ranged(df, order, n)
     if checkpoint:
         ranged = ranged.checkpoint(eager=True)
     ranged = ranged.select("*", F.shiftright("_mid", 33).alias("_pid"),
@@ -127,6 +126,13 @@ def serial_number(df: DataFrame, order: Sequence[Column], name: str = "serial",
             .select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_loc") + 1).cast("bigint").alias(name)))
 
 
+def _ranged(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """Range-partitioned on the whole order, sorted inside each partition,
+    with ``_mid`` = (partition index << 33) + row index in the partition."""
+    return (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn("_mid", F.monotonically_increasing_id()))
+
+
 def cap_rows(df: DataFrame, serial: str, n: int) -> DataFrame:
     """Row cap after ranking (O63): keep serial numbers up to ``n``."""
     return df.where(F.col(serial) <= n)
