@@ -139,8 +139,11 @@ def dedup_stream(rows: DataFrame, key: Sequence[str], event_time: str | None = N
 
 def replay_counts(log: DataFrame, out_path: str, checkpoint: str) -> None:
     """Bounded log replay (O09): read everything available, then stop; count
-    entries per (group, topic). Complete-mode aggregate, rewritten per batch."""
-    agg = log.groupBy("group", "topic").agg(F.count(F.lit(1)).alias("entries"))
+    entries per (group, topic). An entry that did not decode (no group) is
+    skipped, as the source logs and skips it; group-only entries keep a null
+    topic. Complete-mode aggregate, rewritten per batch."""
+    agg = (log.where(F.col("group").isNotNull())
+           .groupBy("group", "topic").agg(F.count(F.lit(1)).alias("entries")))
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(out_path)

@@ -46,6 +46,7 @@ def test_tree_pipeline_iris_like(spark):
     one = spark.createDataFrame([(1.2, 3.0, 0.8, 0.2)], "f0 double, f1 double, f2 double, f3 double")
     assert m.transform(one.withColumn("label", F.lit("setosa"))).first().predictedLabel == "setosa"
     assert "DecisionTreeClassificationModel" in m.stages[3].toDebugString
+    assert "maxDepth" in m.stages[3].explainParams() and m.stages[3].getOrDefault("impurity") == "gini"
 
 
 def test_kmeans_and_purity(spark):

@@ -64,8 +64,8 @@ def test_state_store_dedup_across_batches(spark):
 
 def test_replay_counts(spark):
     root = tempfile.mkdtemp(prefix="quarry-replay-")
-    spark.createDataFrame([("g1", "t1"), ("g1", "t1"), ("g2", None)], "group string, topic string") \
-        .write.parquet(f"{root}/log")
+    spark.createDataFrame([("g1", "t1"), ("g1", "t1"), ("g2", None), (None, None)], "group string, topic string") \
+        .write.parquet(f"{root}/log")  # the last entry did not decode
     log = spark.readStream.schema("group string, topic string").parquet(f"{root}/log")
     jobs.replay_counts(log, f"{root}/out", f"{root}/ck")
     got = {(r.group, r.topic, r.entries) for r in spark.read.parquet(f"{root}/out").collect()}
