@@ -27,12 +27,12 @@ QUALIFY row_number() OVER (PARTITION BY item ORDER BY ts, event_id) = 1
 def stream_clean_items(spark, sf):
     base = shared_path(spark, "stream_clean_items")
     msgs = item_messages(events_stream(spark, sf))
-    rows, rejects = jobs.item_cleaning(msgs, ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"])
     qs = jobs.clean_and_register(
-        rows, key=["item"], order=["ts", "event_id"],
+        msgs, key=["item"], order=["ts", "event_id"],
+        cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"]),
         sinks={"parquet": f"{base}/items", "json": f"{base}/index"},
         registry_path=f"{base}/registry", checkpoint=f"{base}/_checkpoint",
-        rejects=rejects, reject_path=f"{base}/rejects", drop_cols=["ts"])
+        reject_path=f"{base}/rejects", drop_cols=["ts"])
     jobs.await_all(qs)
     return spark.read.parquet(f"{base}/items").drop("batch_id")
 
@@ -44,10 +44,11 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
 def stream_clean_detail(spark, sf):
     base = shared_path(spark, "stream_clean_detail")
     msgs = detail_message(events_stream(spark, sf))
-    rows, rejects = jobs.item_cleaning(msgs, DETAIL_FIELDS, exclude=None, keep=["event_id", "ts"])
     qs = jobs.clean_and_register(
-        rows, key=["item"], order=["ts", "event_id"], sinks={"json": f"{base}/index"},
-        registry_path=f"{base}/registry", checkpoint=f"{base}/_checkpoint", drop_cols=["ts", "event_id"])
+        msgs, key=["item"], order=["ts", "event_id"],
+        cleaner=jobs.item_cleaner(DETAIL_FIELDS, exclude=None, keep=["event_id", "ts"]),
+        sinks={"json": f"{base}/index"}, registry_path=f"{base}/registry",
+        checkpoint=f"{base}/_checkpoint", reject_path=f"{base}/rejects", drop_cols=["ts", "event_id"])
     jobs.await_all(qs)
     # The index sink is JSON; read it back with the fixed all-string schema.
     return spark.read.schema(DETAIL_SCHEMA).json(f"{base}/index").select(*DETAIL_FIELDS)
@@ -60,11 +61,11 @@ FROM m
 def stream_typed(spark, sf):
     base = shared_path(spark, "stream_typed")
     msgs = item_messages(events_stream(spark, sf))
-    rows, rejects = jobs.item_cleaning(msgs, ITEM_FIELDS, exclude=None, typed={"score": "int"}, keep=["event_id"])
     qs = jobs.clean_and_register(
-        rows, key=["item"], order=["event_id"], sinks={"json": f"{base}/index"}, registry_path=None,
-        checkpoint=f"{base}/_checkpoint", rejects=rejects, reject_path=f"{base}/rejects",
-        trigger={"availableNow": True})
+        msgs, key=["item"], order=["event_id"],
+        cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude=None, typed={"score": "int"}, keep=["event_id"]),
+        sinks={"json": f"{base}/index"}, registry_path=None,
+        checkpoint=f"{base}/_checkpoint", reject_path=f"{base}/rejects", trigger={"availableNow": True})
     jobs.await_all(qs)
     schema = T.StructType(ITEM_TYPED_SCHEMA.fields + [T.StructField("event_id", T.LongType())])
     return spark.read.schema(schema).json(f"{base}/index").select("event_id", *ITEM_FIELDS)

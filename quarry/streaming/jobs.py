@@ -65,20 +65,22 @@ def _write_batch(df: DataFrame, fmt: str, root: str, batch_id: int) -> None:
 
 # ---------------------------------------------------------------- jobs
 
-def clean_and_register(rows: DataFrame, *, key: Sequence[str], order: Sequence[str | Column],
+def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence[str | Column],
                        sinks: dict[str, str], registry_path: str | None, checkpoint: str,
-                       rejects: DataFrame | None = None, reject_path: str | None = None,
+                       cleaner=None, reject_path: str | None = None,
                        trigger: dict | None = None, drop_cols: Sequence[str] = ()):
-    """Run one cleaning stream to its sinks; returns the started query(ies).
-
-    Per batch: skip when empty (O71); persist the batch once because it feeds
-    several writes (O16); when ``registry_path`` is given keep the first row
-    per key and drop keys registered by earlier batches (O35, O67); write each
-    sink under ``batch_id=N`` (overwrite, so a replay is idempotent); register
-    the new keys last, also under ``batch_id=N`` (O15, O07).
+    """Run one cleaning stream to its sinks; returns the started query.
+
+    One streaming query reads the source once. Per micro-batch: persist the
+    batch (it feeds several writes, O16) and skip it when empty (O71); split
+    it with ``cleaner`` (a function DataFrame -> (rows, rejects)) when given,
+    writing the rejects under ``reject_path/batch_id=N``; when
+    ``registry_path`` is given keep the first row per key and drop keys
+    registered by earlier batches (O35, O67); write each sink under
+    ``batch_id=N`` (overwrite, so a replay is idempotent); register the new
+    keys last, also under ``batch_id=N`` (O15, O07).
     """
-    spark = rows.sparkSession
-    key_types = {k: rows.schema[k].dataType for k in key}
+    spark = stream.sparkSession
     trig = trigger or {"availableNow": True}
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
@@ -87,9 +89,15 @@ def clean_and_register(rows: DataFrame, *, key: Sequence[str], order: Sequence[s
             df.unpersist()
             return
         try:
-            out = df
+            rows = df
+            if cleaner is not None:
+                rows, rejects = cleaner(df)
+                if reject_path is not None:
+                    _write_batch(rejects, "parquet", reject_path, batch_id)
+            out = rows
             if registry_path is not None:
-                out = first_seen(df, _registry(spark, registry_path, key, batch_id, key_types), key, order)
+                key_types = {k: rows.schema[k].dataType for k in key}
+                out = first_seen(rows, _registry(spark, registry_path, key, batch_id, key_types), key, order)
             out = out.drop(*drop_cols)
             if registry_path is not None:
                 out = out.persist()
@@ -101,13 +109,9 @@ def clean_and_register(rows: DataFrame, *, key: Sequence[str], order: Sequence[s
         finally:
             df.unpersist()
 
-    q = (rows.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint + "/rows")
+    q = (stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
          .trigger(**trig).start())
-    started = [q]
-    if rejects is not None and reject_path is not None:
-        started.append(rejects.writeStream.format("parquet").option("path", reject_path)
-                       .option("checkpointLocation", checkpoint + "/rejects").trigger(**trig).start())
-    return started
+    return [q]
 
 
 def production_trigger(kind: str = "topic") -> dict:
@@ -127,6 +131,12 @@ def item_cleaning(messages: DataFrame, fields: Sequence[str], *, exclude: str |
     return clean_messages(messages, fields, exclude=exclude, typed=typed, keep=keep)
 
 
+def item_cleaner(fields: Sequence[str], *, exclude: str | None, typed: dict[str, str] | None = None,
+                 keep: Sequence[str] = ()):
+    """The cleaning graph as a per-batch function for ``clean_and_register``."""
+    return lambda df: clean_messages(df, fields, exclude=exclude, typed=typed, keep=keep)
+
+
 def dedup_stream(rows: DataFrame, key: Sequence[str], event_time: str | None = None,
                  horizon: str | None = None) -> DataFrame:
     """Cross-batch first-seen in the state store (O67, H8). Without a horizon

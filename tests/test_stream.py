@@ -23,10 +23,9 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
         spark.createDataFrame(part, "id int, value string").coalesce(1).write.parquet(f"{src}/b{b}")
     stream = (spark.readStream.schema("id int, value string").option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(src))
-    rows, rejects = jobs.item_cleaning(stream, ITEM_FIELDS, exclude="regCapital", keep=["id"])
-    qs = jobs.clean_and_register(rows, key=["item"], order=["id"], sinks={"parquet": f"{root}/out"},
-                                 registry_path=f"{root}/reg", checkpoint=f"{root}/ck", rejects=rejects,
-                                 reject_path=f"{root}/rej")
+    qs = jobs.clean_and_register(stream, key=["item"], order=["id"], sinks={"parquet": f"{root}/out"},
+                                 cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude="regCapital", keep=["id"]),
+                                 registry_path=f"{root}/reg", checkpoint=f"{root}/ck", reject_path=f"{root}/rej")
     jobs.await_all(qs)
     out = spark.read.parquet(f"{root}/out")
     assert out.select("batch_id").distinct().count() == 3
