@@ -46,6 +46,35 @@ def fields_with_defaults(m: Column, fields: Sequence[str], defaults: dict[str, s
     return [map_field_or_default(m, f, defaults.get(f, default)).alias(f) for f in fields]
 
 
+def clean_flagged(df: DataFrame, fields: Sequence[str], value: str = "value",
+                  exclude: str | None = None, typed: dict[str, str] | None = None,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """One pass over raw messages: ``keep`` columns, the fields with defaults
+    (typed where asked), the raw ``value`` and a ``_rejected`` flag (malformed
+    JSON, or a typed field that does not convert). Rows and rejects are two
+    filters of this frame, so a caller can persist it once and parse once."""
+    if exclude:
+        df = exclude_substring(df, exclude, value)
+    parsed = parse_json_map(df, value)
+    raw = parsed.select(*[F.col(k) for k in keep], F.col(value),
+                        F.col("_m").isNull().alias("_bad_json"),
+                        *fields_with_defaults(F.col("_m"), fields))
+    bad = F.col("_bad_json")
+    conv = {f: F.col(f).try_cast(t) for f, t in (typed or {}).items()}
+    for f, c in conv.items():
+        bad = bad | (F.col(f).isNotNull() & c.isNull())
+    return raw.select(*[F.col(k) for k in keep], F.col(value), bad.alias("_rejected"),
+                      *[conv.get(f, F.col(f)).alias(f) for f in fields])
+
+
+def split_flagged(flagged: DataFrame, fields: Sequence[str], value: str = "value",
+                  keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a ``clean_flagged`` frame."""
+    rows = flagged.where(~F.col("_rejected")).select(*[F.col(k) for k in keep], *[F.col(f) for f in fields])
+    rejects = flagged.where(F.col("_rejected")).select(*[F.col(k) for k in keep], F.col(value))
+    return rows, rejects
+
+
 def clean_messages(df: DataFrame, fields: Sequence[str], value: str = "value",
                    exclude: str | None = None, typed: dict[str, str] | None = None,
                    keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -55,23 +84,8 @@ def clean_messages(df: DataFrame, fields: Sequence[str], value: str = "value",
     A typed field that does not convert sends the row to the rejects (the
     socket job threw on it). ``keep`` carries extra input columns through.
     """
-    if exclude:
-        df = exclude_substring(df, exclude, value)
-    ok, bad = split_rejects(parse_json_map(df, value))
-    rows = ok.select(*[F.col(k) for k in keep], *fields_with_defaults(F.col("_m"), fields))
-    bad = bad.select(*[F.col(k) for k in keep], F.col(value))
-    if typed:
-        conv = {f: F.col(f).try_cast(t) for f, t in typed.items()}
-        failed = F.lit(False)
-        for f, c in conv.items():
-            failed = failed | (F.col(f).isNotNull() & c.isNull())
-        rows = rows.withColumn("_bad", failed)
-        bad = bad.unionByName(
-            rows.where("_bad").select(*[F.col(k) for k in keep],
-                                      F.to_json(F.struct(*[F.col(f) for f in fields])).alias(value)))
-        rows = rows.where(~F.col("_bad")).select(
-            *[F.col(k) for k in keep], *[conv.get(f, F.col(f)).alias(f) for f in fields])
-    return rows, bad
+    flagged = clean_flagged(df, fields, value, exclude, typed, keep)
+    return split_flagged(flagged, fields, value, keep)
 
 
 def first_seen(batch: DataFrame, registry: DataFrame, key: Sequence[str], order: Sequence[str | Column],

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import fixed
-from quarry.operators.clean import clean_messages, first_seen
+from quarry.operators.clean import clean_flagged, clean_messages, first_seen, split_flagged
 
 
 # ---------------------------------------------------------------- sources
@@ -89,9 +89,9 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
             df.unpersist()
             return
         try:
-            rows = df
+            rows, held = df, None
             if cleaner is not None:
-                rows, rejects = cleaner(df)
+                rows, rejects, held = cleaner(df)
                 if reject_path is not None:
                     _write_batch(rejects, "parquet", reject_path, batch_id)
             out = rows
@@ -106,6 +106,8 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
             if registry_path is not None:
                 _write_batch(out.select(*key), "parquet", registry_path, batch_id)  # one row per key already
                 out.unpersist()
+            if held is not None:
+                held.unpersist()
         finally:
             df.unpersist()
 
@@ -133,8 +135,13 @@ def item_cleaning(messages: DataFrame, fields: Sequence[str], *, exclude: str |
 
 def item_cleaner(fields: Sequence[str], *, exclude: str | None, typed: dict[str, str] | None = None,
                  keep: Sequence[str] = ()):
-    """The cleaning graph as a per-batch function for ``clean_and_register``."""
-    return lambda df: clean_messages(df, fields, exclude=exclude, typed=typed, keep=keep)
+    """The cleaning graph as a per-batch function for ``clean_and_register``:
+    the batch is parsed once into a flagged frame, persisted, and split."""
+    def clean(df: DataFrame):
+        flagged = clean_flagged(df, fields, exclude=exclude, typed=typed, keep=keep).persist()
+        rows, rejects = split_flagged(flagged, fields, keep=keep)
+        return rows, rejects, flagged
+    return clean
 
 
 def dedup_stream(rows: DataFrame, key: Sequence[str], event_time: str | None = None,
