@@ -254,7 +254,7 @@ def sql_count(spark, sf):
     return spark.sql("SELECT count(0) AS n FROM ratings")
 
 
-@query("composite_sort", ops="O62", sql="""
+@query("composite_sort_top", ops="O62", sql="""
 SELECT l_suppkey AS first, l_partkey AS second, l_orderkey, l_linenumber FROM lineitem
 ORDER BY first, second, l_orderkey, l_linenumber
 """)
