@@ -100,33 +100,43 @@ def _split(col):
 
 
 def _rating_ints(spark, sf):
-    r = ratings(spark, sf)
-    return r.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"),
-                    F.col("rating").cast("float").alias("rating"))
+    """Ratings with dense int indexes for ALS beside the original ids."""
+    r = ratings(spark, sf).persist()  # read by both id indexes and the join below
+    users = R.index_ids(r, "user", "uidx")
+    items = R.index_ids(r, "item", "iidx")
+    j = r.join(users, "user").join(items, "item")
+    return j.select("user", "item", "uidx", "iidx", F.col("rating").cast("float").alias("rating")), items
+
+
+def _fit(r, **kw):
+    return R.fit_als(r, user="uidx", item="iidx", **kw)
 
 
 @query("als_explicit", ops="O105 O107")
 def als_explicit(spark, sf):
-    r = _rating_ints(spark, sf)
+    r, _ = _rating_ints(spark, sf)
     train = _split(F.struct("user", "item"))
-    model = R.fit_als(r.where(train))
+    model = _fit(r.where(train))
     return R.predict_pairs(model, r.where(~train)).select("user", "item", "rating", "prediction")
 
 
 @query("als_implicit", ops="O79 O106 O107")
 def als_implicit(spark, sf):
-    r = _rating_ints(spark, sf).withColumn("rating", R.implicit_shift("rating").cast("float"))
+    r, _ = _rating_ints(spark, sf)
+    r = r.withColumn("rating", R.implicit_shift("rating").cast("float"))
     train = _split(F.struct("user", "item"))
-    model = R.fit_als(r.where(train), implicit=True, alpha=0.01)
+    model = _fit(r.where(train), implicit=True, alpha=fixed.ALS_ALPHA)
     return R.predict_pairs(model, r.where(~train)).select("user", "item", "rating", "prediction")
 
 
 @query("als_top_items", ops="O108")
 def als_top_items(spark, sf):
-    r = _rating_ints(spark, sf)
-    model = R.fit_als(r)
-    first_user = r.agg(F.min("user")).first()[0]
-    return R.top_items_for_user(model, first_user, fixed.TOP_K)
+    r, items = _rating_ints(spark, sf)
+    model = _fit(r)
+    first_user = r.agg(F.min_by("uidx", "user")).first()[0]  # the smallest user id
+    top = R.top_items_for_user(model, first_user, fixed.TOP_K)
+    return top.join(items.withColumnRenamed("iidx", "item_idx"), top["item"] == F.col("item_idx")) \
+        .select(items["item"].alias("item"), "score")
 
 
 def _docs_labels(spark, sf):
@@ -252,9 +262,9 @@ def cheapest_path(spark, sf):
 
 @query("als_item_neighbours", ops="O109 (on ALS item factors)")
 def als_item_neighbours(spark, sf):
-    r = _rating_ints(spark, sf)
-    model = R.fit_als(r)
-    items = model.itemFactors.select(F.col("id").alias("item"), "features")
-    target = items.orderBy("item").first()  # one factor row: the target item
-    out = R.neighbours(items, "item", "features", list(target["features"]), target["item"], k=10)
+    r, items = _rating_ints(spark, sf)
+    model = _fit(r)
+    factors = model.itemFactors.join(items, model.itemFactors["id"] == items["iidx"]).select("item", "features")
+    target = factors.orderBy("item").first()  # one factor row: the target item
+    out = R.neighbours(factors, "item", "features", list(target["features"]), target["item"], k=fixed.NEIGHBOURS)
     return out.select("item", F.round("sim", 6).alias("sim"))
