@@ -29,8 +29,14 @@ SELECT count(*) AS n, round(avg(pow(rating - prediction, 2)), 6) AS mse,
 FROM ratings JOIN preds USING ("user", item)
 """)
 def prediction_error(spark, sf):
-    r = ratings(spark, sf)
-    m = R.error_metrics(r, _predictions(r))
+    # One aggregate of the ratings per pair; the stand-in predictions are made
+    # from the same pairs, and the error needs only the pair sums. The
+    # ``_n * 0.0`` term keeps the predictions' input identical to the stats'
+    # (no column pruned), so both read one shared shuffle.
+    stats = R.pair_rating_stats(ratings(spark, sf))
+    preds = stats.select("user", "item", (F.lit(1.0) + ((F.col("user") * 7 + F.col("item") * 3) % 5) * F.lit(0.9)
+                                          + F.col("_n") * F.lit(0.0)).alias("prediction"))
+    m = R.error_metrics_from_stats(stats, preds)
     return m.select("n", F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse"))
 
 
