@@ -15,12 +15,6 @@ from quarry.sources.io import load, named_documents
 MAP_K = fixed.TOP_K
 
 
-def _predictions(r):
-    """A fixed prediction per rated pair (a stand-in model's output)."""
-    pairs = r.select("user", "item").distinct()
-    return pairs.withColumn("prediction", F.lit(1.0) + ((F.col("user") * 7 + F.col("item") * 3) % 5) * F.lit(0.9))
-
-
 @query("prediction_error", ops="O41 O55 O80 O110", sql=_RATINGS_SQL + """
 , preds AS (SELECT DISTINCT "user", item,
                    1.0 + (("user" * 7 + item * 3) % 5) * CAST(0.9 AS DOUBLE) AS prediction FROM ratings)
@@ -47,9 +41,12 @@ SELECT count(*) AS n, round(avg(pow(greatest(rating - 2.5, 0.0) - greatest(predi
 FROM ratings JOIN preds USING ("user", item)
 """)
 def implicit_error(spark, sf):
-    r = ratings(spark, sf).withColumn("rating", R.implicit_shift("rating"))
-    p = _predictions(ratings(spark, sf)).withColumn("prediction", R.implicit_shift("prediction"))
-    m = R.error_metrics(r, p)
+    # Shifted ratings aggregated per pair once; shifted stand-in predictions
+    # from the same pairs (see prediction_error).
+    stats = R.pair_rating_stats(ratings(spark, sf).withColumn("rating", R.implicit_shift("rating")))
+    raw = F.lit(1.0) + ((F.col("user") * 7 + F.col("item") * 3) % 5) * F.lit(0.9) + F.col("_n") * F.lit(0.0)
+    preds = stats.select("user", "item", raw.alias("prediction")).withColumn("prediction", R.implicit_shift("prediction"))
+    m = R.error_metrics_from_stats(stats, preds)
     return m.select("n", F.round("mse", 6).alias("mse"))
 
 
