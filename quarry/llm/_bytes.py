@@ -57,10 +57,11 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95]] = True
 _WORD[128:] = True
 
 
-def words(text: str | None) -> np.ndarray:
+def words(text: str | None, beginnings: tuple[int, ...] = ()) -> np.ndarray:
     """Hash of every word of the lower-cased text, in order.
 
-    A word is a maximal run of ASCII letters, digits, underscores and
+    With ``beginnings``, the hashes of the words' first so many bytes follow,
+    for the words that are longer. A word is a maximal run of ASCII letters, digits, underscores and
     non-ASCII characters. Null and empty texts have none.
     """
     if not text:
@@ -70,7 +71,12 @@ def words(text: str | None) -> np.ndarray:
     w[1:-1] = _WORD[b]
     d = np.diff(w)
     start, end = np.flatnonzero(d == 1), np.flatnonzero(d == -1)
-    return span_hash(prefix_hash(b), start, end)
+    h = prefix_hash(b)
+    out = [span_hash(h, start, end)]
+    for k in beginnings:
+        s = start[end - start > k]
+        out.append(span_hash(h, s, s + k) + _U(k))
+    return np.concatenate(out) if beginnings else out[0]
 
 
 def shingles(text: str | None, k: int = 5) -> np.ndarray:

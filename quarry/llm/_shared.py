@@ -50,3 +50,39 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         pick = part if pick is None else pick.unionByName(part)
     return (docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id")
             .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))
+
+
+def class_rate(labels: DataFrame, label: str, learn: Column) -> float:
+    """Share of label 1 among the rows that may be learnt from (0.5 when there are none)."""
+    r = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & learn)
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("k")).first())
+    return min(max(r["k"] / r["n"], 1e-4), 1 - 1e-4) if r["n"] else 0.5
+
+
+def log_odds(p: float) -> float:
+    import math
+
+    return math.log(p / (1 - p))
+
+
+def score_texts(docs: DataFrame, scorer, held_out: Column, fields: str) -> DataFrame:
+    """``scorer(texts) -> list of numpy columns`` over whole texts, batch by batch.
+
+    Returns doc_id, held_out and the columns that ``fields`` declares. Only
+    ``text`` reaches the scorer.
+    """
+    import pyarrow as pa
+
+    src = docs.select("doc_id", held_out.alias("held_out"), "text")
+    id_type = src.schema["doc_id"].dataType.simpleString()
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                b = batch.slice(at, 512)
+                cols = scorer([t.as_py() for t in b.column(2)])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, cols)],
+                                                 names=["doc_id", "held_out", *names])
+
+    return src.mapInArrow(run, f"doc_id {id_type}, held_out boolean, {fields}")
