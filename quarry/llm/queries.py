@@ -26,3 +26,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.best_fit_packing import pack
 
     return pack(read(spark, sf_dir, "documents"))
+
+
+@register("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.toxicity import score_toxicity
+
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op9_kernel_langid")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.kernel_langid import identify
+
+    return identify(read(spark, sf_dir, "documents"))
+
+
+@register("op10_attention_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.attention_quality import score_quality
+
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op6_bayes_jaccard")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.bayes_jaccard import jaccard_classes
+
+    return jaccard_classes(read(spark, sf_dir, "documents"))
