@@ -54,3 +54,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.bayes_jaccard import jaccard_classes
 
     return jaccard_classes(read(spark, sf_dir, "documents"))
+
+
+@register("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quarry.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
