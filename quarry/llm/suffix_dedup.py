@@ -114,7 +114,7 @@ def _cut(docs: DataFrame, wanted: DataFrame, make, schema: str) -> DataFrame:
     per_doc = wanted.groupBy(F.col("doc_id").alias("_d"), "_t").agg(
         F.collect_list(F.struct("key", "content", "start", "windows", "cnt")).alias("_w"))
     src = (docs.select("doc_id", text_key().alias("_t"), "text")
-           .join(per_doc.withColumnRenamed("_t", "_t2"),
+           .join(per_doc.withColumnRenamed("_t", "_t2").hint("merge"),
                  F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_t2")))
            .select("doc_id", "_t", "text", "_w"))
 
@@ -244,7 +244,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, lane
     per_doc = spans.groupBy(F.col("doc_id").alias("_d"), F.col("_t").alias("_t2")).agg(
         F.collect_list(F.struct("s", "e")).alias("_s"))
     src = (docs.withColumn("_t", text_key())
-           .join(per_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_t2")), "left")
+           .join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_t2")), "left")
            .drop("_d", "_t", "_t2"))
     at, text_at = src.columns.index("_s"), src.columns.index("text")
     names = [c for c in src.columns if c != "_s"]
