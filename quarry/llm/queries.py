@@ -64,3 +64,41 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op7_projection_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.projection_dedup import vector_components
+
+    return vector_components(read(spark, sf_dir, "embeddings"))
+
+
+@register("op5_permutation_index")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.permutation_index import search
+
+    return search(read(spark, sf_dir, "embeddings"))
+
+
+def _quote_sql() -> str:
+    from quarry.llm.quote_linking import ORACLE_SQL
+
+    return ORACLE_SQL
+
+
+@register("op2_quote_linking", _quote_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.quote_linking import link_quotes
+
+    return link_quotes(read(spark, sf_dir, "conversations"))
+
+
+@register("op8_piece_viterbi")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids' checksum and the decoded text's digest of every document."""
+    from pyspark.sql import functions as F
+
+    from quarry.llm.piece_viterbi import decode_documents, encode_documents
+
+    out = decode_documents(encode_documents(read(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
