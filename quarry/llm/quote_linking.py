@@ -173,6 +173,7 @@ flat AS (
     LEFT JOIN replies r ON r.conv_id = a.conv_id AND r.turn = a.turn
     LEFT JOIN tops t ON t.conv_id = a.conv_id AND t.turn = a.turn)
 SELECT conv_id, turn, role, text, n_quotes, max_level, parent_turn, root_turn, depth,
-       row_number() OVER (PARTITION BY conv_id ORDER BY root_turn, turn, role, text, m) AS reply_pos
+       row_number() OVER (PARTITION BY conv_id ORDER BY root_turn NULLS FIRST, turn NULLS FIRST,
+                          role NULLS FIRST, text NULLS FIRST, m) AS reply_pos
 FROM flat
 """
