@@ -86,3 +86,18 @@ def score_texts(docs: DataFrame, scorer, held_out: Column, fields: str) -> DataF
                                                  names=["doc_id", "held_out", *names])
 
     return src.mapInArrow(run, f"doc_id {id_type}, held_out boolean, {fields}")
+
+
+def keep_texts(docs: DataFrame, decide) -> DataFrame:
+    """The rows of ``docs``, all columns, whose whole text ``decide(texts) -> booleans`` keeps; no shuffle."""
+    import pyarrow as pa
+
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                b = batch.slice(lo, 512)
+                yield b.filter(pa.array([bool(x) for x in decide([t.as_py() for t in b.column(at)])], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

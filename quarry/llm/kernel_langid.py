@@ -151,15 +151,18 @@ def training_texts(docs: DataFrame, learn: Column, per_lang: int = 300, max_trai
             .join(F.broadcast(pick), ["doc_id", "lang"]).select("lang", "text", "_r", "doc_id"))
 
 
-def identify(docs: DataFrame, learn: Column | None = None, held_out: Column | None = None, per_lang: int = 300,
-             max_train: int = 3000, landmarks: int = 160) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every document."""
-    held_out = held_out if held_out is not None else remainder("doc_id", 4) == 2
-    learn = learn if learn is not None else ~held_out
+def fit_language(docs: DataFrame, learn: Column, per_lang: int = 300, max_train: int = 3000, landmarks: int = 160):
+    """The model, as a broadcast variable (its size is bounded by the parameters)."""
     rows = training_texts(docs, learn, per_lang, max_train).limit(max_train).collect()
     rows.sort(key=lambda r: (r["_r"], r["lang"], r["doc_id"], r["text"]))
     model = KernelLanguageModel(landmarks).fit([r["text"] for r in rows], [r["lang"] for r in rows])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the parameters above
+    return docs.sparkSession.sparkContext.broadcast(model)
+
+
+def identify(docs: DataFrame, learn: Column | None = None, held_out: Column | None = None, **fit) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every document."""
+    held_out = held_out if held_out is not None else remainder("doc_id", 4) == 2
+    shared = fit_language(docs, learn if learn is not None else ~(remainder("doc_id", 4) == 2), **fit)
 
     def scorer(texts):
         pred, score = shared.value.score(texts)

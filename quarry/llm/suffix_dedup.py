@@ -238,8 +238,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, lane
     return same.unionByName(again).unionByName(lanes).unionByName(dealt)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, lane: int = LANE) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans, spans (array of [start, end)) and ``kept`` (the bytes left)."""
+_OUT = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, lane: int = LANE,
+                   as_text: bool = False) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans, spans (array of [start, end)) and ``kept`` (the bytes left).
+
+    With ``as_text``, ``kept`` is a string; a character that a cut left
+    incomplete is dropped. Columns of ``docs`` with these names are replaced.
+    """
+    docs = docs.drop(*_OUT, "_t", "_s", "_d", "_t2")
     spans = repeated_spans(docs, length, gram, lane).distinct()
     per_doc = spans.groupBy(F.col("doc_id").alias("_d"), F.col("_t").alias("_t2")).agg(
         F.collect_list(F.struct("s", "e")).alias("_s"))
@@ -274,8 +283,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, lane
                 yield pa.RecordBatch.from_arrays(
                     [*cols, pa.array(size, pa.int64()), pa.array(gone, pa.int64()),
                      pa.array([len(m) for m in merged], pa.int64()), pa.array(merged, kind),
-                     pa.array(kept, pa.binary())],
+                     pa.array([k.decode("utf-8", "ignore") for k in kept] if as_text else kept,
+                              pa.string() if as_text else pa.binary())],
                     names=[*names, "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
-    extra = "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
+    extra = ("n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept "
+             + ("string" if as_text else "binary"))
     return src.mapInArrow(run, ", ".join([*fields, extra]))
