@@ -157,17 +157,18 @@ def configuration_shares(demand: np.ndarray, capacity: int, rounds: int = 250,
                          step: float = 0.35) -> list[tuple[float, np.ndarray]]:
     """Fractional configurations covering ``demand``: multiplicative weights with knapsack pricing.
 
-    Row weights start at the length (the volume bound's dual) and fall
-    exponentially with the share of the row already covered; a covered row
-    stops counting. Every round adds ``step`` of the tightest row of the
+    Row weights start above the volume bound's dual for long pieces, which are
+    the hard ones to place (otherwise full configurations of short pieces tie
+    and use them up), and fall exponentially with the share of the row already
+    covered; a covered row stops counting. Every round adds ``step`` of the tightest row of the
     priced configuration.
     """
     shares: dict[bytes, list] = {}
     done = np.zeros(len(demand))
-    volume = np.arange(len(demand)) / capacity
+    worth = (np.arange(len(demand)) / capacity) ** 1.5
     for _ in range(rounds):
         left = np.maximum(demand - done, 0.0)
-        price = np.where(left >= 1, volume * np.exp(-np.minimum(done / np.maximum(demand, 1), 1.0)), 0.0)
+        price = np.where(left >= 1, worth * np.exp(-0.5 * np.minimum(done / np.maximum(demand, 1), 1.0)), 0.0)
         if not price.any():
             break
         a = dearest_configuration(price, capacity)
