@@ -88,14 +88,16 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding"
     copies = rows.select("node", "vec_id").withColumn("_r", nth).where(F.col("_r") <= k + 1).drop("_r")
     entries = rows.groupBy("node").agg(F.first("v").alias("v"))
     chosen = entries.orderBy(id_hash("node", seed), "node").limit(pivots).collect()  # at most ``pivots`` rows
-    p = np.asarray([r["v"] for r in chosen], np.float64).reshape(len(chosen), -1)
+    p = np.asarray([r["v"] for r in chosen], np.float64).reshape(len(chosen), size)
     p = p / np.maximum(np.sqrt((p * p).sum(1, keepdims=True)), 1e-300)
     length = min(order, len(p))
 
     def permute(batches):
         for b in batches:
             x = matrix(b.column(1))
-            o = orders(x, p, length) if len(x) else np.zeros((0, length), np.int64)
+            if not len(x):
+                continue
+            o = orders(x, p, length)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(o.astype(np.int32)),
                                               pa.list_(pa.int32()))], names=["node", "v", "o"])
 
