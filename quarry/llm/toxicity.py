@@ -153,6 +153,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, per_class: i
     named = rows.where(F.size("s") > 0).select(F.explode("s").alias("o"), "h")
     moved = (named.select(F.explode(F.array_union(F.array_except("h", "o"), F.array_except("o", "h"))).alias("w"))
              .distinct())  # what swaps change: features of IDENTITY's terms only, a fixed list
+    # a term that no labelled text holds keeps weight 0, so a penalised weight cannot hide in it
+    moved = moved.join(counts.select("w"), "w", "left_semi")
     top = counts.orderBy(chi.desc(), "w").limit(vocabulary).select("w")
     chosen = np.asarray([r["w"] for r in top.union(moved).collect()], np.int64)
     vocab = np.unique(chosen.view(np.uint64))
