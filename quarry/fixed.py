@@ -4,14 +4,12 @@ Kept together and in plain form; the field lists of the message schemas
 are in ``quarry.sources.schemas``.
 """
 
-# Ranking export.
-RANK_CAP = 3_000_000
-
 # Film-age profile (reference year, sentinel year for unknown dates).
 AGE_REFERENCE_YEAR = 1998
 AGE_SENTINEL_YEAR = 1990
 
-# Pivot default for a missing rating; implicit-feedback offset.
+# Number of pivoted values; pivot default for a missing rating; implicit-feedback offset.
+PIVOT_VALUES = 20
 PIVOT_DEFAULT = 3
 IMPLICIT_OFFSET = 2.5
 

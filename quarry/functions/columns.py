@@ -76,11 +76,3 @@ def split_words(line: str | Column, sep: str = " ") -> Column:
     return (F.when(c == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, sep)))
-
-
-def first_char_class(name: str | Column) -> Column:
-    return F.substring(col_of(name), 1, 1)
-
-
-def struct_of(cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in cols])

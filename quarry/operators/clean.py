@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import map_field_or_default
+from quarry.functions.columns import col_of, map_field_or_default
 from quarry.operators.tables import keep_first
 
 MAP_TYPE = "map<string,string>"
@@ -28,9 +28,11 @@ def parse_json_map(df: DataFrame, value: str = "value", out: str = "_m") -> Data
 
     ``from_json`` with a map type gives null for malformed text and for
     top-level arrays or scalars, so a null map is the reject test. Numbers and
-    nested objects arrive as their JSON text, which suits all-string rows.
+    nested objects arrive as their JSON text, which suits all-string rows. The
+    parse stands behind a one-row generator: filters on its result stay above
+    it, so Catalyst does not copy the parser into them.
     """
-    return df.withColumn(out, F.from_json(F.col(value), MAP_TYPE))
+    return df.select("*", F.inline(F.array(F.struct(F.from_json(F.col(value), MAP_TYPE).alias(out)))))
 
 
 def split_rejects(parsed: DataFrame, m: str = "_m") -> tuple[DataFrame, DataFrame]:
@@ -104,6 +106,18 @@ def first_seen(batch: DataFrame, registry: DataFrame, key: Sequence[str], order:
     return firsts.join(registry.select(*key), list(key), "left_anti")
 
 
+def first_seen_flagged(rows: DataFrame, known: Column, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """``first_seen`` when registered and new rows stand in one frame, told
+    apart by ``known``: a key with a registered row is dropped, any other keeps
+    its first row. One aggregate, one pass."""
+    rest = [c for c in rows.columns if c not in key]
+    ord_struct = F.struct(*[col_of(c) for c in order])
+    best = rows.withColumn("_known", known).groupBy(*key).agg(
+        F.max("_known").alias("_known"), F.min_by(F.struct(*[F.col(c) for c in rest]), ord_struct).alias("_row"))
+    return (best.where(~F.col("_known"))
+            .select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*rows.columns))
+
+
 def flatten_company_nodes(docs: DataFrame, label: str = "Company") -> DataFrame:
     """Nested graph documents to distinct (node_id, name) of ``label`` nodes.
 

@@ -7,6 +7,7 @@ own IDF and feature width, so training and scoring cannot disagree (H7).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
@@ -56,7 +57,9 @@ def fit_tree(df: DataFrame, feature_cols: Sequence[str], label_col: str, max_dep
              max_categories: int = 4) -> PipelineModel:
     """String label indexer, vector assembler, categorical indexer, gini tree
     (O100-O102), fitted; then a converter from the predicted index back to
-    the label text, made from the fitted indexer's labels (O100)."""
+    the label text, made from the fitted indexer's labels (O100). A row with a
+    missing or non-finite feature cannot be learnt from and is left out of the
+    fit; ``predict_rows`` keeps it."""
     li = StringIndexer(inputCol=label_col, outputCol="indexedLabel", handleInvalid="keep")
     va = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="skip")
     vi = VectorIndexer(inputCol="features", outputCol="indexedFeatures", maxCategories=max_categories,
@@ -68,6 +71,14 @@ def fit_tree(df: DataFrame, feature_cols: Sequence[str], label_col: str, max_dep
     return PipelineModel(stages=[*fitted.stages, back])
 
 
+def predict_rows(model: PipelineModel, df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """Every row of ``df`` with its predictions; a row with a missing or
+    non-finite feature keeps its place with null predictions."""
+    ok = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in feature_cols])
+    scored = model.transform(df.where(ok))
+    return scored.unionByName(df.where(~F.coalesce(ok, F.lit(False))), allowMissingColumns=True)
+
+
 def kmeans_estimator(text_col: str = "text", k: int = fixed.KMEANS_K, seed: int = fixed.KMEANS_SEED,
                      num_features: int = fixed.KMEANS_FEATURES) -> Pipeline:
     """TF-IDF then k-means with a fixed seed."""

@@ -35,9 +35,9 @@ def cheapest_paths(edges: DataFrame, source, max_hops: int | None = None, checkp
     ensure_checkpoint_dir(spark)
     e = (edges.select("src", "dst", F.col("cost").cast("double").alias("cost"))
          .groupBy("src", "dst").agg(F.min("cost").alias("cost")))
-    if e.where(F.col("cost") < 0).limit(1).count():
+    e = e.checkpoint()  # the edges are read every round: made once, kept in the shared folder
+    if not e.where(F.col("cost") < 0).isEmpty():
         raise ValueError("edge costs must be non-negative")
-    e = e.persist()
     key_type = edges.schema["src"].dataType
     dist = spark.createDataFrame([(source, 0.0, 0, None)],
                                  f"node {key_type.simpleString()}, dist double, hops int, pred {key_type.simpleString()}")
@@ -63,23 +63,36 @@ def cheapest_paths(edges: DataFrame, source, max_hops: int | None = None, checkp
         if rounds % checkpoint_every == 0:
             dist = dist.checkpoint(eager=True)
         frontier = improved
-    e.unpersist()
     return dist
 
 
-def path_to(dist: DataFrame, target, max_len: int = 10_000) -> list:
-    """Node list from the source to ``target`` by following predecessors.
+def path_rows(dist: DataFrame, target) -> DataFrame:
+    """(pos, node): the whole path from the source to ``target``, position 0 the source.
 
-    Walks one row per step (a path, not a table), so it reads ``hops``
-    single rows by key.
+    Pointer doubling: each round adds the ancestors twice as far up, so a path
+    of any length takes a logarithmic number of joins and stays a table. The
+    frame is empty when the target was not reached.
     """
-    row = dist.where(F.col("node") == F.lit(target)).select("pred", "hops").first()
-    if row is None:
-        return []
-    path = [target]
-    pred = row[0]
-    while pred is not None and len(path) <= max_len:
-        path.append(pred)
-        r = dist.where(F.col("node") == F.lit(pred)).select("pred").first()
-        pred = r[0] if r else None
-    return list(reversed(path))
+    from quarry.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(dist.sparkSession)
+    end = dist.where(F.col("node") == F.lit(target)).select("node", F.lit(0).cast("bigint").alias("back")).checkpoint()
+    found = end
+    jump = dist.where(F.col("pred").isNotNull()).select(F.col("node").alias("n"), F.col("pred").alias("up"))
+    step = 1
+    while True:
+        more = (found.join(jump, found["node"] == jump["n"])
+                .select(F.col("up").alias("node"), (F.col("back") + F.lit(step)).alias("back"))).checkpoint()
+        if more.isEmpty():
+            break
+        found = found.unionByName(more).checkpoint()
+        far = jump.select(F.col("n").alias("up"), F.col("up").alias("far"))
+        jump = jump.join(far, "up").select("n", F.col("far").alias("up")).checkpoint()
+        step *= 2
+    length = found.agg(F.max("back")).first()[0]
+    return found.select((F.lit(length or 0) - F.col("back")).cast("bigint").alias("pos"), "node")
+
+
+def path_to(dist: DataFrame, target) -> list:
+    """Node list from the source to ``target`` (one path, whole); empty when it was not reached."""
+    return [r["node"] for r in path_rows(dist, target).orderBy("pos").collect()]

@@ -2,9 +2,9 @@
 counters, ranking (inventory O22-O66).
 
 All of it is DataFrame code planned by Catalyst. Where a side is broadcast,
-its size is either fixed by a parameter (serial-number offsets) or counted
-first (``maybe_broadcast``); everything else is left to AQE, which turns a
-sort-merge join into a broadcast only from measured shuffle sizes.
+its size is fixed by a parameter (serial-number offsets); everything else is
+left to AQE, which turns a sort-merge join into a broadcast only from measured
+shuffle sizes.
 """
 
 from __future__ import annotations
@@ -17,15 +17,6 @@ from pyspark.sql import functions as F
 from quarry import fixed
 from quarry.functions.columns import address_number, col_of, octet
 
-# Rows under which an explicitly hinted broadcast is allowed.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side; otherwise leave it to the planner."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 # ---------------------------------------------------------------- dedup
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
@@ -133,59 +124,94 @@ def _ranged(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
             .withColumn("_mid", F.monotonically_increasing_id()))
 
 
-def cap_rows(df: DataFrame, serial: str, n: int) -> DataFrame:
-    """Row cap after ranking (O63): keep serial numbers up to ``n``."""
-    return df.where(F.col(serial) <= n)
+def cap_rows(df: DataFrame, serial: str, n: int | None = None) -> DataFrame:
+    """Row cap after ranking (O63): serial numbers up to ``n``; all rows unless a cap is asked for."""
+    return df if n is None else df.where(F.col(serial) <= n)
 
 
 # ---------------------------------------------------------------- range join
 
+def _merged_ranges(g: DataFrame, key: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    """Overlapping and adjoining [_lo, _hi] of one group made one range."""
+    w = Window.partitionBy(*key).orderBy("_lo", "_hi")
+    before = F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    g = g.withColumn("_new", F.when(before.isNull() | (F.col("_lo") > before + 1), 1).otherwise(0))
+    g = g.withColumn("_isle", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (g.groupBy(*key, "_isle").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
+                                         *[F.first(c).alias(c) for c in rest]).drop("_isle"))
+
+
+_SHIFTS = (24, 16, 8, 0)
+
+
+def _address_blocks(lo: Column, hi: Column) -> Column:
+    """The aligned blocks (shift, block) that make up an address range exactly:
+    at each octet boundary the blocks inside the range that no wider one
+    covers, so at most 510 per boundary however wide the range is."""
+    def some(shift, a, b):
+        return F.when(a <= b, F.transform(F.sequence(a, b), lambda x: F.struct(F.lit(shift).alias("shift"), x.alias("blk")))
+                      ).otherwise(F.array().cast("array<struct<shift:int,blk:bigint>>"))
+    out, wider = [], None
+    for s in _SHIFTS:
+        size = 1 << s
+        first = F.floor((lo + (size - 1)) / F.lit(size)).cast("bigint")
+        last = (F.floor((hi + 1) / F.lit(size)) - 1).cast("bigint")
+        if wider is None:
+            out.append(some(s, first, last))
+        else:
+            a, b = wider[0] * 256, (wider[1] + 1) * 256
+            inside = wider[0] <= wider[1]
+            out.append(some(s, first, F.when(inside, F.least(last, a - 1)).otherwise(last)))
+            out.append(F.when(inside, some(s, F.greatest(first, b), last))
+                       .otherwise(F.array().cast("array<struct<shift:int,blk:bigint>>")))
+        wider = (first, last)
+    return F.concat(*out)
+
+
 def range_membership_join(points: DataFrame, groups: DataFrame, ip: str, ranges: str,
                           group_key: Sequence[str], point_key: Sequence[str] | None = None,
-                          match: str = "last_octet", salt_buckets: int = 1) -> DataFrame:
+                          match: str = "last_octet", salt_buckets: int = 16) -> DataFrame:
     """Points whose address falls in any ``a.b.c.lo-a.b.c.hi`` range of a group.
 
-    ``match="last_octet"`` reproduces the source: only the fourth octet counts.
-    Each range is exploded into its octet values (at most 256 per range),
-    deduplicated per group, and equi-joined on the octet, so every (point,
-    group) pair is emitted once and no theta join is planned.
-    ``match="full"`` compares the 32-bit address: ranges are exploded into
-    their /24 blocks, equi-joined on the block, then filtered by ``between``,
-    and pairs are deduplicated on the point key.
-
-    The exploded group side is usually small and AQE broadcasts it. When it
-    is not, the octet key has only 256 values, which would cap the join at
-    256 tasks: ``salt_buckets > 1`` spreads each key over that many buckets,
-    the point side by a hash of the point (repeatable on retry), the group
-    side copied once per bucket.
+    A group's overlapping ranges are merged first, so every (point, group)
+    pair comes out once and nothing needs deduplicating after the join.
+    ``match="last_octet"`` reproduces the source: only the fourth octet counts
+    and a range is its octet values. ``match="full"`` compares the 32-bit
+    address: a range is the aligned blocks that make it up, a point looks up
+    the one block it lies in at each of the four octet boundaries. Both are
+    equi-joins; no theta join is planned.
+
+    Many points may share a key (there are only 256 octets): ``salt_buckets``
+    spreads each key over that many tasks, the point side by a hash of the
+    point (repeatable on retry), the group side copied once per bucket.
     """
     g = groups.select(*[F.col(c) for c in groups.columns], F.explode_outer(F.col(ranges)).alias("_rng"))
     lo_addr = F.get(F.split("_rng", "-"), 0)
     hi_addr = F.get(F.split("_rng", "-"), 1)
     keep = [c for c in groups.columns if c != ranges]
+    rest = [c for c in keep if c not in group_key]
     if match == "last_octet":
-        lo, hi = octet(lo_addr, 3), octet(hi_addr, 3)
-        g = (g.select(*keep, lo.alias("_lo"), hi.alias("_hi"))
-             .where(F.col("_lo") <= F.col("_hi"))
-             .select(*keep, F.explode(F.sequence("_lo", "_hi")).alias("_oct"))
-             .dropDuplicates([*group_key, "_oct"]))
-        p = points.withColumn("_oct", octet(ip, 3))
-        if salt_buckets > 1:
-            p = p.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt_buckets)))
-            g = g.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-            return p.join(g, ["_oct", "_salt"]).drop("_oct", "_salt")
-        return p.join(g, "_oct").drop("_oct")
-    if match != "full":
+        lo, hi = octet(lo_addr, 3).cast("bigint"), octet(hi_addr, 3).cast("bigint")
+        blocks = F.transform(F.sequence("_lo", "_hi"), lambda x: F.struct(F.lit(0).alias("shift"), x.alias("blk")))
+        number, shifts = octet(ip, 3).cast("bigint"), (0,)
+    elif match == "full":
+        lo, hi = address_number(lo_addr), address_number(hi_addr)
+        blocks, number, shifts = _address_blocks(F.col("_lo"), F.col("_hi")), address_number(ip), _SHIFTS
+    else:
         raise ValueError("match must be 'last_octet' or 'full'")
-    if not point_key:
-        raise ValueError("match='full' needs point_key to emit each pair once")
-    lo, hi = address_number(lo_addr), address_number(hi_addr)
-    g = (g.select(*keep, lo.alias("_lo"), hi.alias("_hi"))
-         .where(F.col("_lo") <= F.col("_hi"))
-         .select(*keep, "_lo", "_hi", F.explode(F.sequence(F.shiftright("_lo", 8), F.shiftright("_hi", 8))).alias("_blk")))
-    p = points.withColumn("_num", address_number(ip)).withColumn("_blk", F.shiftright("_num", 8))
-    j = p.join(g, "_blk").where(F.col("_num").between(F.col("_lo"), F.col("_hi")))
-    return j.dropDuplicates([*point_key, *group_key]).drop("_blk", "_num", "_lo", "_hi")
+    g = g.select(*keep, lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
+    g = _merged_ranges(g, group_key, rest).select(*keep, F.inline(blocks).alias("shift", "blk"))
+    # the address is parsed once, behind the generator, and looked up per boundary
+    cols = points.columns
+    p = points.select(*cols, F.inline(F.array(F.struct(number.alias("_num"))))).where(F.col("_num").isNotNull())
+    p = p.select(*cols, F.inline(F.array(*[F.struct(F.lit(s).alias("shift"), F.shiftright("_num", s).alias("blk"))
+                                           for s in shifts])))
+    on = ["shift", "blk"]
+    if salt_buckets > 1:
+        p = p.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
+        g = g.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
+        on.append("_salt")
+    return p.join(g, on).drop(*on)
 
 
 def in_any_range(ip: Column, ranges: Column) -> Column:
@@ -239,17 +265,27 @@ def group_sizes(df: DataFrame, key: str) -> DataFrame:
 
 
 def column_cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False, rsd: float = 0.05) -> DataFrame:
-    """Distinct count per column (O53); ``approx`` switches to HyperLogLog++."""
-    f = (lambda c: F.approx_count_distinct(c, rsd)) if approx else (lambda c: F.count_distinct(c))
-    return df.agg(*[f(c).alias(f"distinct_{c}") for c in cols])
+    """Distinct count per column (O53); ``approx`` switches to HyperLogLog++.
+
+    Several exact counts in one aggregate would copy every row once per
+    column (Expand); here each column is counted from a scan of itself alone
+    and the one-row results are put side by side.
+    """
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, rsd).alias(f"distinct_{c}") for c in cols])
+    rows = None
+    for c in cols:
+        one = df.select(c).agg(F.count_distinct(c).alias("n")).select(F.lit(c).alias("c"), "n")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.agg(*[F.max(F.when(F.col("c") == c, F.col("n"))).alias(f"distinct_{c}") for c in cols])
 
 
 def age_histogram(df: DataFrame, date_text: str, ref_year: int = fixed.AGE_REFERENCE_YEAR,
-                  sentinel: int | None = fixed.AGE_SENTINEL_YEAR) -> DataFrame:
+                  sentinel: int | None = None) -> DataFrame:
     """Age from the third ``-`` part of a date text.
 
-    The source maps unknown dates to 1990 and then drops every 1990, so real
-    1990 dates go too; ``sentinel=None`` drops only unparseable dates.
+    Only unparseable dates are left out. The source maps unknown dates to 1990
+    and then drops every 1990, real ones too; ``sentinel`` does the same.
     """
     year = F.get(F.split(F.col(date_text), "-"), 2).try_cast("int")
     d = df.select(year.alias("_y")).where(F.col("_y").isNotNull())
@@ -288,11 +324,6 @@ def top_per_group(df: DataFrame, key: str, order: Sequence[Column], k: int, rank
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= k)
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """Global top-k (O61, O64): ``TakeOrderedAndProject``, k rows per partition at most."""
-    return df.orderBy(*order).limit(k)
-
-
 def composite_sort(df: DataFrame, first: str, second: str, *tiebreak: str) -> DataFrame:
     """Ascending by first then second (O62); no overflow, unlike an int-subtracting comparator."""
     return df.orderBy(first, second, *tiebreak)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import col_of, split_words
+from quarry.sources.io import stored
 
 # Our stop-word list for English tokens (not the source's list,
 # which belongs to a third-party segmenter).
@@ -53,23 +54,22 @@ def phrase_pattern(phrases: Sequence[str] = (), base: str = WORD_PATTERN) -> str
 
 def tokens(text: str | Column, phrases: Sequence[str] = (), stop_words: Sequence[str] | None = STOP_WORDS,
            pattern: str | None = None) -> Column:
-    """Lower-cased tokens of a raw text with stop words removed.
+    """Lower-cased tokens of a raw text with stop words removed.
 
     Stands in for the dictionary segmenter: letter runs, single Han
-    characters, and the user phrases kept whole.
+    characters, and the user phrases kept whole. Blanks inside a token (only
+    phrases or a given pattern can have them) are removed, and a token left
+    empty stays a token (O84).
     """
     pat = pattern or phrase_pattern(phrases)
     toks = F.regexp_extract_all(F.lower(col_of(text)), F.lit(pat), 0)
+    if phrases or pattern:
+        toks = F.transform(toks, lambda t: F.replace(t, F.lit(" "), F.lit("")))
     if stop_words:
         toks = F.filter(toks, lambda t: ~t.isin(*stop_words))
     return toks
 
 
-def whitespace_tokens(text: str | Column) -> Column:
-    """``Tokenizer``: lower-case, split on whitespace."""
-    return F.split(F.lower(col_of(text)), r"\s")
-
-
 def term_counts(docs: DataFrame, doc_id: str, toks: str, stop_words: Sequence[str] | None = None) -> DataFrame:
     """(doc_id, term, tf): raw term counts per document (O88, exact-term form).
 
@@ -132,12 +132,16 @@ class ExactNaiveBayes:
     def fit(self, tf: DataFrame, labels: DataFrame, doc_id: str, label: str) -> "ExactNaiveBayes":
         lam = self.lam
         lt = tf.join(labels.select(doc_id, label), doc_id)
-        # (class, term) counts are read by the fit and by every scoring pass.
-        self.counts = lt.groupBy(label, "term").agg(F.sum("tf").alias("cnt")).persist()
-        vocab = self.counts.select("term").distinct().count()
+        # One row per term: its count in every class it was seen with. Read by
+        # the fit's totals and by every scoring pass, so it is stored once.
+        counts = lt.groupBy("term", label).agg(F.sum("tf").alias("cnt"))
+        self.terms = stored(counts.groupBy("term").agg(
+            F.map_from_entries(F.collect_list(F.struct(label, "cnt"))).alias("by_class")), "term-model")
+        vocab = self.terms.count()
+        totals = self.terms.select(F.explode("by_class").alias(label, "cnt")).groupBy(label).agg(F.sum("cnt").alias("tot"))
+        # one row per class: a label of a classifier, a short list
         per_class = {r[0]: (r[1], r[2]) for r in
-                     labels.groupBy(label).agg(F.count(F.lit(1)).alias("n")).join(
-                         self.counts.groupBy(label).agg(F.sum("cnt").alias("tot")), label, "left").collect()}
+                     labels.groupBy(label).agg(F.count(F.lit(1)).alias("n")).join(totals, label, "left").collect()}
         n_docs = sum(v[0] for v in per_class.values())
         c = len(per_class)
         self.classes = sorted(per_class)
@@ -147,17 +151,14 @@ class ExactNaiveBayes:
         return self
 
     def predict(self, tf: DataFrame, docs: DataFrame, doc_id: str, out: str = "prediction") -> DataFrame:
-        lam, label = self.lam, self.label
-        terms = self.counts.select("term").distinct()
-        known = tf.join(terms, "term", "left_semi")
-        length = known.groupBy(doc_id).agg(F.sum("tf").alias("_len"))
-        sparse = (known.join(self.counts, "term")
-                  .groupBy(doc_id).pivot(label, self.classes)
-                  .agg(F.sum(F.col("tf") * F.log(F.col("cnt") + F.lit(lam)))))
-        d = docs.join(length, doc_id, "left").join(sparse, doc_id, "left")
+        lam = F.lit(self.lam)
+        part = [F.sum(F.col("tf") * F.log(F.try_element_at("by_class", F.lit(c)) + lam)).alias(f"_s{i}")
+                for i, c in enumerate(self.classes)]
+        sparse = tf.join(self.terms, "term").groupBy(doc_id).agg(F.sum("tf").alias("_len"), *part)
+        d = docs.join(sparse, doc_id, "left")
         ln = F.coalesce(F.col("_len"), F.lit(0)).cast("double")
         scores = [F.struct((F.lit(self.pi[c]) - F.lit(self.den[c]) * ln
-                            + F.coalesce(F.col(f"`{c}`"), F.lit(0.0))).alias("s"), F.lit(c).alias("c"))
-                  for c in self.classes]
+                            + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))).alias("s"), F.lit(c).alias("c"))
+                  for i, c in enumerate(self.classes)]
         best = F.greatest(*scores) if len(scores) > 1 else scores[0]
         return d.select(*docs.columns, best["c"].alias(out))

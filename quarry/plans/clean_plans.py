@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.clean import clean_messages, first_seen
+from quarry.operators.clean import clean_messages, first_seen_flagged
 from quarry.plans.registry import query
 from quarry.sources.io import load, parse_mail_index
 from quarry.sources.schemas import DETAIL_FIELDS, ITEM_FIELDS
@@ -95,9 +95,7 @@ def first_seen_registry(spark, sf):
     msgs = item_messages(load(spark, sf, "events"))
     rows, _ = clean_messages(msgs, ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"])
     split = F.lit(REGISTRY_SPLIT).cast("timestamp_ntz")  # the column is a local timestamp
-    registry = rows.where(F.col("ts") < split).select("item")
-    batch = rows.where(F.col("ts") >= split)
-    return first_seen(batch, registry, ["item"], ["ts", "event_id"]).drop("ts")
+    return first_seen_flagged(rows, F.col("ts") < split, ["item"], ["ts", "event_id"]).drop("ts")
 
 
 def _label_lines(spark, sf):
@@ -106,7 +104,7 @@ def _label_lines(spark, sf):
     return lab.join(docs, "doc_id").select("doc_id", F.concat(F.col("toxic").cast("string"), F.lit(":"), F.col("text")).alias("line"))
 
 
-@query("label_text_cut", ops="O34 O32 O33", sql="""
+@query("label_text_cut", ops="O34", sql="""
 SELECT l.doc_id, CAST(l.toxic AS VARCHAR) AS label, d.text AS text
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 """)
@@ -148,15 +146,20 @@ _DETAIL_SQL_COLS = ", ".join(
      f"'{f[:3]}-' || event_id AS \"{f}\"" for f in DETAIL_FIELDS])
 
 
-@query("json_scan", ops="O01 O02 O10", sql="""
+@query("json_scan", ops="O02", sql="""
 SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(user_id % 50 AS VARCHAR) END AS city,
        CAST(floor(value) AS BIGINT) AS score,
-       CASE WHEN event_type = 'view' AND value < 5 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS item
+       CASE WHEN event_type = 'view' AND value < 5 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS item,
+       CAST(NULL AS VARCHAR) AS rejected
 FROM events WHERE NOT (event_type = 'error' AND value > 45)
+UNION ALL
+SELECT -1, NULL, -1, NULL, '{"score":' || left(CAST(CAST(floor(value) AS INT) AS VARCHAR), 1)
+FROM events WHERE event_type = 'error' AND value > 45
 """)
 def json_scan(spark, sf):
-    """Messages written as JSON lines to the shared folder, then scanned with
-    an inferred schema; malformed lines land in ``_corrupt_record``."""
+    """Messages written as JSON lines to the shared folder, then scanned with a
+    given schema (no inference pass). Malformed lines come back too, with
+    their text in ``_corrupt_record``: the rejects."""
     from quarry.session import shared_path
     from quarry.sources.io import read_json
 
@@ -168,6 +171,8 @@ def json_scan(spark, sf):
                      .otherwise(F.col("value")).alias("value"))
     path = shared_path(spark, "json_scan")
     js.write.mode("overwrite").text(path)
-    scanned = read_json(spark, path)
-    good = scanned.where(F.col("_corrupt_record").isNull()) if "_corrupt_record" in scanned.columns else scanned
-    return good.select("event_id", "city", "score", "item")
+    schema = "event_id bigint, city string, score bigint, item string, _corrupt_record string"
+    none = F.lit(-1).cast("bigint")
+    return read_json(spark, path, schema).select(
+        F.coalesce("event_id", none).alias("event_id"), "city", F.coalesce("score", none).alias("score"), "item",
+        F.col("_corrupt_record").alias("rejected"))

@@ -20,13 +20,29 @@ def events_stream(spark, sf):
     return jobs.file_stream(spark, sf, "parquet", schema, glob="events.parquet")
 
 
-@query("stream_clean_items", ops="O06 O07 O16 O27 O28 O29 O35 O67 O68 O71 O72", sql=_ITEM_SQL + f"""
-SELECT {_ITEM_COLS} FROM m WHERE event_type <> 'purchase'
-QUALIFY row_number() OVER (PARTITION BY item ORDER BY ts, event_id) = 1
+def events_in_batches(spark, sf, base, batches=4):
+    """The events written in time order as ``batches`` files, streamed one file a micro-batch;
+    most users recur in several of them."""
+    ev = load(spark, sf, "events")
+    bounds = ev.agg(F.percentile(F.unix_micros(F.col("ts").cast("timestamp")),
+                                 [i / batches for i in range(1, batches)])).first()[0]
+    part = sum(((F.unix_micros(F.col("ts").cast("timestamp")) > F.lit(b)).cast("int") for b in bounds), F.lit(0))
+    for i in range(batches):
+        ev.where(part == i).coalesce(1).write.parquet(f"{base}/events/part{i}")
+    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(f"{base}/events"))
+
+
+@query("stream_clean_items", ops="O07 O15 O16 O27 O28 O29 O35 O67 O68 O71", sql=_ITEM_SQL + f"""
+, f AS (SELECT * FROM m WHERE event_type <> 'purchase'
+        QUALIFY row_number() OVER (PARTITION BY item ORDER BY ts, event_id) = 1)
+SELECT 'parquet' AS sink, {_ITEM_COLS} FROM f UNION ALL SELECT 'json' AS sink, {_ITEM_COLS} FROM f
+UNION ALL SELECT 'registry', 0, NULL, NULL, NULL, NULL, NULL, item, NULL, NULL FROM f
 """)
 def stream_clean_items(spark, sf):
+    """Four micro-batches whose keys recur; both sinks and the key registry are returned."""
     base = shared_path(spark, "stream_clean_items")
-    msgs = item_messages(events_stream(spark, sf))
+    msgs = item_messages(events_in_batches(spark, sf, base))
     qs = jobs.clean_and_register(
         msgs, key=["item"], order=["ts", "event_id"],
         cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"]),
@@ -34,7 +50,13 @@ def stream_clean_items(spark, sf):
         registry_path=f"{base}/registry", checkpoint=f"{base}/_checkpoint",
         reject_path=f"{base}/rejects", drop_cols=["ts"])
     jobs.await_all(qs)
-    return spark.read.parquet(f"{base}/items").drop("batch_id")
+    cols = ["event_id", *ITEM_FIELDS]
+    schema = "event_id bigint, " + ", ".join(f"{c} string" for c in ITEM_FIELDS)
+    rows = spark.read.schema(schema).parquet(f"{base}/items").select(F.lit("parquet").alias("sink"), *cols)
+    index = spark.read.schema(schema).json(f"{base}/index").select(F.lit("json").alias("sink"), *cols)
+    keys = spark.read.schema("item string").parquet(f"{base}/registry").select(F.lit("registry").alias("sink"), "item")
+    out = rows.unionByName(index).unionByName(keys, allowMissingColumns=True)
+    return out.withColumn("event_id", F.coalesce("event_id", F.lit(0).cast("bigint")))
 
 
 @query("stream_clean_detail", ops="O69", sql=f"""
@@ -54,7 +76,7 @@ def stream_clean_detail(spark, sf):
     return spark.read.schema(DETAIL_SCHEMA).json(f"{base}/index").select(*DETAIL_FIELDS)
 
 
-@query("stream_typed", ops="O08 O70", sql=_ITEM_SQL + """
+@query("stream_typed", ops="O08 O70 O71", sql=_ITEM_SQL + """
 SELECT event_id, city, CAST(score AS INT) AS score, industry, "companyName", province, item, "crateTime", "regStatus"
 FROM m
 """)

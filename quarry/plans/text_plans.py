@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import text as X
 from quarry.plans.registry import query
-from quarry.sources.io import load
+from quarry.sources.io import load, stored
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
 
@@ -27,17 +27,17 @@ w AS (SELECT unnest(ws) AS word FROM toks)
 SELECT word, count(*) AS count FROM w GROUP BY word ORDER BY count DESC, word LIMIT 20
 """)
 def word_count_top(spark, sf):
-    docs = load(spark, sf, "documents", spread=True).select("text")
+    docs = load(spark, sf, "documents").select("text")
     counts = X.word_count(X.words(X.text_lines(docs)))
     return counts.orderBy(F.desc("count"), F.asc("word")).limit(20)
 
 
 def doc_terms(spark, sf):
-    docs = load(spark, sf, "documents", spread=True).select("doc_id", X.tokens("text", stop_words=None).alias("toks"))
+    docs = load(spark, sf, "documents").select("doc_id", X.tokens("text", stop_words=None).alias("toks"))
     return X.term_counts(docs, "doc_id", "toks", stop_words=X.STOP_WORDS)
 
 
-@query("tfidf_terms", ops="O84 O86 O88 O89", sql=_TOKENS_SQL + """
+@query("tfidf_terms", ops="O86 O88 O89", sql=_TOKENS_SQL + """
 , n AS (SELECT count(*) AS n FROM documents),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
 SELECT tf.doc_id, tf.term, tf.tf, round(tf.tf * ln((n.n + 1.0) / (df.df + 1)), 6) AS tfidf
@@ -49,7 +49,7 @@ def tfidf_terms(spark, sf):
     return out.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
-@query("naive_bayes_scores", ops="O90 O92 O94", sql=_TOKENS_SQL + """
+@query("naive_bayes_scores", ops="O92 O94", sql=_TOKENS_SQL + """
 , docs AS (SELECT doc_id, lang, doc_id IN (SELECT doc_id FROM labels) AS train FROM documents),
 ttf AS (SELECT tf.*, docs.lang FROM tf JOIN docs USING (doc_id) WHERE docs.train),
 cnt AS (SELECT lang, term, sum(tf) AS cnt FROM ttf GROUP BY lang, term),
@@ -78,8 +78,8 @@ def naive_bayes_scores(spark, sf):
     """Train on the documents that have a row in ``labels``, score all others."""
     docs = load(spark, sf, "documents").select("doc_id", "lang")
     labelled = load(spark, sf, "labels").select("doc_id")
-    # Term counts feed the fit (three aggregates) and the scoring: tokenise once.
-    tf = doc_terms(spark, sf).persist()
+    # Term counts feed the fit and the scoring: tokenise once.
+    tf = stored(doc_terms(spark, sf), "term-counts")
     train_docs = docs.join(labelled, "doc_id", "left_semi")
     model = X.ExactNaiveBayes(1.0).fit(tf.join(train_docs.select("doc_id"), "doc_id", "left_semi"),
                                        train_docs, "doc_id", "lang")
@@ -91,13 +91,14 @@ def naive_bayes_scores(spark, sf):
 PHRASES = ["of the", "on the", "and the"]
 
 
-@query("phrase_terms", ops="O86 O87", sql=f"""
+@query("phrase_terms", ops="O84 O86 O87", sql=f"""
 WITH toks AS (
-  SELECT unnest(regexp_extract_all(lower(text), 'and the|of the|on the|\\p{{L}}+')) AS term FROM documents)
+  SELECT replace(unnest(regexp_extract_all(lower(text), 'and the|of the|on the|\\p{{L}}+')), ' ', '') AS term
+  FROM documents)
 SELECT term, count(*) AS count FROM toks WHERE term NOT IN ({_STOP_SQL}) GROUP BY term
 """)
 def phrase_terms(spark, sf):
-    docs = load(spark, sf, "documents", spread=True)
+    docs = load(spark, sf, "documents")
     toks = docs.select(F.explode_outer(X.tokens("text", phrases=PHRASES)).alias("term")).where(F.col("term").isNotNull())
     return toks.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
@@ -110,7 +111,7 @@ SELECT word, count(*) AS count FROM toks GROUP BY word
 def whitespace_token_counts(spark, sf):
     from pyspark.ml.feature import Tokenizer
 
-    docs = load(spark, sf, "documents", spread=True).select("text")
+    docs = load(spark, sf, "documents").select("text")
     words = Tokenizer(inputCol="text", outputCol="words").transform(docs)
     return (words.select(F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))

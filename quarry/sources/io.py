@@ -14,34 +14,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import table_path
+from quarry.session import shared_path, table_path
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One of the supplied tables (parquet, schema from the file).
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the supplied tables (parquet, schema from the file). Splits are
+    left to the files' row groups and ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
-    ``spread`` is for CPU-heavy row work (tokenising, parsing): see ``spread``.
-    """
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread_small(df) if spread else df
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for frames that
+    several passes read (a model fit, several aggregates). Unlike a cache it
+    leaves nothing behind in the session and survives a lost executor."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the cluster's parallelism when the input is
-    fewer files than cores (a file without inner splits is read by one task).
 
-    A large table already arrives in many splits and is returned as it is,
-    so no shuffle is added at scale.
-    """
-    sc = df.sparkSession.sparkContext
-    par = sc.defaultParallelism
-    try:
-        files = df.inputFiles()
-    except Exception:
-        return df
-    if 0 < len(files) < par:
-        return df.repartition(par)
-    return df
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of the file system that holds it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)
 
 
 def read_table(spark: SparkSession, fmt: str, path: str | None = None,
@@ -68,12 +63,9 @@ def write_table(df: DataFrame, fmt: str, path: str | None = None, mode: str = "a
         w.save(path)
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], min_partitions: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Text-line scan with glob paths (O01); one row per line in ``value``."""
-    df = spark.read.text(path if isinstance(path, str) else list(path))
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return spark.read.text(path if isinstance(path, str) else list(path))
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -99,11 +91,6 @@ def split_fields(line: Column, sep_regex: str, n: int, names: Sequence[str]) ->
     return [F.get(parts, i).alias(names[i]) for i in range(n)]
 
 
-def strip_trailing(line: Column, sep: str) -> Column:
-    """Drop trailing separators, as a JVM ``String.split`` would."""
-    return F.regexp_replace(line, f"(?:{sep})+$", "")
-
-
 def named_documents(lines: DataFrame) -> DataFrame:
     """``name.txt<TAB>content`` lines to (name, content).
 
@@ -114,33 +101,16 @@ def named_documents(lines: DataFrame) -> DataFrame:
     return lines.select(F.get(parts, 0).alias("name"), F.get(parts, 1).alias("content"))
 
 
-def export_csv(df: DataFrame, path: str, files: int = 10) -> None:
-    """CSV with header, overwrite, fixed file count."""
-    write_table(df, "csv", path, mode="overwrite", partitions=files, header="true")
-
-
-def export_parquet(df: DataFrame, path: str, files: int = 100, mode: str = "overwrite") -> None:
-    """Columnar write after a fixed repartition."""
-    write_table(df, "parquet", path, mode=mode, partitions=files)
-
-
-def register_keys(keys: DataFrame, registry_path: str, key: str = "item") -> None:
-    """Append newly seen keys to the key registry table.
-
-    Replaces one connection per partition to a cache server with a set
-    operation; the registry is an ordinary table in the shared folder.
-    """
-    keys.select(key).distinct().write.mode("append").parquet(registry_path)
+def export_csv(df: DataFrame, path: str, files: int | None = None, rows_per_file: int = 5_000_000) -> None:
+    """CSV with header, overwrite (O12). Files follow the data, at most
+    ``rows_per_file`` rows each; ``files`` fixes their number instead."""
+    write_table(df, "csv", path, mode="overwrite", partitions=files, header="true", maxRecordsPerFile=rows_per_file)
 
 
-def read_registry(spark: SparkSession, registry_path: str, key: str = "item") -> DataFrame:
-    """The key registry; empty (with the key column) when nothing is registered yet."""
-    try:
-        return spark.read.parquet(registry_path).select(key)
-    except Exception as e:  # no file yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], T.StructType([T.StructField(key, T.StringType())]))
-        raise
+def export_parquet(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
+                   rows_per_file: int = 5_000_000) -> None:
+    """Columnar write (O10, O11), files as in ``export_csv``."""
+    write_table(df, "parquet", path, mode=mode, partitions=files, maxRecordsPerFile=rows_per_file)
 
 
 def read_mail_corpus(spark: SparkSession, root_glob: str, index: DataFrame,

@@ -18,20 +18,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import fixed
-from quarry.operators.clean import clean_flagged, clean_messages, first_seen, split_flagged
+from quarry.operators.clean import clean_flagged, first_seen, split_flagged
+from quarry.sources.io import path_exists
 
 
 # ---------------------------------------------------------------- sources
 
-def topic_stream(spark: SparkSession, servers: str, topics: str, starting: str = "latest") -> DataFrame:
+def topic_stream(spark: SparkSession, servers: str, topics: str, starting: str = "earliest",
+                 fail_on_loss: bool = False) -> DataFrame:
     """Log-topic source (O06): resume comes from the checkpoint; with none,
     ``startingOffsets`` plays the reset policy (earliest = ``smallest``).
-    Offsets that fell out of retention are skipped, not fatal
-    (``failOnDataLoss=false``), which is the source's per-partition clamp."""
+    Offsets that fell out of retention are skipped, as the source's
+    per-partition clamp does; topic, partition and offset come along so that
+    ``missing_offsets`` reports what was skipped. ``fail_on_loss`` stops instead."""
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers).option("subscribe", topics)
-            .option("startingOffsets", starting).option("failOnDataLoss", "false").load()
-            .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")))
+            .option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_loss).lower()).load()
+            .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                    "topic", "partition", "offset"))
+
+
+def missing_offsets(rows: DataFrame) -> DataFrame:
+    """(topic, partition, first, last, missing): offsets inside each range that no row has."""
+    return (rows.groupBy("topic", "partition")
+            .agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("_n"))
+            .select("topic", "partition", "first", "last", (F.col("last") - F.col("first") + 1 - F.col("_n")).alias("missing"))
+            .where("missing > 0"))
 
 
 def file_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str,
@@ -45,22 +57,42 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType |
     return r.load(path)
 
 
-def _registry(spark: SparkSession, path: str, key: Sequence[str], batch_id: int,
-              key_types: dict[str, T.DataType]) -> DataFrame:
-    """Keys registered by earlier batches (a replayed batch ignores its own)."""
-    empty = spark.createDataFrame([], T.StructType([T.StructField(k, key_types[k]) for k in key]))
-    try:
-        reg = spark.read.parquet(path)
-    except Exception as e:
-        msg = str(e)
-        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
-            return empty
-        raise
-    return reg.where(F.col("batch_id") < batch_id).select(*key)
+REGISTRY_BUCKETS = 256
+
+
+def _bucket(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(REGISTRY_BUCKETS)).cast("int")
+
+
+def registered(spark: SparkSession, path: str, key: Sequence[str], run: str, batch_id: int,
+               key_types: dict[str, T.DataType], batch: DataFrame | None = None) -> DataFrame:
+    """Keys registered before this batch: by any other run, or by earlier
+    batches of this one (a replayed batch ignores its own keys).
 
+    Registry files lie in folders by key hash; with ``batch`` only the folders
+    that its keys fall into are read (at most ``REGISTRY_BUCKETS`` numbers
+    reach the driver), so a batch's cost does not follow the whole history.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([T.StructField(k, key_types[k]) for k in key]))
+    own = T.StructType([*[T.StructField(k, key_types[k]) for k in key], T.StructField("run", T.StringType()),
+                        T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
+    reg = spark.read.schema(own).parquet(path)
+    if batch is not None:
+        reg = reg.where(F.col("bucket").isin([r[0] for r in batch.select(_bucket(key)).distinct().collect()]))
+    return reg.where((F.col("run") != run) | (F.col("batch_id") < batch_id)).select(*key)
+
+
+def _write_batch(df: DataFrame, fmt: str, root: str, run: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    w = df.write.mode("overwrite").format(fmt)
+    (w.partitionBy(*partition_by) if partition_by else w).save(f"{root}/run={run}/batch_id={batch_id}")
 
-def _write_batch(df: DataFrame, fmt: str, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").format(fmt).save(f"{root}/batch_id={batch_id}")
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The streaming query's id, kept in its checkpoint. Batch numbers restart
+    at 0 under a new checkpoint, so outputs are told apart by it."""
+    line = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return line.split('"id":"')[1].split('"')[0]
 
 
 # ---------------------------------------------------------------- jobs
@@ -74,11 +106,12 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
     One streaming query reads the source once. Per micro-batch: persist the
     batch (it feeds several writes, O16) and skip it when empty (O71); split
     it with ``cleaner`` (a function DataFrame -> (rows, rejects)) when given,
-    writing the rejects under ``reject_path/batch_id=N``; when
+    writing the rejects under ``reject_path`` in the same layout; when
     ``registry_path`` is given keep the first row per key and drop keys
-    registered by earlier batches (O35, O67); write each sink under
-    ``batch_id=N`` (overwrite, so a replay is idempotent); register the new
-    keys last, also under ``batch_id=N`` (O15, O07).
+    registered before (O35, O67); write each sink under
+    ``run=<query id>/batch_id=N`` (overwrite, so a replay is idempotent, and a
+    new checkpoint never touches an earlier run's output); register the new
+    keys last, in the same way and by key hash (O15, O07).
     """
     spark = stream.sparkSession
     trig = trigger or {"availableNow": True}
@@ -89,22 +122,25 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
             df.unpersist()
             return
         try:
+            run = run_of(spark, checkpoint)
             rows, held = df, None
             if cleaner is not None:
                 rows, rejects, held = cleaner(df)
                 if reject_path is not None:
-                    _write_batch(rejects, "parquet", reject_path, batch_id)
+                    _write_batch(rejects, "parquet", reject_path, run, batch_id)
             out = rows
             if registry_path is not None:
                 key_types = {k: rows.schema[k].dataType for k in key}
-                out = first_seen(rows, _registry(spark, registry_path, key, batch_id, key_types), key, order)
+                known = registered(spark, registry_path, key, run, batch_id, key_types, rows)
+                out = first_seen(rows, known, key, order)
             out = out.drop(*drop_cols)
             if registry_path is not None:
                 out = out.persist()
             for fmt, root in sinks.items():
-                _write_batch(out, fmt, root, batch_id)
+                _write_batch(out, fmt, root, run, batch_id)
             if registry_path is not None:
-                _write_batch(out.select(*key), "parquet", registry_path, batch_id)  # one row per key already
+                keys = out.select(*key, _bucket(key).alias("bucket"))  # one row per key already
+                _write_batch(keys, "parquet", registry_path, run, batch_id, ["bucket"])
                 out.unpersist()
             if held is not None:
                 held.unpersist()
@@ -118,7 +154,8 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
 
 def production_trigger(kind: str = "topic") -> dict:
     """Micro-batch interval of the source jobs (O72): 600 s for the topic
-    jobs, 10 s for the socket job; tests and driver queries use availableNow."""
+    jobs, 10 s for the socket job. ``clean_and_register(trigger=...)`` takes
+    it; tests and driver queries use availableNow."""
     return {"processingTime": fixed.TOPIC_BATCH_INTERVAL if kind == "topic" else fixed.SOCKET_BATCH_INTERVAL}
 
 
@@ -127,12 +164,6 @@ def await_all(queries) -> None:
         q.awaitTermination()
 
 
-def item_cleaning(messages: DataFrame, fields: Sequence[str], *, exclude: str | None,
-                  typed: dict[str, str] | None = None, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Graph of the cleaning jobs up to the sinks."""
-    return clean_messages(messages, fields, exclude=exclude, typed=typed, keep=keep)
-
-
 def item_cleaner(fields: Sequence[str], *, exclude: str | None, typed: dict[str, str] | None = None,
                  keep: Sequence[str] = ()):
     """The cleaning graph as a per-batch function for ``clean_and_register``:

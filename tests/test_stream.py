@@ -28,7 +28,8 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
                                  registry_path=f"{root}/reg", checkpoint=f"{root}/ck", reject_path=f"{root}/rej")
     jobs.await_all(qs)
     out = spark.read.parquet(f"{root}/out")
-    assert out.select("batch_id").distinct().count() == 3
+    assert out.select("run", "batch_id").distinct().count() == 3
+    run = out.select("run").first()[0]
     got = {(r.item, r.id) for r in out.collect()}
 
     # Batch form on the same rows: first row per item over everything.
@@ -42,8 +43,8 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     before = out.count()
     replay = spark.createDataFrame([(i, v) for i, b, v in ROWS if b == 1], "id int, value string")
     r1, _ = clean_messages(replay, ITEM_FIELDS, exclude="regCapital", keep=["id"])
-    reg = jobs._registry(spark, f"{root}/reg", ["item"], 0, {"item": r1.schema["item"].dataType})
-    jobs._write_batch(first_seen(r1, reg, ["item"], ["id"]), "parquet", f"{root}/out", 0)
+    reg = jobs.registered(spark, f"{root}/reg", ["item"], run, 0, {"item": r1.schema["item"].dataType}, r1)
+    jobs._write_batch(first_seen(r1, reg, ["item"], ["id"]), "parquet", f"{root}/out", run, 0)
     assert spark.read.parquet(f"{root}/out").count() == before
 
 
@@ -85,3 +86,31 @@ def test_dedup_within_horizon(spark):
          .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.item for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c"]
+
+
+def test_new_checkpoint_loses_and_repeats_nothing(spark):
+    """The same sinks under two checkpoints: batch numbers restart, outputs do not collide."""
+    root = tempfile.mkdtemp(prefix="quarry-two-runs-")
+    for n, keys in enumerate([["a", "b"], ["b", "c"]]):
+        spark.createDataFrame([(i, f'{{"item":"{k}"}}') for i, k in enumerate(keys)], "id int, value string") \
+            .coalesce(1).write.parquet(f"{root}/src{n}")
+        stream = spark.readStream.schema("id int, value string").parquet(f"{root}/src{n}")
+        jobs.await_all(jobs.clean_and_register(
+            stream, key=["item"], order=["id"], sinks={"parquet": f"{root}/out"}, registry_path=f"{root}/reg",
+            cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude=None, keep=["id"]), checkpoint=f"{root}/ck{n}"))
+    assert sorted(r.item for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c"]
+    assert sorted(r.item for r in spark.read.parquet(f"{root}/reg").collect()) == ["a", "b", "c"]
+
+
+def test_missing_offsets_are_reported(spark):
+    rows = spark.createDataFrame([("t", 0, 5), ("t", 0, 6), ("t", 0, 9), ("t", 1, 1), ("t", 1, 2)],
+                                 "topic string, partition int, offset bigint")
+    got = [tuple(r) for r in jobs.missing_offsets(rows).collect()]
+    assert got == [("t", 0, 5, 9, 2)]
+
+
+def test_production_trigger_starts_a_query(spark):
+    q = (spark.readStream.format("rate").load().writeStream.format("noop")
+         .trigger(**jobs.production_trigger("socket")).start())
+    q.stop()
+    assert jobs.production_trigger()["processingTime"] == "600 seconds"
