@@ -9,8 +9,7 @@ verify each candidate with the exact score.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _EPS = 1e-9
@@ -35,8 +34,14 @@ def _segment(length, d, i):
     return start, seg_len
 
 
+def _salted(published: DataFrame, probing: DataFrame, of: str, salt: int) -> tuple[DataFrame, DataFrame]:
+    """Published rows spread over ``salt`` values by a hash of their key, probing rows copied to each."""
+    return (published.withColumn("_s", F.pmod(F.xxhash64(F.col(of)), F.lit(salt)).cast("int")),
+            probing.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))))
+
+
 def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: bool = True,
-                    strict: bool = False) -> DataFrame:
+                    strict: bool = False, block: str | None = None, salt: int = 4) -> DataFrame:
     """All pairs (key_a < key_b) with ``1 - lev(a, b) / max(len) >= tau``.
 
     Segment filter: a pair within distance ``d`` of a string cut into
@@ -57,32 +62,38 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     no normalisation reproduces it; candidates come from the same segment
     filter on the strings mapped to ``code point mod 32`` (characters that
     match under the rule share that value, so no pair is lost) and each
-    candidate is verified by the exact dynamic program in an Arrow UDF.
+    candidate is verified by ``strict_distance``.
+
+    ``block`` names a column that both rows of a pair must share: with texts
+    that are short or very alike the output grows with the square of a
+    group's size, and a block is the way to say which pairs are wanted.
+    ``salt`` spreads the copies of one frequent segment over that many tasks.
     """
     if not 0.0 < tau <= 1.0:
         raise ValueError("tau must be in (0, 1]")
+    blk = (F.col(block) if block else F.lit(0)).alias("blk")
     if strict:
         t = F.expr(f"concat_ws('', transform(split(`{text}`, ''), c -> chr(64 + ascii(c) % 32)))")
-        s = (df.select(F.col(key).alias("k"), t.alias("t"), F.col(text).alias("orig"))
+        s = (df.select(F.col(key).alias("k"), t.alias("t"), F.col(text).alias("orig"), blk)
              .where(F.length("t") > 0).withColumn("L", F.length("t")))
     else:
         t = F.lower(F.col(text)) if fold_case else F.col(text)
-        s = df.select(F.col(key).alias("k"), t.alias("t")).where(F.length("t") > 0).withColumn("L", F.length("t"))
+        s = df.select(F.col(key).alias("k"), t.alias("t"), blk).where(F.length("t") > 0).withColumn("L", F.length("t"))
 
     # Index side: segments of each string as the longer (or equal) member.
     idx = (s.withColumn("d", _dmax(F.col("L"), tau))
-           .select("k", "t", "L", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("i")))
+           .select("k", "blk", "t", "L", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("i")))
     st, ln = _segment(F.col("L"), F.col("d"), F.col("i"))
-    idx = (idx.select("k", "t", "L", "i", st.alias("p"), ln.alias("n"))
-           .select(F.col("k").alias("k_long"), "L", "i", F.expr("substring(t, p + 1, n)").alias("seg")))
+    idx = (idx.select("k", "blk", "t", "L", "i", st.alias("p"), ln.alias("n"))
+           .select(F.col("k").alias("k_long"), "blk", "L", "i", F.expr("substring(t, p + 1, n)").alias("seg")))
 
     # Probe side: every length L2 in [l, l / tau] the string may pair with.
-    pr = s.select("k", "t", F.col("L").alias("l"),
+    pr = s.select("k", "blk", "t", F.col("L").alias("l"),
                   F.explode(F.sequence(F.col("L"), F.floor(F.col("L") / F.lit(tau) + F.lit(_EPS)).cast("int"))).alias("L2"))
     pr = pr.withColumn("d2", _dmax(F.col("L2"), tau)).where(F.col("L2") - F.col("l") <= F.col("d2"))
     pr = pr.select("*", F.explode(F.sequence(F.lit(0), F.col("d2"))).alias("i"))
     st2, ln2 = _segment(F.col("L2"), F.col("d2"), F.col("i"))
-    pr = pr.select("k", "t", "l", "L2", "d2", "i", st2.alias("p"), ln2.alias("n"))
+    pr = pr.select("k", "blk", "t", "l", "L2", "d2", "i", st2.alias("p"), ln2.alias("n"))
     # Shift x = p - q of the unchanged segment i, taking segment i as the first
     # unchanged one: at least i edits lie before it, so at most d2 - i after;
     # with delta = L2 - l, |delta - x| <= d2 - i and |x| + |delta - x| <= d2.
@@ -92,11 +103,12 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     lo = F.greatest(F.lit(0), F.col("p") - x_hi)
     hi = F.least(F.col("l") - F.col("n"), F.col("p") - x_lo)
     pr = (pr.where(lo <= hi)
-          .select("k", "L2", "i", "n", F.explode(F.sequence(lo, hi)).alias("q"), "t")
-          .select(F.col("k").alias("k_short"), F.col("L2").alias("L"), "i",
+          .select("k", "blk", "L2", "i", "n", F.explode(F.sequence(lo, hi)).alias("q"), "t")
+          .select(F.col("k").alias("k_short"), "blk", F.col("L2").alias("L"), "i",
                   F.expr("substring(t, q + 1, n)").alias("seg")))
 
-    cand = (pr.join(idx, ["L", "i", "seg"]).where(F.col("k_short") != F.col("k_long"))
+    idx, pr = _salted(idx, pr, "k_long", salt)
+    cand = (pr.join(idx, ["blk", "L", "i", "seg", "_s"]).where(F.col("k_short") != F.col("k_long"))
             .select(F.least("k_short", "k_long").alias("key_a"), F.greatest("k_short", "k_long").alias("key_b"))
             .distinct())
     src = "orig" if strict else "t"
@@ -104,45 +116,47 @@ def edit_ratio_join(df: DataFrame, key: str, text: str, tau: float, fold_case: b
     b = s.select(F.col("k").alias("key_b"), F.col(src).alias("tb"), F.col("L").alias("lb"))
     v = cand.join(a, "key_a").join(b, "key_b")
     mx = F.greatest("la", "lb")
-    if strict:
-        v = v.withColumn("dist", _strict_distance("ta", "tb"))
-        ratio = F.lit(1.0) - F.col("dist") / mx
-        return (v.select("key_a", "key_b", "dist", ratio.alias("ratio"))
-                .where(F.col("ratio") >= F.lit(tau) - F.lit(_EPS)))
     v = v.withColumn("_thr", _dmax(mx, tau))
-    v = v.withColumn("dist", F.expr("levenshtein(ta, tb, _thr)")).where(F.col("dist") >= 0)
+    dist = strict_distance("ta", "tb", F.col("_thr")) if strict else F.expr("levenshtein(ta, tb, _thr)")
+    v = v.withColumn("dist", dist).where(F.col("dist") >= 0)
     ratio = F.lit(1.0) - F.col("dist") / mx
     return (v.select("key_a", "key_b", "dist", ratio.alias("ratio"))
             .where(F.col("ratio") >= F.lit(tau) - F.lit(_EPS)))
 
 
-def _strict_pair_distance(a: str, b: str) -> int:
-    """Edit distance where two code units match when equal or 32 apart."""
-    n, m = len(a), len(b)
-    if n == 0:
-        return m
-    if m == 0:
-        return n
-    prev = list(range(m + 1))
-    bc = [ord(c) for c in b]
-    for i in range(1, n + 1):
-        ca = ord(a[i - 1])
-        cur = [i] + [0] * m
-        for j in range(1, m + 1):
-            cb = bc[j - 1]
-            cost = 0 if (ca == cb or ca == cb + 32 or ca + 32 == cb) else 1
-            cur[j] = min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + cost)
-        prev = cur
-    return prev[m]
+def strict_distance(a: str, b: str, bound: Column) -> Column:
+    """Edit distance under the +-32 rule, or null when it is over ``bound``.
+
+    Only the diagonal band of width ``2 * bound + 1`` can hold such a
+    distance: a row of the table is that band as an array, folded over the
+    characters of ``a`` with built-in functions, and left as it is once every
+    entry is over the bound.
+    """
+    far, d = F.lit(1_000_000), bound
+    codes = lambda c: F.transform(F.split(F.col(c), ""), lambda ch: F.ascii(ch))
+    start = F.struct(codes(a).alias("x"), codes(b).alias("y"))
+
+    def rows(s):
+        n, m = F.size(s["x"]), F.size(s["y"])
+        first = F.transform(F.sequence(F.lit(0), 2 * d), lambda k: F.when((k >= d) & (k - d <= m), k - d).otherwise(far))
 
+        def row(prev, i):
+            def cell(cur, k):
+                j = i + k - d
+                gap = F.abs(F.get(s["x"], i - 1) - F.get(s["y"], j - 1))
+                best = F.least(F.get(prev, k) + F.when(gap.isin(0, 32), 0).otherwise(1),
+                               F.coalesce(F.get(prev, k + 1), far) + 1, F.coalesce(F.get(cur, k - 1), far) + 1)
+                return F.array_append(cur, F.when((j < 0) | (j > m), far).when(j == 0, i).otherwise(best))
 
-def _strict_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_strict_pair_distance(x, y) for x, y in zip(a, b)], dtype="int32")
+            band = F.aggregate(F.sequence(F.lit(0), 2 * d), F.array().cast("array<int>"), cell)
+            return F.when(F.array_min(prev) > d, prev).otherwise(band)
 
+        last = F.aggregate(F.sequence(F.lit(1), n), first, row)
+        dist = F.get(last, m - n + d)
+        return F.when(n == 0, m).when(F.abs(m - n) <= d, dist)
 
-def _strict_distance(a: str, b: str):
-    """Arrow UDF over candidate pairs (built on first use: needs a session)."""
-    return F.pandas_udf(_strict_batch, "int")(F.col(a), F.col(b))
+    dist = F.get(F.transform(F.array(start), rows), 0)
+    return F.when(dist <= d, dist)
 
 
 def edit_ratio(a, b, fold_case: bool = True):
@@ -154,6 +168,7 @@ def edit_ratio(a, b, fold_case: bool = True):
 
 # ---------------------------------------------------------------- character cosine
 
+# Fixed value: the range of Han characters that count.
 HAN_CLASS = "[\\u4e00-\\u9fa5]"
 LATIN_CLASS = "[A-Za-z]"
 
@@ -173,17 +188,17 @@ def gb2312_chars(spark) -> DataFrame:
 
 
 def char_vectors(df: DataFrame, key: str, text: str, char_class: str = HAN_CLASS,
-                 allowed: DataFrame | None = None) -> DataFrame:
-    """(k, ch, cnt) counts of the characters of ``char_class`` per row."""
-    v = (df.select(F.col(key).alias("k"), F.explode(F.regexp_extract_all(F.col(text), F.lit(char_class), 0)).alias("ch"))
-         .groupBy("k", "ch").agg(F.count(F.lit(1)).alias("cnt")))
-    if allowed is not None:
-        v = v.join(F.broadcast(allowed.select("ch")), "ch", "left_semi")
-    return v
+                 allowed: DataFrame | None = None, block: str | None = None) -> DataFrame:
+    """(k, ch, cnt) counts of the characters of ``char_class`` per row, and its block."""
+    blk = (F.col(block) if block else F.lit(0)).alias("blk")
+    v = (df.select(F.col(key).alias("k"), blk,
+                   F.explode(F.regexp_extract_all(F.col(text), F.lit(char_class), 0)).alias("ch"))
+         .groupBy("k", "blk", "ch").agg(F.count(F.lit(1)).alias("cnt")))
+    return v if allowed is None else v.join(allowed.select("ch"), "ch", "left_semi")
 
 
 def char_cosine_join(df: DataFrame, key: str, text: str, tau: float, char_class: str = HAN_CLASS,
-                     allowed: DataFrame | None = None) -> DataFrame:
+                     allowed: DataFrame | None = None, block: str | None = None, salt: int = 8) -> DataFrame:
     """All pairs (key_a < key_b) with character-frequency cosine ``>= tau``.
 
     Prefix filter: order characters globally rarest first. If the first
@@ -192,11 +207,12 @@ def char_cosine_join(df: DataFrame, key: str, text: str, tau: float, char_class:
     only publishes its characters while its remaining norm share is at least
     ``tau``, and pairs meet on those rare characters. Candidates are scored
     exactly on all shared characters. A row with no character of the class
-    has zero norm (0/0 in the source) and never pairs.
+    has zero norm (0/0 in the source) and never pairs. ``block`` and ``salt``
+    as in ``edit_ratio_join``: a Latin alphabet has 52 join keys.
     """
     if not 0.0 < tau <= 1.0:
         raise ValueError("tau must be in (0, 1]")
-    v = char_vectors(df, key, text, char_class, allowed)
+    v = char_vectors(df, key, text, char_class, allowed, block)
     freq = v.groupBy("ch").agg(F.count(F.lit(1)).alias("df"))
     vf = v.join(freq, "ch")
     w_all = Window.partitionBy("k")
@@ -204,10 +220,11 @@ def char_cosine_join(df: DataFrame, key: str, text: str, tau: float, char_class:
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     vf = (vf.withColumn("nsq", F.sum(F.col("cnt") * F.col("cnt")).over(w_all))
           .withColumn("suf", F.sum(F.col("cnt") * F.col("cnt")).over(w_suffix)))
-    prefix = vf.where(F.col("suf") >= F.lit(tau * tau) * F.col("nsq") * F.lit(1.0 - _EPS)).select("k", "ch")
-    pa = prefix.select(F.col("k").alias("key_a"), "ch")
-    pb = prefix.select(F.col("k").alias("key_b"), "ch")
-    cand = pa.join(pb, "ch").where(F.col("key_a") < F.col("key_b")).select("key_a", "key_b").distinct()
+    prefix = vf.where(F.col("suf") >= F.lit(tau * tau) * F.col("nsq") * F.lit(1.0 - _EPS)).select("k", "blk", "ch")
+    pa = prefix.select(F.col("k").alias("key_a"), "blk", "ch")
+    pb = prefix.select(F.col("k").alias("key_b"), "blk", "ch")
+    pb, pa = _salted(pb, pa, "key_b", salt)
+    cand = pa.join(pb, ["blk", "ch", "_s"]).where(F.col("key_a") < F.col("key_b")).select("key_a", "key_b").distinct()
     va = v.select(F.col("k").alias("key_a"), "ch", F.col("cnt").alias("ca"))
     vb = v.select(F.col("k").alias("key_b"), "ch", F.col("cnt").alias("cb"))
     dots = (cand.join(va, "key_a").join(vb, ["key_b", "ch"])

@@ -1,7 +1,7 @@
 """Driver queries over the supplied tables, each with its DuckDB oracle."""
 
-from quarry.plans import (clean_plans, learn_plans, similar_plans, stream_plans, table_plans,  # noqa: F401
-                          text_plans)
+from quarry.plans import (clean_plans, learn_plans, similar_plans, source_plans, stream_plans,  # noqa: F401
+                          table_plans, text_plans)
 from quarry.plans.registry import REGISTRY
 
 

@@ -270,3 +270,138 @@ def als_item_neighbours(spark, sf):
     target = factors.orderBy("item").first()  # one factor row: the target item
     out = R.neighbours(factors, "item", "features", list(target["features"]), target["item"], k=fixed.NEIGHBOURS)
     return out.select("item", F.round("sim", 6).alias("sim"))
+
+
+# ---------------------------------------------------------------- fitted models, checked
+#
+# One row per model: rows scored, the baseline that SQL works out from the same
+# rows, whether the fitted model does better, and whether Spark's evaluator
+# agrees with our own metric. Split: the last digit of the id, below 7 to train.
+
+def _check(spark, n, baseline, better, agrees):
+    return spark.createDataFrame([(int(n), round(float(baseline), 6), bool(better), bool(agrees))],
+                                 "n_scored bigint, baseline double, better boolean, evaluator_agrees boolean")
+
+
+def _majority(df, col):
+    """Share of the most frequent value (one row reaches the driver)."""
+    r = df.groupBy(col).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("m"), F.sum("c").alias("n")).first()
+    return r["m"] / r["n"], r["n"]
+
+
+def _classified(spark, scored, label):
+    base, n = _majority(scored, label)
+    own = L.accuracy(scored, label, "prediction").first()["accuracy"]
+    return _check(spark, n, base, own > base, abs(L.evaluate(scored, label) - own) < 1e-9)
+
+
+@query("spam_model_check", ops="O17 O90 O93 O103", sql="""
+WITH t AS (SELECT toxic FROM labels JOIN documents USING (doc_id) WHERE doc_id % 10 < 7),
+c AS (SELECT toxic, count(*) AS c FROM t GROUP BY toxic)
+SELECT sum(c)::BIGINT AS n_scored, round(max(c) / sum(c), 6) AS baseline, TRUE AS better, TRUE AS evaluator_agrees FROM c
+""")
+def spam_model_check(spark, sf):
+    """Logistic regression, saved and loaded, on the rows it learnt from."""
+    from quarry.session import shared_path
+
+    d = stored(_docs_labels(spark, sf).withColumn("label", F.col("toxic").cast("double")), "labelled-documents")
+    train = d.where(F.col("doc_id") % 10 < 7)
+    path = shared_path(spark, "model_lr")
+    L.save(L.text_classifier("lr", num_features=fixed.LR_FEATURES).fit(train), path)
+    return _classified(spark, L.load(path).transform(train), "label")
+
+
+@query("language_model_check", ops="O90 O92 O100 O103", sql="""
+WITH t AS (SELECT lang FROM documents WHERE doc_id % 10 >= 7), c AS (SELECT lang, count(*) AS c FROM t GROUP BY lang)
+SELECT sum(c)::BIGINT AS n_scored, round(max(c) / sum(c), 6) AS baseline, TRUE AS better, TRUE AS evaluator_agrees FROM c
+""")
+def language_model_check(spark, sf):
+    """Hashed naive Bayes on held-out documents."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep"),
+                            L.text_classifier("nb", num_features=fixed.NB_FEATURES)])
+    scored = pipe.fit(d.where(F.col("doc_id") % 10 < 7)).transform(d.where(F.col("doc_id") % 10 >= 7))
+    return _classified(spark, scored.select("label", "prediction"), "label")
+
+
+@query("tree_model_check", ops="O32 O33 O100 O101 O102 O103 O104", sql="""
+WITH t AS (SELECT l_linestatus || l_returnflag AS flag FROM lineitem WHERE l_orderkey % 10 < 7),
+c AS (SELECT flag, count(*) AS c FROM t GROUP BY flag)
+SELECT sum(c)::BIGINT AS n_scored, round(max(c) / sum(c), 6) AS baseline, TRUE AS better, TRUE AS evaluator_agrees FROM c
+""")
+def tree_model_check(spark, sf):
+    """Gini tree over comma records; the label's parts are among the features, so it can be learnt."""
+    li = load(spark, sf, "lineitem")
+    code = F.ascii("l_linestatus") + F.ascii("l_returnflag") * 3
+    line = F.concat_ws(",", "l_quantity", "l_discount", code, F.concat("l_linestatus", "l_returnflag"))
+    parts = F.split("value", ",")
+    rec = li.select("l_orderkey", line.alias("value")).where(F.size(parts) == 4).select(
+        "l_orderkey", *[F.get(parts, i).try_cast("double").alias(f"f{i}") for i in range(3)],
+        F.get(parts, 3).alias("flag"))
+    rec = stored(rec.where(F.col("l_orderkey") % 10 < 7), "tree-records")
+    model = L.fit_tree(rec, ["f0", "f1", "f2"], "flag")
+    scored = L.predict_rows(model, rec, ["f0", "f1", "f2"])
+    out = _classified(spark, scored, "indexedLabel")
+    back = scored.where((F.col("indexedLabel") == F.col("prediction")) & (F.col("flag") != F.col("predictedLabel")))
+    return out if back.isEmpty() else out.withColumn("better", F.lit(False))  # the label text must follow the index
+
+
+@query("kmeans_model_check", ops="O96 O97", sql="""
+SELECT count(*) AS n_scored, 0.0 AS baseline, TRUE AS better, TRUE AS evaluator_agrees FROM documents
+""")
+def kmeans_model_check(spark, sf):
+    """Ten clusters cost less than two; the model's own cost equals the one worked out from its centres."""
+    from pyspark.ml.functions import vector_to_array
+
+    d = load(spark, sf, "documents").select(F.col("text").alias("content"))
+    many = L.kmeans_estimator("content").fit(d)
+    two = L.kmeans_estimator("content", k=2).fit(d)
+    centres = many.stages[-1].clusterCenters()  # k rows
+    table = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)],
+                                  "prediction int, centre array<double>")
+    gap = F.zip_with(vector_to_array("features"), F.col("centre"), lambda a, b: (a - b) * (a - b))
+    scored = many.transform(d).join(F.broadcast(table), "prediction")  # k rows, a parameter
+    own = scored.agg(F.count(F.lit(1)).alias("n"),
+                     F.sum(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)).alias("c")).first()
+    cost = L.within_set_sse(many)
+    return _check(spark, own["n"], 0.0, cost < L.within_set_sse(two), abs(cost - own["c"]) < 1e-6 * max(cost, 1.0))
+
+
+@query("als_model_check", ops="O105 O106 O107 O108 O109 O111", sql=_RATINGS_SQL + """
+SELECT count(*) AS n_scored, round(stddev_pop(rating), 6) AS baseline, TRUE AS better, TRUE AS evaluator_agrees
+FROM ratings WHERE "user" % 10 < 7
+""")
+def als_model_check(spark, sf):
+    """Explicit and implicit ALS on the rows they learnt from: the error is below the ratings' spread,
+    Spark's evaluator agrees with ours, the top list is the head of all predictions of that user, implicit
+    scores of rated pairs exceed those of shifted pairs, neighbours come in order."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    r, items = _rating_ints(spark, sf)
+    r = stored(r.where(F.col("user") % 10 < 7), "als-rows")
+    model = _fit(r)
+    scored = stored(R.predict_pairs(model, r), "als-scored")
+    base = scored.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("rating").alias("s")).first()
+    stats = R.pair_rating_stats(scored)
+    pred = scored.groupBy("user", "item").agg(F.first("prediction").alias("prediction"))
+    own = R.error_metrics_from_stats(stats, pred).first()
+    rmse = RegressionEvaluator(labelCol="rating", predictionCol="prediction", metricName="rmse").evaluate(scored)
+    user = r.agg(F.min("uidx")).first()[0]
+    top = R.top_items_for_user(model, user, fixed.TOP_K).collect()
+    every = R.predict_pairs(model, items.select(F.lit(user).alias("uidx"), "iidx")).where("prediction is not null")
+    best = every.orderBy(F.desc("prediction"), "iidx").limit(fixed.TOP_K).collect()
+    same = len(top) == len(best) and all(abs(a["score"] - b["prediction"]) < 1e-4 for a, b in zip(top, best))
+    target = model.itemFactors.orderBy("id").first()
+    sims = [x["sim"] for x in R.neighbours(model.itemFactors, "id", "features", list(target["features"]),
+                                           target["id"], k=fixed.NEIGHBOURS).collect()]
+    strong = r.withColumn("rating", R.implicit_shift("rating").cast("float"))
+    implicit = _fit(strong, implicit=True, alpha=fixed.ALS_ALPHA)
+    rated = R.predict_pairs(implicit, strong.where("rating > 0")).agg(F.avg("prediction")).first()[0]
+    n_items = items.count()
+    moved = strong.where("rating > 0").withColumn("iidx", ((F.col("iidx") + F.lit(n_items // 2)) % F.lit(n_items)).cast("int"))
+    other = R.predict_pairs(implicit, moved).agg(F.avg("prediction")).first()[0]
+    better = own["rmse"] < base["s"] and rated > other and sims == sorted(sims, reverse=True) and max(map(abs, sims)) <= 1 + 1e-6
+    return _check(spark, base["n"], base["s"], better, same and abs(rmse - own["rmse"]) < 1e-6)

@@ -16,14 +16,18 @@ def _names(spark, sf):
     return load(spark, sf, "part").select("p_name").distinct()
 
 
-@query("edit_ratio_pairs", ops="O81", sql=f"""
+# The names are lower-case letters and blanks, where the +-32 rule and folding case agree.
+_EDIT_SQL = f"""
 WITH n AS (SELECT DISTINCT p_name FROM part WHERE length(p_name) > 0),
 p AS (
   SELECT a.p_name AS name_a, b.p_name AS name_b, CAST(levenshtein(lower(a.p_name), lower(b.p_name)) AS INTEGER) AS dist,
          greatest(length(a.p_name), length(b.p_name)) AS mx
   FROM n a JOIN n b ON a.p_name < b.p_name)
 SELECT name_a, name_b, dist, round(1 - dist / mx, 6) AS ratio FROM p WHERE 1 - dist / mx >= {EDIT_TAU} - 1e-9
-""")
+"""
+
+
+@query("edit_ratio_pairs", ops="O81", sql=_EDIT_SQL)
 def edit_ratio_pairs(spark, sf):
     out = S.edit_ratio_join(_names(spark, sf), "p_name", "p_name", EDIT_TAU)
     return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"), "dist",
@@ -47,8 +51,31 @@ def char_cosine_pairs(spark, sf):
                       F.round("cosine", 6).alias("cosine"))
 
 
-@query("edit_ratio_strict_pairs", ops="O81 (strict +-32 comparator)")
+@query("edit_ratio_strict_pairs", ops="O81 (strict +-32 comparator)", sql=_EDIT_SQL)
 def edit_ratio_strict_pairs(spark, sf):
     out = S.edit_ratio_join(_names(spark, sf), "p_name", "p_name", EDIT_TAU, strict=True)
     return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"), "dist",
                       F.round("ratio", 6).alias("ratio"))
+
+
+# One common Han character for each Latin letter, to make Han text from table columns.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HAN = "人大中国上下小山水火木土金日月天地东西南北花鸟鱼虫风"
+
+
+@query("han_cosine_pairs", ops="O82 (Han characters of GB2312)", sql=f"""
+WITH n AS (SELECT DISTINCT p_name, translate(lower(p_name), '{LETTERS}', '{HAN}') AS han FROM part),
+c AS (SELECT p_name, unnest(regexp_extract_all(han, '[{HAN}]')) AS ch FROM n),
+v AS (SELECT p_name, ch, count(*) AS cnt FROM c GROUP BY p_name, ch),
+nr AS (SELECT p_name, sqrt(sum(cnt * cnt)) AS nrm FROM v GROUP BY p_name),
+d AS (SELECT a.p_name AS name_a, b.p_name AS name_b, sum(a.cnt * b.cnt) AS dot
+      FROM v a JOIN v b ON a.ch = b.ch AND a.p_name < b.p_name GROUP BY 1, 2)
+SELECT name_a, name_b, round(dot / (na.nrm * nb.nrm), 6) AS cosine
+FROM d JOIN nr na ON na.p_name = name_a JOIN nr nb ON nb.p_name = name_b
+WHERE dot / (na.nrm * nb.nrm) >= {COSINE_TAU} - 1e-9
+""")
+def han_cosine_pairs(spark, sf):
+    names = _names(spark, sf).withColumn("han", F.translate(F.lower("p_name"), LETTERS, HAN))
+    out = S.char_cosine_join(names, "p_name", "han", COSINE_TAU, allowed=S.gb2312_chars(spark))
+    return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"),
+                      F.round("cosine", 6).alias("cosine"))

@@ -139,6 +139,20 @@ def read_mail_corpus(spark: SparkSession, root_glob: str, index: DataFrame,
             .select("folder", "key", F.coalesce(F.col("label"), F.lit("null")).alias("label"), "text"))
 
 
+def decoded(raw: Column, charset: str) -> Column:
+    """Bytes to text with Spark's own decoder, line breaks removed; for the
+    charsets it knows (UTF-8, UTF-16, ISO-8859-1, US-ASCII)."""
+    return F.regexp_replace(F.decode(raw, charset), "\\r\\n|\\n|\\r", "")
+
+
+def label_lines(mails: DataFrame, index: DataFrame) -> DataFrame:
+    """(key, label, line): mails joined to their index, ``label:text``; the
+    label of a mail that is not in the index is the text ``null`` (O18)."""
+    label = F.coalesce(F.col("label"), F.lit("null"))
+    return mails.join(index, "key", "left").select("key", label.alias("label"),
+                                                   F.concat_ws(":", label, "text").alias("line"))
+
+
 def parse_mail_index(lines: DataFrame) -> DataFrame:
     """Index line ``spam ../data/000/001`` to (key ``000_001``, label 1/0)."""
     tok = F.split(F.col("value"), " ")

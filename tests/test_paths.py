@@ -20,3 +20,11 @@ def test_negative_cost_rejected(spark):
     e = spark.createDataFrame([("a", "b", -1.0)], "src string, dst string, cost double")
     with pytest.raises(ValueError):
         P.cheapest_paths(e, "a")
+
+
+def test_long_path_comes_whole(spark):
+    n = 70
+    d = spark.createDataFrame([(i, float(i), i, i - 1 if i else None) for i in range(n + 1)],
+                              "node int, dist double, hops int, pred int")
+    assert P.path_to(d, n) == list(range(n + 1))
+    assert P.path_to(d, 999) == [] and P.path_to(d, 0) == [0]

@@ -26,3 +26,18 @@ def test_serial_number_has_no_data_wide_single_partition_window(spark):
 def test_scan_prunes_columns(spark):
     plan = _plan(E.queries()["top_rows_per_user"](spark, SF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
+
+
+def test_metrics_scan_their_tables_once(spark):
+    q = E.queries()
+    for name in ("prediction_error", "implicit_error"):
+        plan = _plan(q[name](spark, SF))
+        assert plan.count("FileScan") == 2, name  # lineitem and orders
+    assert _plan(q["map_at_k"](spark, SF)).count("FileScan") == 0  # the pair counts were stored
+
+
+def test_messages_are_parsed_once(spark):
+    q = E.queries()
+    for name in ("json_defaults", "json_rejects", "substring_route", "first_seen_registry"):
+        plan = _plan(q[name](spark, SF))
+        assert plan.count("from_json") == 1 and plan.count("FileScan") == 1, name

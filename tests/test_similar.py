@@ -1,5 +1,8 @@
 import math
 import random
+from functools import lru_cache
+
+from pyspark.sql import functions as F
 
 from quarry.operators import similar as S
 
@@ -82,8 +85,43 @@ def test_char_cosine_han_with_gb2312(spark):
     assert abs(out[0].cosine - 1.0) < 1e-9
 
 
+def loose_distance(a, b):
+    """Edit distance where characters 32 apart count as equal, by memoised suffixes."""
+    @lru_cache(maxsize=None)
+    def rest(i, j):
+        if i == len(a) or j == len(b):
+            return len(a) - i + len(b) - j
+        gap = 0 if abs(ord(a[i]) - ord(b[j])) in (0, 32) else 1
+        return min(rest(i + 1, j + 1) + gap, rest(i + 1, j) + 1, rest(i, j + 1) + 1)
+    return rest(0, 0)
+
+
+def test_strict_distance_within_its_bound(spark):
+    rng = random.Random(8)
+    rows = [("".join(rng.choice("aA0Pp z") for _ in range(rng.randrange(0, 9))),
+             "".join(rng.choice("aA0Pp z") for _ in range(rng.randrange(0, 9))), rng.randrange(0, 5)) for _ in range(120)]
+    df = spark.createDataFrame(rows, "a string, b string, d int").where("a <> '' AND b <> ''")
+    for r in df.withColumn("x", S.strict_distance("a", "b", F.col("d"))).collect():
+        want = loose_distance(r.a, r.b)
+        assert r.x == (want if want <= r.d else None), r
+
+
+def test_blocks_and_salt_on_many_texts(spark):
+    """Thousands of distinct texts, one block with a third of them; pairs stay inside their block."""
+    rng = random.Random(9)
+    rows = [(i, "b0" if i % 3 == 0 else f"b{i % 97}", "".join(rng.choice("abcdefghijklmnop") for _ in range(10)))
+            for i in range(2400)]
+    rows += [(3000 + i, rows[i][1], rows[i][2][:-1] + "#") for i in range(0, 300)]
+    df = spark.createDataFrame(rows, "k int, blk string, t string")
+    got = {(r.key_a, r.key_b) for r in S.edit_ratio_join(df, "k", "t", 0.9, block="blk", salt=5).collect()}
+    assert got == {(i, 3000 + i) for i in range(300)}
+    other = {(r.key_a, r.key_b) for r in S.char_cosine_join(df, "k", "t", 0.97, S.LATIN_CLASS, block="blk").collect()}
+    plain = {(r.key_a, r.key_b) for r in S.char_cosine_join(df, "k", "t", 0.97, S.LATIN_CLASS, salt=1).collect()}
+    block = {k: b for k, b, _ in rows}
+    assert other == {(a, b) for a, b in plain if block[a] == block[b]}
+
+
 def test_strict_edit_ratio_equals_brute_force(spark):
-    from quarry.operators.similar import _strict_pair_distance
 
     rnd = random.Random(11)
     alphabet = "aAbB0P@`pq"  # pairs 32 apart: a/A, b/B, 0/P, @/`, p/P
@@ -96,10 +134,10 @@ def test_strict_edit_ratio_equals_brute_force(spark):
         for i, a in enumerate(strings):
             for b in strings[i + 1:]:
                 x, y = sorted((a, b))
-                if 1 - _strict_pair_distance(x, y) / max(len(x), len(y)) >= tau - 1e-9:
+                if 1 - loose_distance(x, y) / max(len(x), len(y)) >= tau - 1e-9:
                     want.add((x, y))
         assert got == want, tau
-    assert _strict_pair_distance("0", "P") == 0 and _strict_pair_distance("a", "A") == 0
+    assert loose_distance("0", "P") == 0 and loose_distance("a", "A") == 0
 
 
 def test_edit_ratio_join_longer_strings_small_alphabet(spark):
