@@ -75,7 +75,7 @@ def swapped_texts(text: str) -> list[str]:
 class CounterfactualModel:
     """Weights of the known words (sorted hashes); ``fit`` by Newton steps."""
 
-    def __init__(self, vocab: np.ndarray, ridge: float = 2.0, fairness: float = 5.0):
+    def __init__(self, vocab: np.ndarray, ridge: float = 1.0, fairness: float = 5.0):
         self.vocab, self.ridge, self.fairness = np.sort(vocab), ridge, fairness
         self.weights, self.bias = np.zeros(len(vocab)), 0.0
 
@@ -125,7 +125,7 @@ class CounterfactualModel:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 3000, vocabulary: int = 400,
-                 ridge: float = 2.0, fairness: float = 5.0) -> CounterfactualModel:
+                 ridge: float = 1.0, fairness: float = 5.0) -> CounterfactualModel:
     rate = class_rate(labels, "toxic", learn)
     sample = labelled_sample(docs, labels, "toxic", learn, per_class)
 
