@@ -33,20 +33,31 @@ def id_hash(col: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(col))
 
 
+def lowest(hashed: str, share: Column | float) -> Column:
+    """Whether a 64-bit hash lies in the lowest ``share`` of its range (all, from 1 on)."""
+    share = F.lit(share) if isinstance(share, float) else share
+    edge = (share * F.lit(2.0 ** 63) * 2 - F.lit(2.0 ** 63)).cast("decimal(38,0)")
+    return (share >= 1) | (F.col(hashed).cast("decimal(38,0)") < edge)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int,
                     seed: int = 7) -> DataFrame:
     """(text, y) of at most ``per_class`` labelled documents of each class 0 and 1.
 
     The choice is the lowest id hashes among rows that ``learn`` admits, taken
-    on the narrow label table; the at most ``2 * per_class`` chosen ids are the
-    broadcast side (a bound fixed by the parameter), so the texts are scanned
-    once and never shuffled.
+    on the narrow label table. The classes are counted first and only about
+    four times the wanted number of hashes is sorted, so what meets in one task
+    does not grow with the table. The at most ``2 * per_class`` chosen ids are
+    the broadcast side (a bound fixed by the parameter), so the texts are
+    scanned once and never shuffled.
     """
     lab = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & learn)
-           .groupBy("doc_id").agg(F.max(label).alias("y")))
+           .groupBy("doc_id").agg(F.max(label).alias("y")).withColumn("_h", id_hash("doc_id", seed)))
+    n = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     pick = None
     for y in (0, 1):
-        part = lab.where(F.col("y") == y).orderBy(id_hash("doc_id", seed), "doc_id").limit(per_class)
+        part = lab.where((F.col("y") == y) & lowest("_h", 4.0 * per_class / max(n.get(y, 0), 1)))
+        part = part.orderBy("_h", "doc_id").limit(per_class).drop("_h")
         pick = part if pick is None else pick.unionByName(part)
     return (docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id")
             .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import id_hash, remainder, score_texts
+from quarry.llm._shared import id_hash, lowest, remainder, score_texts
 
 UNKNOWN = "und"
 _BASE = 128
@@ -139,11 +139,16 @@ def training_texts(docs: DataFrame, learn: Column, per_lang: int = 300, max_trai
                    seed: int = 9) -> DataFrame:
     """(lang, text): the lowest id hashes of each language, at most ``max_train`` rows.
 
-    Chosen on the narrow (doc_id, lang) columns; ranks within a language are
-    limited before the shuffle, and the chosen ids are the bounded broadcast side.
+    Chosen on the narrow (doc_id, lang) columns. The languages are counted
+    first (at most the ``max_train`` most frequent ones, which is all a sample
+    of that size can hold) and only about four times the wanted number of
+    hashes is ranked, so no task's share grows with the table. The chosen ids
+    are the bounded broadcast side.
     """
     ids = (docs.where(learn & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
            .select("doc_id", "lang", id_hash("doc_id", seed).alias("_h")))
+    langs = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(max_train)
+    ids = ids.join(F.broadcast(langs), "lang").where(lowest("_h", F.lit(4.0 * per_lang) / F.col("_n"))).drop("_n")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))
     pick = (ids.withColumn("_r", rank).where(F.col("_r") <= per_lang).orderBy("_r", "_h", "doc_id").limit(max_train)
             .select("doc_id", "lang", "_r").dropDuplicates(["doc_id", "lang"]))
