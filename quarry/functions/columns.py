@@ -5,7 +5,6 @@ Each is a composition of built-in expressions; none is a Python UDF.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
