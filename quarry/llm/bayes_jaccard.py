@@ -204,7 +204,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
         comps.select(F.col("id").alias("nid"), "comp"), "nid").select("node", "n", "rep", "comp")
     members = materialise(members, "jaccard-members")
     texts = docs.select(F.col("doc_id").alias("_d"), "text")
-    full = members.join(texts, F.col("rep").eqNullSafe(F.col("_d"))).select("node", "n", "comp", "text")
+    # always a shuffled join: the members of candidate components grow with the corpus
+    full = members.hint("merge").join(texts, F.col("rep").eqNullSafe(F.col("_d"))).select("node", "n", "comp", "text")
     found = materialise(compare_groups(deal_pairs_of_blocks(full, "comp", F.col("node"), block, pack),
                                        threshold, tolerance), "jaccard-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
