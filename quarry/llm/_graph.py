@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from quarry.llm._shared import materialise
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _joined(edges: DataFrame, low: DataFrame, salt: int) -> DataFrame:
+    """Each edge (u, v) with the smallest neighbour m of u; a hub's edges meet in ``salt`` tasks, not one."""
+    spread = edges.withColumn("_s", F.pmod(F.xxhash64(F.lit(13), "v"), F.lit(salt)).cast("int"))
+    copies = low.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return spread.join(copies, ["u", "_s"]).drop("_s")
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", salt: int = 16) -> DataFrame:
     """(id, comp): the smallest id that links reach, for every id in ``edges``.
 
     Alternating large-star and small-star steps: each step sends a node's
     neighbours to the smallest id it sees. A node's neighbours are never
     gathered: the smallest one is an aggregate with a partial step and is
-    joined back, so a hub is only a skewed join key. Every round is written to
+    joined back, a hub's edges spread over ``salt`` tasks. Every round is written to
     the shared folder; the loop ends when a round changes no edge, after a
     logarithmic number of rounds.
     """
@@ -24,10 +31,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _joined(both, low, salt).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(small_low, "u")
+        small = _joined(large, small_low, salt)
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .union(small_low.select("u", F.col("m").alias("v"))).distinct())
         e = materialise(small, "edges")
