@@ -55,9 +55,13 @@ class Pieces:
         self.unknown_score = min(s for s, _ in self.table.values()) - 10.0
         self.unknown_id = sp.unk_id()
         self.longest = max(map(len, self.table))
-        #: every beginning of a piece; a piece itself maps to (score, id), other beginnings to None
-        self.begins = {p[:k]: None for p in self.table for k in range(1, len(p))}
-        self.begins.update(self.table)
+        #: pieces as a tree of characters; a node's "" holds the (score, id) of the piece that ends there
+        self.tree: dict = {}
+        for piece, found in self.table.items():
+            node = self.tree
+            for ch in piece:
+                node = node.setdefault(ch, {})
+            node[""] = found
         self.words_part = not any(re.search(f"[^{BLANK}]{BLANK}|\n", p) for p in self.table)
 
     def bytes_of(self, ch: str) -> tuple[int, ...]:
@@ -65,6 +69,9 @@ class Pieces:
         return tuple(self.byte_id.get(b, self.unknown_id) for b in raw) if self.byte_id else (self.unknown_id,)
 
 
+_NEVER = float("-inf")
+
+
 class StreamingViterbi:
     """Feed prepared text in parts; ids come back as soon as they are certain."""
 
@@ -75,44 +82,46 @@ class StreamingViterbi:
     def feed(self, part: str, last: bool = False) -> list[int]:
         self.text += part
         out: list[int] = []
-        begins, longest, text = self.p.begins, self.p.longest, self.text
+        tree, longest, text, unknown = self.p.tree, self.p.longest, self.text, self.p.unknown_score
+        best, back, reach, j = self.best, self.back, self.reach, self.next
+        more = len(text) + 1 - len(best)
+        best.extend([_NEVER] * more)
+        back.extend([None] * more)
         stop = len(text) if last else len(text) - longest
-        while self.next < stop:
-            j = self.next
-            if j and (self.reach <= j or j > 8 * longest):
-                cut = j if self.reach <= j else self._converged(j)
+        short = last and not j and len(text) <= 4 * longest  # one window holds the whole text
+        while j < stop:
+            if j and not short and (reach <= j or j > 8 * longest):
+                self.next, self.reach = j, reach
+                cut = j if reach <= j else self._converged(j)
                 if cut:
                     out += self._commit(cut)
-                    text, j, stop = self.text, j - cut, stop - cut
-            best, back, b = self.best, self.back, self.best[j]
-            alone = None
-            for e in range(j + 1, min(j + longest, len(text)) + 1):
-                sub = text[j:e]
-                if sub not in begins:
+                    text, best, back, reach, j, stop = self.text, self.best, self.back, self.reach, self.next, stop - cut
+            base, node, e = best[j], tree, j
+            alone = True
+            for ch in text[j:j + longest]:
+                node = node.get(ch)
+                if node is None:
                     break
-                self.reach = max(self.reach, e)
-                found = begins[sub]
+                e += 1
+                found = node.get("")
                 if found is not None:
                     if e == j + 1:
-                        alone = found
-                    self._relax(e, b + found[0], (j, found[1]))
-            if alone is None:
-                self._relax(j + 1, b + self.p.unknown_score, (j, None))
-            self.next = j + 1
+                        alone = False
+                    score = base + found[0]
+                    if score > best[e]:
+                        best[e], back[e] = score, (j, found[1])
+            reach = max(reach, e)
+            if alone and base + unknown > best[j + 1]:
+                best[j + 1], back[j + 1] = base + unknown, (j, None)
+            j += 1
+        self.next, self.reach = j, reach
         if last:
-            out += self._commit(len(self.text))
+            out += self._commit(len(text))
         return out
 
-    def _relax(self, e: int, score: float, via: tuple) -> None:
-        while len(self.best) <= e:
-            self.best.append(float("-inf"))
-            self.back.append(None)
-        if score > self.best[e]:
-            self.best[e], self.back[e] = score, via
-
     def _converged(self, j: int) -> int:
         """The last boundary that every surviving path runs through (0: none after the start)."""
-        live = {j, *(e for e in range(j + 1, len(self.best)) if self.back[e] is not None)}
+        live = {j, *(e for e in range(j + 1, min(j + self.p.longest, len(self.best))) if self.back[e] is not None)}
         while len(live) > 1:
             e = max(live)
             live.remove(e)
@@ -146,7 +155,7 @@ def encode_stream(pieces: Pieces, parts: Iterable[str]) -> Iterator[int]:
 class Encoder:
     """Whole texts to ids, with a bounded memory of words."""
 
-    def __init__(self, path: str | None = None, room: int = 500_000):
+    def __init__(self, path: str | None = None, room: int = 800_000):
         self.pieces = Pieces(path)
 
         class Memory(dict):
