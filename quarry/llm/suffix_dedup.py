@@ -109,28 +109,44 @@ def find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return found.select("doc_id", "_t", F.inline(F.arrays_zip(*names)))
 
 
-def _cut(docs: DataFrame, wanted: DataFrame, make, schema: str) -> DataFrame:
-    """Run ``make(doc_id, _t, text bytes, wanted runs)`` on the documents that hold wanted runs."""
-    per_doc = wanted.groupBy(F.col("doc_id").alias("_d"), "_t").agg(
-        F.collect_list(F.struct("key", "content", "start", "windows", "cnt")).alias("_w"))
+def _texts_of_runs(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """The text of each wanted run (``seg``), or, where ``split``, the hash of each of its windows (``h``).
+
+    One join brings every document that holds wanted runs together with them.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    per_doc = wanted.groupBy(F.col("doc_id").alias("_d"), F.col("_t").alias("_t2")).agg(
+        F.collect_list(F.struct("key", "content", "start", "windows", "cnt", "split")).alias("_w"))
     src = (docs.select("doc_id", text_key().alias("_t"), "text")
-           .join(per_doc.withColumnRenamed("_t", "_t2").hint("merge"),
-                 F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_t2")))
+           .join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_t2")))
            .select("doc_id", "_t", "text", "_w"))
+    kinds = [src.schema["doc_id"], src.schema["_t"]]
+
+    def cut(d, t, x, runs):
+        for w in runs:
+            s, n = w["start"], w["windows"]
+            same = {"doc_id": d, "_t": t, "cnt": w["cnt"]}
+            if w["split"]:
+                for i in range(s, s + n):
+                    yield same | {"start": i, "h": hashlib.blake2b(x[i:i + length], digest_size=16).digest()}
+            else:
+                yield same | {"start": s, "key": w["key"], "content": w["content"], "seg": x[s:s + n + length - 1]}
 
     def run(batches):
         for batch in batches:
+            out = pa.schema([*(batch.schema.field(k.name) for k in kinds), ("cnt", pa.int64()), ("start", pa.int32()),
+                             ("key", pa.int64()), ("content", pa.int64()), ("seg", pa.binary()), ("h", pa.binary())])
             for at in range(0, batch.num_rows, 256):
                 rows = []
                 for d, t, x, w in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
-                    rows.extend(make(d, t, x.encode("utf-8", "surrogatepass"), w))
-                yield pa.RecordBatch.from_pylist(rows, schema=pa_schema)
+                    rows.extend(cut(d, t, x.encode("utf-8", "surrogatepass"), w))
+                    if len(rows) > 50_000:
+                        yield pa.RecordBatch.from_pylist(rows, schema=out)
+                        rows = []
+                yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    pa_schema = to_arrow_schema(_parse_datatype_string(schema))
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, f"doc_id {id_type}, _t bigint, cnt bigint, start int, key bigint, content bigint, "
+                               "seg binary, h binary")
 
 
 def repeated_windows(lanes: list[list[bytes]], length: int) -> list[list[np.ndarray]]:
@@ -213,28 +229,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, lane
     met = contents.where("cnt > 1").select("key", "content")
     again = mixed.join(met, ["key", "content"]).select("doc_id", "_t", *span)
     per_key = contents.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    sized = contents.join(per_key, "key")
-
-    def segments(d, t, x, wanted):
-        return [dict(key=w["key"], content=w["content"], cnt=w["cnt"], doc_id=d, _t=t, start=w["start"],
-                     seg=x[w["start"]:w["start"] + w["windows"] + length - 1]) for w in wanted]
-
-    few = _cut(docs, sized.where(F.col("m") <= lane), segments,
-               f"key bigint, content bigint, cnt bigint, doc_id {id_type}, _t bigint, start int, seg binary")
-    few = materialise(few, "run-texts")
-    lanes = _sort_lanes(few, length, id_type)
-
-    def windows(d, t, x, wanted):
-        for w in wanted:
-            s, n = w["start"], w["windows"]
-            for i in range(s, s + n):
-                yield dict(h=hashlib.blake2b(x[i:i + length], digest_size=16).digest(), cnt=w["cnt"],
-                           doc_id=d, _t=t, s=i)
+    sized = contents.join(per_key, "key").withColumn("split", F.col("m") > lane)
+    texts = materialise(_texts_of_runs(docs, sized, length), "run-texts")
+    lanes = _sort_lanes(texts.where("h is null"), length, id_type)
 
-    many = materialise(_cut(docs, sized.where(F.col("m") > lane), windows,
-                            f"h binary, cnt bigint, doc_id {id_type}, _t bigint, s int"), "run-windows")
+    many = texts.where("h is not null")
     common = many.groupBy("h").agg(F.sum("cnt").alias("n")).where("n > 1").select("h")
-    dealt = many.where("cnt = 1").join(common, "h").select("doc_id", "_t", "s", (F.col("s") + length).alias("e"))
+    dealt = many.where("cnt = 1").join(common, "h").select(
+        "doc_id", "_t", F.col("start").alias("s"), (F.col("start") + length).alias("e"))
     return same.unionByName(again).unionByName(lanes).unionByName(dealt)
 
 
