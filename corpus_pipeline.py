@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from quarry.llm._shared import keep_texts, materialise, read, remainder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document whose best language scores less than this is taken as no known language.
+#: A document whose best language scores less than this is taken as no known language. With five languages or fewer
+#: no score is that low; texts in a language that was not learned fail by ``KernelLanguageModel.judge``.
 LEAST_LANGUAGE_SCORE = 0.2
 
 
@@ -33,8 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit_language(docs, remainder("doc_id", 4) != 2)
 
     def known(texts):
-        pred, score = model.value.score(texts)
-        return [p != UNKNOWN and s >= LEAST_LANGUAGE_SCORE for p, s in zip(pred, score)]
+        pred, score, known = model.value.judge(texts)
+        return [p != UNKNOWN and k and s >= LEAST_LANGUAGE_SCORE for p, s, k in zip(pred, score, known)]
 
     return keep_texts(docs.select(*COLUMNS), known)
 

@@ -8,6 +8,13 @@ landmarks' own kernel, gives features; one-versus-rest kernel ridge regression
 is then linear. Scoring is one product of a presence matrix with the landmark
 matrix and one with the weights, per batch of texts.
 
+Whether a text is in a learned language at all is told by another measure, as
+the outputs of any text sum to 2 - L and so the best one is never low: the share
+of the text's distinct 3-grams that landmarks of the predicted language hold.
+The least share that passes is fixed from the learning rows' own shares, a
+landmark never counting for itself. Letters outside the alphabet look alike
+here, so with more than 126 learned letters a foreign script can pass.
+
 Bounds (documented parameters): ``per_lang`` training texts a language and
 ``max_train`` in all, ``landmarks`` landmark texts, 126 letters of their own
 (rarer letters share one class). Every document is scored whole.
@@ -29,6 +36,8 @@ UNKNOWN = "und"
 _BASE = 128
 _SIZES = (_BASE, _BASE ** 2, _BASE ** 3)
 _STARTS = (0, _BASE, _BASE + _BASE ** 2)
+#: A text passes with more than this part of the share that all but ``_LOW`` of the learning rows reach.
+_PART, _LOW = 0.75, 0.01
 
 
 def _letter_table(alphabet: str) -> np.ndarray:
@@ -76,6 +85,11 @@ class KernelLanguageModel:
         own = np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
         return (x @ self.matrix / own).astype(np.float64)
 
+    def _share(self, codes: np.ndarray, lang: int, own: int = 0) -> float:
+        """Share of the distinct 3-grams (all n-grams of shorter texts) in more than ``own`` landmarks of a language."""
+        three = codes[codes >= _STARTS[2]]
+        return float((self.held[self.slot[np.unique(three if len(three) else codes)], lang] > own).mean())
+
     def fit(self, texts: list[str], langs: list[str]) -> "KernelLanguageModel":
         lower = [t.lower() for t in texts]
         freq: dict[str, int] = {}
@@ -106,6 +120,13 @@ class KernelLanguageModel:
         self.matrix = np.zeros((len(vocab), len(pick)), np.float32)
         for j, i in enumerate(pick):
             self.matrix[self.slot[codes[i]], j] = 1
+        at = {k: j for j, k in enumerate(self.langs)}
+        self.held = np.zeros((len(vocab) + 1, len(self.langs)), np.int32)
+        for j, i in enumerate(pick):
+            self.held[:-1, at[keep[i]]] += self.matrix[:, j] > 0
+        mark = set(pick)
+        shares = [self._share(c, at[keep[i]], int(i in mark)) for i, c in enumerate(codes)]
+        self.least_share = _PART * float(np.quantile(shares, _LOW))
         self.matrix /= np.sqrt(self.matrix.sum(0, keepdims=True))
         km = np.vstack([self._kernel([codes[i]]) for i in pick])
         val, vec = np.linalg.eigh((km + km.T) / 2)
@@ -121,18 +142,27 @@ class KernelLanguageModel:
         return self
 
     def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return self._judge(texts, False)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """As ``score``, and whether the text is in the predicted language rather than in none of those learned."""
+        return self._judge(texts, True)
+
+    def _judge(self, texts: list[str | None], shares: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+        known = np.zeros(len(texts), bool)
         if not self.langs:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), known
         pred, score = [], np.zeros(len(texts))
         for at in range(0, len(texts), 64):
             got = [ngram_codes(t, self.alphabet) for t in texts[at:at + 64]]
             out = self._kernel([c for c, _ in got]) @ self.weights + self.bias
             best = out.argmax(1)
-            for i, (_, ok) in enumerate(got):
+            for i, (c, ok) in enumerate(got):
                 pred.append(self.langs[best[i]] if ok else UNKNOWN)
                 if ok:
                     score[at + i] = min(max((out[i, best[i]] + 1) / 2, 0.0), 1.0)
-        return pred, score
+                    known[at + i] = shares and self._share(c, best[i]) > self.least_share
+        return pred, score, known
 
 
 def training_texts(docs: DataFrame, learn: Column, per_lang: int = 300, max_train: int = 3000,
