@@ -41,17 +41,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; of rows that share an id, one.
+    """Keeps one row of each group, the one with the smallest id; rows without an id come after all others.
 
-    Rows without an id are kept.
+    Rows are told apart by id and text hash, so rows that share an id are judged each by its own text.
     """
     from quarry.llm.bayes_jaccard import jaccard_classes
 
-    docs = docs.select(*COLUMNS)
-    first = jaccard_classes(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").withColumn("_r", nth).where("_r = 1")
-    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                   F.xxhash64(F.lit(1), "text").alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
+    docs = docs.select(*COLUMNS, row.alias("_row"))
+    classes = jaccard_classes(docs.select(F.col("_row").alias("doc_id"), "text"))
+    first = classes.where("kept").select(F.col("doc_id").alias("_row")).distinct()
+    nth = F.row_number().over(Window.partitionBy("_row").orderBy("lang", "source", "n_chars"))
+    kept = docs.join(first.hint("merge"), "_row", "left_semi").withColumn("_r", nth).where("_r = 1")
+    return kept.select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
