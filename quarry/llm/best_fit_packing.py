@@ -16,6 +16,9 @@ than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -34,7 +37,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 class WordTokenizer:
-    """Byte-level BPE ids as little-endian bytes, remembered per space-separated word.
+    """Byte-level BPE ids of ordinary text as little-endian bytes, remembered per space-separated word.
 
     A blank before a visible character always starts a new pre-token, so
     words can be looked up one by one. Only a blank followed by white space
@@ -80,12 +83,42 @@ class WordTokenizer:
             return self._bytes(text)
 
 
-_TOKENIZERS: dict[str | None, WordTokenizer] = {}
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """The added tokens of the ``tokenizers`` json beside the rank file (none, if there is no json)."""
+    import public_tokenizers
 
+    path = os.path.splitext(path or public_tokenizers.path(VOCABULARY))[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    for t in added:
+        if t["lstrip"] or t["rstrip"] or t["single_word"]:
+            raise ValueError(f"added token {t['content']!r}: only plain ones are supported")
+    return {t["content"]: t["id"] for t in added}
 
-def tokenizer(path: str | None) -> WordTokenizer:
+
+class DocumentTokenizer:
+    """Ids as ``tokenizers`` gives them: added tokens are cut out first, each part between them is a text of its own."""
+
+    def __init__(self, path: str | None = None):
+        self.words = WordTokenizer(path)
+        self.added = {k: np.asarray([v], "<u4").tobytes() for k, v in added_tokens(path).items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+
+    def __call__(self, text: str | None) -> bytes:
+        if not text or self.cuts is None or not self.cuts.search(text):
+            return self.words(text)
+        return b"".join(self.added[t] if t in self.added else self.words(t) for t in self.cuts.split(text))
+
+
+_TOKENIZERS: dict[str | None, DocumentTokenizer] = {}
+
+
+def tokenizer(path: str | None) -> DocumentTokenizer:
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
+        _TOKENIZERS[path] = DocumentTokenizer(path)
     return _TOKENIZERS[path]
 
 

@@ -1,0 +1,25 @@
+import struct
+import zlib
+
+from quarry.llm.best_fit_packing import pack
+
+TEXTS = ["abc<|endoftext|>def", "abc <|endoftext|> def", "<|endoftext|>", "<|endoftext|><|endoftext|>\n x",
+         "a  <|endoftext|>  b", "<|endoftext", "é" * 1500 + "<|endoftext|>" + "one two " * 900, "no such token"]
+
+
+def test_ids_of_texts_that_hold_an_added_token(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    got = {}
+    for r in pack(df).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32))
+    for d, t in enumerate(TEXTS):
+        ids = reference.encode(t, add_special_tokens=False).ids + [2]
+        pieces = sorted(got[d])
+        assert [s for s, _, _ in pieces] == [0, *(s + n for s, n, _ in pieces[:-1])]
+        assert sum(n for _, n, _ in pieces) == len(ids)
+        for s, n, crc in pieces:
+            assert crc == zlib.crc32(struct.pack(f"<{n}I", *ids[s:s + n])), t[:40]
