@@ -8,6 +8,12 @@ reaches the threshold are verified in double precision on the spot, and their
 union over the passes gives the components. A group emits the edges of a
 spanning forest, never its pairs.
 
+The number of passes grows with the number of nodes (about its 0.15th power at
+the 0.95 threshold), so that an isolated pair at the threshold is missed by all
+of them with a probability of at most ``MISS`` where vectors lie evenly spread,
+at every size. In a crowded direction (many vectors near each other but under
+the threshold) more nodes share a prefix and the miss probability is larger.
+
 A bounded window cannot see every pair of a dense component, so direct links
 are then counted exactly: inside each component every two blocks are compared
 by matrix product, and only counts leave the task.
@@ -20,6 +26,8 @@ id; columns other than the two named are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +39,25 @@ from quarry.llm._vectors import content_key, dimension, matrix, usable
 from quarry.operators.tables import serial_number
 
 THRESHOLD = 0.95
+#: Fewest passes, and the probability of missing an isolated pair at the threshold that sets their number.
 PASSES = 16
+MISS = 1e-5
 WINDOW = 48
 BITS = 63
 
 
+def passes_for(nodes: int, window: int = WINDOW, threshold: float = THRESHOLD, miss: float = MISS) -> int:
+    """Passes after which a pair at ``threshold`` among ``nodes`` evenly spread keys is missed with at most ``miss``.
+
+    Two vectors at angle a differ in a hash bit with probability a / pi. A pass
+    counts as finding them when they agree on the leading bits that leave half
+    a window of nodes with their prefix.
+    """
+    bits = min(max(math.log2(max(2 * nodes / window, 1)), 0.0), BITS)
+    found = (1 - math.acos(min(max(threshold, -1.0), 1.0)) / math.pi) ** bits
+    return PASSES if found >= 1 else max(PASSES, math.ceil(math.log(miss) / math.log1p(-found)))
+
+
 def pass_keys(x: np.ndarray, passes: int, seed: int) -> np.ndarray:
     """(rows, passes) non-negative 63-bit keys, most significant bit first."""
     out = np.zeros((len(x), passes), np.int64)
@@ -117,9 +139,9 @@ def _count_links(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def vector_components(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
-                      threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = 7,
+                      threshold: float = THRESHOLD, passes: int | None = None, window: int = WINDOW, seed: int = 7,
                       block: int = 1024, pair_block: int = 96) -> DataFrame:
-    """vec_id, n_links, component_id, kept: one row per row of ``vectors``."""
+    """vec_id, n_links, component_id, kept: one row per row of ``vectors``; ``passes`` None: by the number of nodes."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     good = rows.where(usable("v"))
     size = dimension(good, "v")
@@ -128,6 +150,8 @@ def vector_components(vectors: DataFrame, id_col: str = "vec_id", vector: str =
     nodes = named.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("rep"),
                                       F.first("v").alias("v"))
     nodes = materialise(nodes, "vector-nodes")
+    if passes is None:
+        passes = passes_for(nodes.count(), window, threshold)
     keyed = _keys(nodes, passes, seed).select("node", "v", F.posexplode("keys").alias("pass", "key"))
     ranked = serial_number(keyed, [F.col("pass"), F.col("key"), F.col("node")], "place")
     edges = _window_edges(ranked, threshold, window, block)

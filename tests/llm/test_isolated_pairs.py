@@ -1,0 +1,24 @@
+import numpy as np
+
+from quarry.llm.projection_dedup import PASSES, passes_for, vector_components
+
+
+def test_passes_grow_with_the_nodes():
+    got = [passes_for(n) for n in (0, 10 ** 4, 10 ** 5, 10 ** 6, 10 ** 7, 10 ** 9)]
+    assert got[0] == PASSES and got == sorted(got) and got[4] > got[2] > PASSES
+
+
+def test_isolated_pairs_are_found(spark):
+    rng = np.random.default_rng(11)
+    n, pairs = 4000, 1000
+    x = rng.normal(size=(n, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(pairs, 16))
+    y -= (y * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    cos = np.linspace(0.9501, 0.97, pairs)[:, None]
+    x = np.vstack([x, cos * x[:pairs] + np.sqrt(1 - cos ** 2) * y])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    # a window of one place is to 5,000 nodes what the usual one is to 240,000
+    rows = vector_components(df, window=1, block=256).where(f"vec_id >= {n}").collect()
+    assert len(rows) == pairs and not [r.vec_id for r in rows if r.component_id != r.vec_id - n]
