@@ -65,10 +65,13 @@ SELECT key, coalesce(CAST(l.toxic AS VARCHAR), 'null') AS label, coalesce(CAST(l
 FROM m LEFT JOIN labels l USING (doc_id)
 """)
 def mail_lines(spark, sf):
-    """Mails as bytes (made from the documents), decoded, joined to their index, as ``label:text`` lines."""
+    """Mails as bytes (made from the documents), decoded, joined to their index, as ``label:text`` lines.
+
+    Joined by document, as in the SQL: ``lpad`` also cuts, so from doc_id 1,000,000 on keys are not unique.
+    """
     docs = load(spark, sf, "documents")
     key = F.concat_ws("_", F.lpad((F.col("doc_id") / 1000).cast("bigint").cast("string"), 3, "0"),
                       F.lpad((F.col("doc_id") % 1000).cast("string"), 3, "0"))
-    mails = docs.select(key.alias("key"), io.decoded(F.encode("text", "UTF-8"), "UTF-8").alias("text"))
-    index = load(spark, sf, "labels").select(key.alias("key"), F.col("toxic").cast("string").alias("label"))
-    return io.label_lines(mails, index)
+    mails = docs.select("doc_id", key.alias("key"), io.decoded(F.encode("text", "UTF-8"), "UTF-8").alias("text"))
+    index = load(spark, sf, "labels").select("doc_id", F.col("toxic").cast("string").alias("label"))
+    return io.label_lines(mails, index, by="doc_id")

@@ -145,11 +145,11 @@ def decoded(raw: Column, charset: str) -> Column:
     return F.regexp_replace(F.decode(raw, charset), "\\r\\n|\\n|\\r", "")
 
 
-def label_lines(mails: DataFrame, index: DataFrame) -> DataFrame:
-    """(key, label, line): mails joined to their index, ``label:text``; the
+def label_lines(mails: DataFrame, index: DataFrame, by: str = "key") -> DataFrame:
+    """(key, label, line): mails joined to their index on ``by``, ``label:text``; the
     label of a mail that is not in the index is the text ``null`` (O18)."""
     label = F.coalesce(F.col("label"), F.lit("null"))
-    return mails.join(index, "key", "left").select("key", label.alias("label"),
+    return mails.join(index, by, "left").select("key", label.alias("label"),
                                                    F.concat_ws(":", label, "text").alias("line"))
 
 
