@@ -102,3 +102,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = decode_documents(encode_documents(read(spark, sf_dir, "documents")))
     return out.select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def _phrase_sql() -> str:
+    from quarry.llm.son_phrases import ORACLE_SQL
+
+    return ORACLE_SQL
+
+
+@register("op12_son_phrases", _phrase_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.son_phrases import collocations
+
+    return collocations(read(spark, sf_dir, "documents"))
