@@ -115,3 +115,23 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.son_phrases import collocations
 
     return collocations(read(spark, sf_dir, "documents"))
+
+
+def _spelling_sql() -> str:
+    from quarry.llm.variable_grams import ORACLE_SQL
+
+    return ORACLE_SQL
+
+
+@register("op11_variable_grams", _spelling_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.variable_grams import spelling_variants
+
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+@register("op13_secret_layers")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.secret_layers import secret_digests
+
+    return secret_digests(read(spark, sf_dir, "documents"))

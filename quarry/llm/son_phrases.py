@@ -4,18 +4,18 @@ Documents are dealt into a few shards by hash. Every shard is mined completely,
 level by level, at a local support lowered in proportion to its share of the
 language's words, ``ceil(support * share)``: a phrase that reaches the support
 overall reaches the local one in at least one shard. The union of the locally
-frequent phrases is then counted globally and exactly in one more pass over all
-texts, and candidates are scored by their weakest cut.
+frequent phrases is then counted globally and exactly, as text, in one more
+pass over all documents, and candidates are scored by their weakest cut.
 
 A shard is a share of the whole corpus, not a task: each task counts the
-phrases of its own slices in numpy and the partial counts meet by (language,
-shard, phrase), so neither a shard nor a language is ever gathered. Two things
-keep most partial counts from being sent at all, and neither decides a result:
-a phrase of k words is only looked at where both its parts of k - 1 words are
-locally frequent, and the last pass only looks at the candidates. Both
-memberships are Bloom filters of a fixed size (``FILTER_BITS``); a false
-positive costs a row, which the exact count then drops, and a filter that is
-too small for the corpus costs time only.
+phrases of its own slices in numpy and the partial counts meet by phrase and
+shard, so neither a shard nor a language is ever gathered. Three things make
+this cheap, and all of them can only add candidates, never lose one: local
+counts are kept under a hash of the phrase; a phrase of k words is only looked
+at where both its parts of k - 1 words are locally frequent; the last pass only
+looks at candidates. Both memberships are Bloom filters of a fixed size
+(``FILTER_CELLS`` longs): what a collision lets through is dropped by the exact
+count, and a filter too small for the corpus costs time only.
 
 Texts are split at piece breaks into slices of about ``SLICE`` bytes, so a long
 text or a large batch is never held in wide arrays; a piece without any break
@@ -43,9 +43,12 @@ SHARDS = 3
 TOP = 2000
 #: A candidate inside a longer one goes when the longer one has at least this share (percent) of its occurrences.
 COVERED = 50
-FILTER_BITS = 1 << 26
-SLICE = 8 << 20
+#: A power of two, at most 2**20 (8 MB): two bits a phrase are taken from the upper 52 bits of its hash.
+FILTER_CELLS = 1 << 20
+SLICE = 4 << 20
 SALT = 16
+#: Lower 12 bits of a key: language bucket and shard.
+_SHARD_BITS, _LANG_BITS = 4, 8
 _U = np.uint64
 
 # class of a byte: 0 part of a word, 1 blank, 2 end of a piece
@@ -95,12 +98,12 @@ class Words:
         start[1:] &= ~inside[:-1] | fresh[1:]
         begin = np.flatnonzero(start[:-1])
         # words stand back to back once blanks and breaks are taken out
-        upto = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(inside[:-1], out=upto[1:])
-        offsets = np.append(upto[begin], upto[-1])
         body = _LOWER[data[inside[:-1]]]
+        stop = np.flatnonzero(inside[:-1] & (~inside[1:] | fresh[1:])) + 1
+        offsets = np.zeros(len(begin) + 1, np.int64)
+        np.cumsum(stop - begin, out=offsets[1:])
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [
-            None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes())])
+            None, pa.py_buffer(offsets), pa.py_buffer(body)])
         coded = column.dictionary_encode()
         self.words = coded.dictionary
         self.code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -131,185 +134,184 @@ def _fold(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _bytes.mix(h * _U(0x9E3779B97F4A7C15) + word)
 
 
-def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(h), bool)
-    for place, mask in _places(h, len(bits)):
-        ok &= (bits[place] & mask) != 0
+def _string_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each string of a short dictionary."""
+    out = np.zeros(len(words), _U)
+    for i, w in enumerate(words):
+        b = np.frombuffer(w.as_py().encode("utf-8", "surrogatepass"), np.uint8)
+        out[i] = _bytes.mix(_bytes.prefix_hash(b)[-1:] + _U(len(b)))[0]
+    return out
+
+
+def in_filter(cells: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether both bits of each hash are set; ``make_filter`` takes the same bits."""
+    most, ok = _U(len(cells) - 1), np.ones(len(h), bool)
+    for low in (12, 38):
+        place = (h >> _U(low)) & most
+        ok &= (cells[place.astype(np.int64)] >> ((h >> _U(low + 20)) & _U(63))) & _U(1) != 0
     return ok
 
 
-def _places(h: np.ndarray, n: int):
-    """The two (64-bit cell, bit) of each hash in a filter of ``n`` cells."""
-    for x in (h, _bytes.mix(h ^ _U(0xA0761D6478BD642F))):
-        yield ((x >> _U(8)) % _U(n)).astype(np.int64), _U(1) << (x & _U(63))
+def make_filter(keys: DataFrame, cells: int = FILTER_CELLS):
+    """A broadcast Bloom filter of the column ``key``: at most ``cells`` rows of two longs reach the driver."""
+    if cells & (cells - 1) or not 0 < cells <= FILTER_CELLS:
+        raise ValueError("cells must be a power of two up to FILTER_CELLS")
+    two = F.array(*[F.expr(f"struct(shiftrightunsigned(key, {low}) & {cells - 1}L AS cell, "
+                           f"shiftleft(1L, CAST(shiftrightunsigned(key, {low + 20}) & 63L AS INT)) AS mask)")
+                    for low in (12, 38)])
+    got = (keys.select(F.explode(two).alias("b")).groupBy("b.cell").agg(F.bit_or("b.mask").alias("mask"))).toPandas()
+    out = np.zeros(cells, np.int64)
+    out[got["cell"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64)
+    return keys.sparkSession.sparkContext.broadcast(out.view(_U))
+
+
+class _Batch:
+    """A batch of (text, lang, shard): per slice, where phrases of each length start and what they hash to."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch = batch
+        lang = batch.column(1).dictionary_encode()
+        self.langs = lang.dictionary
+        self.lang = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.shard = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.base = _string_hashes(self.langs)
 
+    def slices(self, size: int):
+        for w in _each_slice(self.batch, size):
+            if len(w.code):
+                yield w, w.hashes(), self.base[self.lang[w.row]]
 
-def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], parts=None, whole=None, size: int = SLICE) -> DataFrame:
-    """lang, shard, phrase, n: partial counts of the phrases of so many words, one row per slice that has it.
+    @staticmethod
+    def starts(w: Words, k: int) -> np.ndarray:
+        n = max(len(w.code) - k + 1, 0)
+        return np.flatnonzero(w.piece[:n] == w.piece[k - 1:k - 1 + n])
 
-    ``parts``, a broadcast filter over (lang, shard, phrase), must hold both parts of k - 1 words; ``whole``, one over
-    (lang, phrase), the phrase itself.
+    @staticmethod
+    def hashed(base, word, code, at, k: int) -> np.ndarray:
+        h = base[at]
+        for i in range(k):
+            h = _fold(h, word[code[at + i]])
+        return h
+
+
+def language_bucket(base: np.ndarray) -> np.ndarray:
+    return base & _U((1 << _LANG_BITS) - 1)
+
+
+def local_counts(docs: DataFrame, lengths: tuple[int, ...], parts=None, size: int = SLICE) -> DataFrame:
+    """key, n: partial counts of the phrases of so many words, one row per slice that has it.
+
+    A key is 52 bits of the hash of language and phrase, the language's bucket and the shard. ``parts``, a broadcast
+    filter, must hold both parts of one word less.
     """
 
     def run(batches):
         for batch in batches:
-            lang = batch.column(1).dictionary_encode()
-            shards = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            n_shards = int(shards.max()) + 1 if len(shards) else 1
-            group_of_row = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n_shards + shards
-            lang_hash = _words_hash(lang.dictionary)
-            for w in _each_slice(batch, size):
-                if not len(w.code):
-                    continue
-                group = group_of_row[w.row]
-                word = w.hashes()
-                base = lang_hash[group // n_shards]
-                v = len(w.words)
-                code, above = group * v + w.code, (int(group.max()) + 1) * v
+            b = _Batch(batch)
+            for w, word, base in b.slices(size):
+                low = (language_bucket(base) << _U(_SHARD_BITS)) | b.shard[w.row].astype(_U)
+                for k in lengths:
+                    at = b.starts(w, k)
+                    if parts is not None:
+                        for shift in (0, 1):
+                            at = at[in_filter(parts.value, b.hashed(base, word, w.code, at + shift, k - 1))]
+                    if not len(at):
+                        continue
+                    key = b.hashed(base, word, w.code, at, k)
+                    key = (key >> _U(12) << _U(12)) | low[at]
+                    key, n = np.unique(key, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())],
+                                                     names=["key", "n"])
+
+    return docs.mapInArrow(run, "key bigint, n bigint")
+
+
+def exact_counts(docs: DataFrame, lengths: tuple[int, ...], whole, size: int = SLICE) -> DataFrame:
+    """lang, phrase, n: partial counts, as text, of the phrases that the broadcast filter ``whole`` holds."""
+
+    def run(batches):
+        for batch in batches:
+            b = _Batch(batch)
+            for w, word, base in b.slices(size):
+                v, lang = len(w.words), b.lang[w.row]
+                code, above = lang * v + w.code, len(b.langs) * v
                 for k in range(1, max(lengths) + 1):
                     if k > 1:
-                        m = len(code) - 1
-                        if m <= 0:
-                            break
+                        m = max(len(code) - 1, 0)
                         if above * v >= 1 << 62:  # the next code would not fit: number the phrases so far
                             code = np.unique(code, return_inverse=True)[1]
                             above = len(code)
                         code, above = code[:m] * v + w.code[k - 1:k - 1 + m], above * v
-                    if k not in lengths:
-                        continue
-                    n = len(code)
-                    at = np.flatnonzero(w.piece[:n] == w.piece[k - 1:k - 1 + n])
-                    if parts is not None and k > 1:
-                        local = _fold(base, (group % n_shards).astype(_U))
-                        for shift in (0, 1):
-                            if len(at):
-                                at = at[in_filter(parts.value, _phrase_hash(local, word, w.code, at, shift, k - 1))]
-                    if whole is not None and len(at):
-                        at = at[in_filter(whole.value, _phrase_hash(base, word, w.code, at, 0, k))]
+                    at = b.starts(w, k) if k in lengths else np.zeros(0, np.int64)
+                    at = at[in_filter(whole.value, b.hashed(base, word, w.code, at, k))]
                     if not len(at):
                         continue
-                    _, where, n_of = np.unique(code[at], return_index=True, return_counts=True)
+                    _, where, n = np.unique(code[at], return_index=True, return_counts=True)
                     pick = at[where]
                     cols = [w.words.take(pa.array(w.code[pick + i])) for i in range(k)]
-                    phrase = cols[0] if k == 1 else pc.binary_join_element_wise(*cols, pa.scalar(b" ", pa.large_binary()))
-                    yield pa.RecordBatch.from_arrays([
-                        lang.dictionary.take(pa.array(group[pick] // n_shards)),
-                        pa.array(group[pick] % n_shards, pa.int32()),
-                        phrase.cast(pa.binary()).view(pa.string()), pa.array(n_of, pa.int64())],
-                        names=["lang", "shard", "phrase", "n"])
-
-    return docs.mapInArrow(run, "lang string, shard int, phrase string, n bigint")
-
-
-def _words_hash(words: pa.Array) -> np.ndarray:
-    """64-bit hash of each string of a short dictionary."""
-    out = np.zeros(len(words), _U)
-    for i, w in enumerate(words):
-        b = np.frombuffer(w.as_py().encode("utf-8", "surrogatepass"), np.uint8)
-        out[i] = _bytes.mix(_bytes.prefix_hash(b)[-1:] + _U(len(b)))[0]
-    return out
-
+                    text = pc.binary_join_element_wise(*cols, pa.scalar(b" ", pa.large_binary())) if k > 1 else cols[0]
+                    yield pa.RecordBatch.from_arrays(
+                        [b.langs.take(pa.array(lang[pick])), text.cast(pa.binary()).view(pa.string()),
+                         pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
 
-def _phrase_hash(base, word, code, at, shift: int, k: int) -> np.ndarray:
-    h = base[at]
-    for i in range(shift, shift + k):
-        h = _fold(h, word[code[at + i]])
-    return h
-
-
-def make_filter(phrases: DataFrame, keys: tuple[str, ...], bits: int = FILTER_BITS):
-    """A broadcast Bloom filter of ``phrases`` under ``keys`` ("lang" or "lang", "shard").
-
-    The cells are put together by a grouped ``bit_or``; at most ``bits / 64`` rows reach the driver.
-    """
-    cells = bits // 64
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lang = batch.column(1).dictionary_encode()
-            base = _words_hash(lang.dictionary)[lang.indices.to_numpy(zero_copy_only=False)]
-            if len(keys) > 1:
-                base = _fold(base, batch.column(2).to_numpy(zero_copy_only=False).astype(_U))
-            for w in _each_slice(batch):
-                # a phrase is one row: its words are folded in one after the other
-                word, first = w.hashes(), np.flatnonzero(np.diff(w.row, prepend=-1))
-                size = np.diff(np.append(first, len(w.row)))
-                h = base[w.row[first]]
-                for i in range(int(size.max()) if len(size) else 0):
-                    more = size > i
-                    h[more] = _fold(h[more], word[w.code[first[more] + i]])
-                for place, mask in _places(h, cells):
-                    yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(mask.view(np.int64))],
-                                                     names=["cell", "mask"])
-
-    src = phrases.select("phrase", "lang", *keys[1:])
-    got = (src.mapInArrow(run, "cell bigint, mask bigint").groupBy("cell").agg(F.bit_or("mask").alias("mask"))).toPandas()
-    out = np.zeros(cells, np.int64)
-    out[got["cell"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64)
-    return phrases.sparkSession.sparkContext.broadcast(out.view(_U))
+    return docs.mapInArrow(run, "lang string, phrase string, n bigint")
 
 
 def word_totals(docs: DataFrame) -> DataFrame:
-    """lang, shard, n: word occurrences, in one pass that counts word beginnings only."""
+    """lang, low, n: word occurrences by language and by the lower bits of the keys, from word beginnings alone."""
 
     def run(batches):
         for batch in batches:
-            lang = batch.column(1).dictionary_encode()
-            code = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            shards = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            b = _Batch(batch)
             data, at = _offsets(batch.column(0))
             n = np.zeros(batch.num_rows, np.int64)
             for r in range(batch.num_rows):
                 inside = _CLASS[data[at[r]:at[r + 1]]] == 0
                 n[r] = np.count_nonzero(inside[1:] & ~inside[:-1]) + int(len(inside) > 0 and inside[0])
-            yield pa.RecordBatch.from_arrays(
-                [lang.dictionary.take(pa.array(code)), pa.array(shards, pa.int32()), pa.array(n)],
-                names=["lang", "shard", "n"])
-
-    return docs.mapInArrow(run, "lang string, shard int, n bigint").groupBy("lang", "shard").agg(F.sum("n").alias("n"))
+            low = (language_bucket(b.base[b.lang]) << _U(_SHARD_BITS)).astype(np.int64) | b.shard
+            yield pa.RecordBatch.from_arrays([b.langs.take(pa.array(b.lang)), pa.array(low), pa.array(n)],
+                                             names=["lang", "low", "n"])
 
+    return docs.mapInArrow(run, "lang string, low bigint, n bigint").groupBy("lang", "low").agg(F.sum("n").alias("n"))
 
-def locally_frequent(partial: DataFrame, least: DataFrame) -> DataFrame:
-    """lang, shard, phrase of the phrases that reach their shard's local support.
 
-    ``least`` (lang, shard, least) is read from a written table: Spark broadcasts it when its measured size allows;
-    otherwise the salt keeps a large language out of one task.
-    """
-    salted = F.pmod(F.xxhash64("phrase"), F.lit(SALT)).cast("int")
-    sums = partial.groupBy("lang", "shard", "phrase").agg(F.sum("n").alias("n")).withColumn("_s", salted)
-    copies = least.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return sums.join(copies, ["lang", "shard", "_s"]).where("n >= least").select("lang", "shard", "phrase")
+def local_supports(totals: DataFrame, support: int) -> DataFrame:
+    """low, least: the local support by bucket and shard, the lowest one where languages share a bucket (4096 rows)."""
+    share = totals.where("n > 0").withColumn("n_all", F.sum("n").over(Window.partitionBy("lang")))
+    return share.groupBy("low").agg(F.min(F.expr(
+        f"greatest(1L, ({support}L * n + n_all - 1) div n_all)")).alias("least"))
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, max_words: int = MAX_WORDS, shards: int = SHARDS,
-                     bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+                     cells: int = FILTER_CELLS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of every phrase of 1 to ``max_words`` words with f >= ``support``, and (lang, n) of all words."""
+    if not 0 < shards <= 1 << _SHARD_BITS:
+        raise ValueError("from 1 to 16 shards")
     src = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"),
                       F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
     totals = materialise(word_totals(src), "phrase-totals")
-    n_all = F.sum("n").over(Window.partitionBy("lang"))  # at most one row per language and shard
-    least = totals.where("n > 0").withColumn("n_all", n_all)
-    least = materialise(least.select("lang", "shard", F.expr(
-        f"greatest(1L, ({support}L * n + n_all - 1) div n_all)").alias("least")), "phrase-support")
-    mined = materialise(locally_frequent(phrase_counts(src, (1, 2)), least), "phrase-level-2")
-    union = mined
+    least = F.broadcast(local_supports(totals, support))  # a row per bucket and shard at most
+
+    def mined(lengths, parts=None):
+        sums = local_counts(src, lengths, parts).groupBy("key").agg(F.sum("n").alias("n"))
+        low = F.col("key").bitwiseAND(F.lit((1 << (_SHARD_BITS + _LANG_BITS)) - 1))
+        found = sums.withColumn("low", low).join(least, "low").where("n >= least").select("key")
+        return materialise(found, f"phrases-{lengths[-1]}")
+
+    level = union = mined((1, 2))
     for k in range(3, max_words + 1):
-        parts = make_filter(mined.where(F.size(F.split("phrase", " ")) == k - 1), ("lang", "shard"), bits)
-        mined = materialise(locally_frequent(phrase_counts(src, (k,), parts=parts), least), f"phrase-level-{k}")
-        union = union.unionByName(mined)
-    whole = make_filter(union.select("lang", "phrase").distinct(), ("lang",), bits)
-    counted = phrase_counts(src, tuple(range(1, max_words + 1)), whole=whole)
-    # a phrase the filter let in by mistake has f < support: SON misses none that reaches it
+        level = mined((k,), make_filter(level, cells))
+        union = union.unionByName(level)
+    counted = exact_counts(src, tuple(range(1, max_words + 1)), make_filter(union, cells))
+    # whatever a collision let in has f < support: SON misses no phrase that reaches it
     f = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
     return materialise(f, "phrase-counts"), totals.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, max_words: int = MAX_WORDS, shards: int = SHARDS,
-                 top: int | None = TOP, covered: int = COVERED, bits: int = FILTER_BITS) -> DataFrame:
+                 top: int | None = TOP, covered: int = COVERED, cells: int = FILTER_CELLS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's first ``top`` collocations (None: all)."""
-    f, totals = frequent_phrases(docs, support, max_words, shards, bits)
+    f, totals = frequent_phrases(docs, support, max_words, shards, cells)
     words = F.split("phrase", " ")
     cand = f.withColumn("w", words).where(F.size("w") > 1).select("lang", "phrase", F.col("f").alias("a"), "w")
     cand = cand.withColumn("_s", F.pmod(F.xxhash64("phrase"), F.lit(SALT)).cast("int"))

@@ -56,10 +56,10 @@ def corpus(seed, docs=120):
     return rows + [(1, None, "en"), (2, "", None), (3, "only " * 30, "de"), (3, "only " * 30, "de")]
 
 
-@pytest.mark.parametrize("seed,shards,max_words,bits", [(1, 3, 3, 1 << 16), (2, 1, 2, 64), (3, 5, 4, 128)])
-def test_equals_brute_force(spark, seed, shards, max_words, bits):
+@pytest.mark.parametrize("seed,shards,max_words,cells", [(1, 3, 3, 1 << 16), (2, 1, 2, 1), (3, 5, 4, 2)])
+def test_equals_brute_force(spark, seed, shards, max_words, cells):
     rows = corpus(seed)
-    got = S.collocations(table(spark, rows), support=5, max_words=max_words, shards=shards, bits=bits)
+    got = S.collocations(table(spark, rows), support=5, max_words=max_words, shards=shards, cells=cells)
     want = brute(rows, 5, max_words)
     assert len(want) > 20
     assert sorted(tuple(r) for r in got.collect()) == want
@@ -88,8 +88,8 @@ def test_every_frequent_phrase_reaches_a_local_support(spark):
 def test_slices_of_long_texts_and_products_beyond_64_bits(spark):
     rows = [(1, ("alpha beta gamma, " * 4000 + "delta epsilon ") * 3, "en"), (2, "x" * 300000 + " y", "en")]
     src = table(spark, rows).select("text", "lang", F.lit(0).alias("shard"))
-    one = S.phrase_counts(src, (1, 2, 3)).groupBy("phrase").agg(F.sum("n")).collect()
-    cut = S.phrase_counts(src, (1, 2, 3), size=1000).groupBy("phrase").agg(F.sum("n")).collect()
+    one = S.local_counts(src, (1, 2, 3)).groupBy("key").agg(F.sum("n")).collect()
+    cut = S.local_counts(src, (1, 2, 3), size=1000).groupBy("key").agg(F.sum("n")).collect()
     assert sorted(one) == sorted(cut) and len(one) > 10
     big = 3_000_000_000_000
     score = spark.range(1).select(F.expr(
@@ -113,3 +113,11 @@ def test_query_equals_sql(spark, sf001):
     df = queries.QUERIES["op12_son_phrases"](spark, sf001)
     want = con.execute(queries.ORACLE["op12_son_phrases"]).fetchall()
     assert sorted(tuple(r) for r in df.collect()) == sorted(want) and want
+
+
+def test_filter_holds_what_was_put_in(spark):
+    keys = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 3000, np.int64)
+    held = S.make_filter(spark.createDataFrame([(int(k),) for k in keys], "key bigint"), 1 << 14).value
+    assert S.in_filter(held, keys.view(np.uint64)).all()
+    other = np.random.default_rng(4).integers(0, 1 << 64, 3000, np.uint64)
+    assert S.in_filter(held, other).mean() < 0.01
