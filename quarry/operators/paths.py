@@ -96,3 +96,99 @@ def path_rows(dist: DataFrame, target) -> DataFrame:
 def path_to(dist: DataFrame, target) -> list:
     """Node list from the source to ``target`` (one path, whole); empty when it was not reached."""
     return [r["node"] for r in path_rows(dist, target).orderBy("pos").collect()]
+
+
+# ---------------------------------------------------------------- two nodes
+
+class _Side:
+    """One direction of a two-sided search: (node, dist, pred, active), kept in the shared folder."""
+
+    def __init__(self, edges: DataFrame, start, node_type: str, salt: int):
+        spark = edges.sparkSession
+        self.salt = salt
+        # a hub's edges lie in ``salt`` places, its one frontier row is copied to each
+        self.edges = edges.withColumn("_s", F.pmod(F.xxhash64("dst"), F.lit(salt)).cast("int")).checkpoint()
+        self.dist = spark.createDataFrame([(start, 0.0, None, True)],
+                                          f"node {node_type}, dist double, pred {node_type}, active boolean")
+        self.least, self.n_active, self.expanded = 0.0, 1, 0
+
+    def expand(self, bound: float | None) -> None:
+        """One round: every active node nearer than ``bound`` offers its edges; the others can be on no better path."""
+        near = F.lit(True) if bound is None else F.col("dist") < F.lit(bound)
+        go = self.dist.where(F.col("active") & near).select(
+            F.col("node").alias("src"), F.col("dist").alias("upto"),
+            F.explode(F.sequence(F.lit(0), F.lit(self.salt - 1))).alias("_s"))
+        offers = go.join(self.edges, ["src", "_s"]).select(
+            F.col("dst").alias("node"), (F.col("upto") + F.col("cost")).alias("offer"), F.col("src").alias("via"))
+        best = offers.groupBy("node").agg(F.min(F.struct("offer", "via")).alias("b")).select("node", "b.offer", "b.via")
+        better = F.col("offer").isNotNull() & (F.col("dist").isNull() | (F.col("offer") < F.col("dist")))
+        self.dist = self.dist.join(best, "node", "full").select(
+            "node", F.when(better, F.col("offer")).otherwise(F.col("dist")).alias("dist"),
+            F.when(better, F.col("via")).otherwise(F.col("pred")).alias("pred"),
+            (better | (F.coalesce("active", F.lit(False)) & ~F.coalesce(near, F.lit(False)))).alias("active")).checkpoint()
+        self.measure()
+
+    def measure(self) -> None:
+        r = self.dist.agg(F.min(F.when(F.col("active"), F.col("dist"))).alias("least"),
+                          F.count(F.when(F.col("active"), 1)).alias("n"),
+                          F.count(F.when(~F.col("active"), 1)).alias("done")).first()
+        self.least, self.n_active, self.expanded = r["least"], r["n"], r["done"]
+
+
+class Route:
+    """A cheapest route: ``rows`` (pos, node, cost so far), its ``cost`` (None: not reachable) and the number of
+    nodes each side ``expanded``."""
+
+    def __init__(self, rows: DataFrame, cost: float | None, expanded: tuple[int, int]):
+        self.rows, self.cost, self.expanded = rows, cost, expanded
+
+
+def cheapest_route(edges: DataFrame, source, target, salt: int = 8) -> Route:
+    """The cheapest path between two nodes by a search from both ends (O114).
+
+    Each round the side with fewer open nodes relaxes their edges, against the
+    edge direction on the target's side. A node that both sides have reached
+    gives a meeting of known cost; the search stops when the least open cost of
+    one side plus that of the other reaches the best meeting, for then every
+    path not yet found costs at least as much. Open nodes that alone exceed the
+    best meeting less the other side's least cost are not expanded.
+
+    Costs must not be negative. Edges with a null end or cost are no edges.
+    ``source`` equal to ``target`` is a path of one node; an unreachable target
+    gives no rows. Among paths of equal cost one is returned: the meeting of the
+    smallest node, predecessors of least (cost, node). Repeated edges count once, with their least cost.
+    """
+    from quarry.session import ensure_checkpoint_dir
+
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    node_type = edges.schema["src"].dataType.simpleString()
+    e = (edges.select("src", "dst", F.col("cost").cast("double").alias("cost")).dropna()
+         .where("src <> dst").groupBy("src", "dst").agg(F.min("cost").alias("cost"))).checkpoint()
+    if not e.where(F.col("cost") < 0).isEmpty():
+        raise ValueError("edge costs must be non-negative")
+    there = _Side(e, source, node_type, salt)
+    back = _Side(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "cost"), target, node_type, salt)
+    best = None
+    while there.n_active and back.n_active:
+        side, other = (there, back) if there.n_active <= back.n_active else (back, there)
+        side.expand(None if best is None else best["total"] - other.least)
+        met = there.dist.select("node", "dist").join(back.dist.select("node", F.col("dist").alias("rest")), "node")
+        met = met.select((F.col("dist") + F.col("rest")).alias("total"), "node", "dist")
+        best = met.agg(F.min(F.struct("total", "node", "dist")).alias("b")).first()["b"]
+        if not there.n_active or not back.n_active:
+            break  # one side has seen everything it can reach
+        if best is not None and there.least + back.least >= best["total"]:
+            break
+    expanded = (there.expanded, back.expanded)
+    if best is None and source == target:
+        best = {"total": 0.0, "node": source, "dist": 0.0}
+    if best is None:
+        return Route(spark.createDataFrame([], f"pos bigint, node {node_type}, cost double"), None, expanded)
+    head = path_rows(there.dist, best["node"]).join(there.dist.select("node", F.col("dist").alias("cost")), "node")
+    tail = path_rows(back.dist, best["node"]).join(back.dist.select("node", "dist"), "node")
+    steps = head.agg(F.max("pos")).first()[0]
+    rest = tail.agg(F.max("pos")).first()[0]
+    tail = tail.where(F.col("pos") < rest).select(  # the meeting node itself is in the head
+        (F.lit(steps + rest) - F.col("pos")).alias("pos"), "node", (F.lit(best["total"]) - F.col("dist")).alias("cost"))
+    return Route(head.select("pos", "node", "cost").unionByName(tail), best["total"], expanded)

@@ -77,6 +77,74 @@ def map_at_k(spark, sf):
     return m.select(F.round("mapk", 6).alias("mapk"), "n_users")
 
 
+def _factors(pairs):
+    """User and item vectors worked out from the rated pairs, in sixteenths, so that scores are exact."""
+    u = pairs.groupBy("user").agg(F.sum("_cnt").alias("n")).select("user", F.array(
+        (F.col("user") % 16) / 16, (F.col("n") % 8).cast("double"), F.lit(1.0), (F.col("user") * 7 % 32) / 16).alias("vec"))
+    i = pairs.groupBy("item").agg(F.sum("_cnt").alias("n")).select("item", F.array(
+        (F.col("item") * 5 % 16) / 8 - 1, (F.col("n") % 8) / 8, (F.col("item") % 64).cast("double"),
+        (F.col("item") * 3 % 32) / 16 - 1).alias("vec"))
+    return u, i
+
+
+@query("map_at_k_factors", ops="O58 O64 O108 O112 O113", sql=_RATINGS_SQL + f"""
+, u AS (SELECT "user", [("user" % 16) / 16.0, count(*) % 8, 1.0, ("user" * 7 % 32) / 16.0]::DOUBLE[] AS v
+        FROM ratings GROUP BY "user"),
+i AS (SELECT item, [(item * 5 % 16) / 8.0 - 1, (count(*) % 8) / 8.0, item % 64, (item * 3 % 32) / 16.0 - 1]::DOUBLE[] AS v
+      FROM ratings GROUP BY item),
+top AS (
+  SELECT "user", item, row_number() OVER (PARTITION BY "user" ORDER BY list_dot_product(u.v, i.v) DESC, item) - 1 AS pos
+  FROM u, i QUALIFY pos < {MAP_K}),
+mem AS (SELECT DISTINCT "user", item, 1 AS hit FROM ratings),
+sizes AS (SELECT "user", count(*) AS n_actual FROM ratings GROUP BY "user"),
+r AS (SELECT top."user", pos, coalesce(mem.hit, 0) AS hit, sum(coalesce(mem.hit, 0)) OVER (
+        PARTITION BY top."user" ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hits
+      FROM top LEFT JOIN mem USING ("user", item)),
+apk AS (SELECT r."user", sum(CASE WHEN hit = 1 THEN hits / (pos + 1) ELSE 0 END) / least(s.n_actual, {MAP_K}) AS apk
+        FROM r JOIN sizes s USING ("user") GROUP BY r."user", s.n_actual),
+total AS (SELECT (SELECT count(*) FROM u) * (SELECT count(*) FROM i) AS n)
+SELECT round(sum(apk) / count(*), 6) AS mapk, count(*) AS n_users, TRUE AS fewer_scored FROM apk
+""")
+def map_at_k_factors(spark, sf):
+    """Every user against every item: the best lists of the factors above, and whether fewer pairs than all were scored."""
+    from quarry.operators.topk import top_k
+
+    pairs = stored(R.pair_counts(ratings(spark, sf).select("user", "item")), "pair-counts")
+    users, items = (stored(x, "factors") for x in _factors(pairs))
+    top = top_k(users, items, MAP_K, query_id="user", query_vec="vec", item_id="item", item_vec="vec", block=128)
+    recs = top.rows.select(F.col("query").alias("user"), "item", "score")
+    m = R.mean_average_precision_at_k(recs, None, MAP_K, counts=pairs)
+    fewer = top.scored.first()["scored"] < users.count() * items.count()
+    return m.select(F.round("mapk", 6).alias("mapk"), "n_users", F.lit(fewer).alias("fewer_scored"))
+
+
+@query("map_at_k_model", ops="O105 O108 O112 O113")
+def map_at_k_model(spark, sf):
+    """MAPK of the fitted explicit model on the ratings that it did not learn from."""
+    r, _ = _rating_ints(spark, sf)
+    train = _split(F.struct("user", "item"))
+    model = _fit(r.where(train))
+    held = r.where(~train).select(F.col("uidx").alias("user"), F.col("iidx").alias("item"))
+    m = R.map_at_k_of_model(model, held, MAP_K)
+    return m.select(F.round("mapk", 6).alias("mapk"), "n_users")
+
+
+@query("item_neighbours_all", ops="O64 O83 O109 (all targets)", sql=f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v),
+s AS (SELECT a.vec_id, b.vec_id AS neighbour, list_dot_product(a.e, b.e) / (a.l * b.l) AS sim
+      FROM n a JOIN n b ON a.vec_id <> b.vec_id)
+SELECT vec_id, neighbour, round(sim, 6) AS sim,
+       CAST(row_number() OVER (PARTITION BY vec_id ORDER BY s.sim DESC, neighbour) AS INT) AS rank
+FROM s QUALIFY rank <= {fixed.NEIGHBOURS}
+""")
+def item_neighbours_all(spark, sf):
+    emb = load(spark, sf, "embeddings").select("vec_id", "embedding")
+    top = R.neighbours_all(emb, "vec_id", "embedding").rows
+    return top.select(F.col("query").alias("vec_id"), F.col("item").alias("neighbour"), F.round("score", 6).alias("sim"),
+                      "rank")
+
+
 @query("vector_neighbours", ops="O64 O83 O109", sql="""
 WITH t AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS emb FROM embeddings ORDER BY vec_id LIMIT 1),
 s AS (
@@ -262,6 +330,30 @@ def cheapest_path(spark, sf):
     return dist.select("node", F.round("dist", 6).alias("dist"))
 
 
+def _route_sql(rounds: int) -> str:
+    return _cheapest_sql(rounds).rsplit("\nSELECT", 1)[0].replace("WITH base", "WITH RECURSIVE base") + f"""
+, ends AS (SELECT min(n_nationkey) AS s, max(n_nationkey) AS t FROM nation),
+walk AS (
+  SELECT CAST(t AS INT) AS node, 0 AS back FROM ends
+  UNION ALL
+  SELECT p.src, w.back + 1 FROM walk w
+    JOIN LATERAL (SELECT min(e.src) AS src FROM e JOIN d{rounds} a ON a.node = e.src JOIN d{rounds} b ON b.node = e.dst
+                  WHERE e.dst = w.node AND e.src <> e.dst AND a.dist + e.cost = b.dist) p ON true
+  WHERE w.node <> (SELECT s FROM ends) AND p.src IS NOT NULL)
+SELECT CAST((SELECT max(back) FROM walk) - back AS BIGINT) AS pos, CAST(w.node AS BIGINT) AS node, round(d.dist, 6) AS cost
+FROM walk w JOIN d{rounds} d ON d.node = w.node
+"""
+
+
+@query("cheapest_route", ops="O114 (between two nodes)", sql=_route_sql(25))
+def cheapest_route(spark, sf):
+    """The path from the first nation to the last, searched from both ends."""
+    edges = P.undirected(nation_edges(spark, sf))
+    ends = load(spark, sf, "nation").agg(F.min("n_nationkey"), F.max("n_nationkey")).first()
+    route = P.cheapest_route(edges, ends[0], ends[1]).rows
+    return route.select("pos", F.col("node").cast("bigint").alias("node"), F.round("cost", 6).alias("cost"))
+
+
 @query("als_item_neighbours", ops="O109 (on ALS item factors)")
 def als_item_neighbours(spark, sf):
     r, items = _rating_ints(spark, sf)

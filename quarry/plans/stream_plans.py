@@ -12,6 +12,7 @@ from quarry.session import shared_path
 from quarry.sources.io import load
 from quarry.sources.schemas import DETAIL_FIELDS, DETAIL_SCHEMA, ITEM_FIELDS, ITEM_TYPED_SCHEMA
 from quarry.streaming import jobs
+from quarry.streaming.key_registry import KeyRegistry
 
 
 def events_stream(spark, sf):
@@ -54,7 +55,8 @@ def stream_clean_items(spark, sf):
     schema = "event_id bigint, " + ", ".join(f"{c} string" for c in ITEM_FIELDS)
     rows = spark.read.schema(schema).parquet(f"{base}/items").select(F.lit("parquet").alias("sink"), *cols)
     index = spark.read.schema(schema).json(f"{base}/index").select(F.lit("json").alias("sink"), *cols)
-    keys = spark.read.schema("item string").parquet(f"{base}/registry").select(F.lit("registry").alias("sink"), "item")
+    registry = KeyRegistry(spark, f"{base}/registry", ["item"], {"item": T.StringType()})
+    keys = registry.keys().select(F.lit("registry").alias("sink"), "item")
     out = rows.unionByName(index).unionByName(keys, allowMissingColumns=True)
     return out.withColumn("event_id", F.coalesce("event_id", F.lit(0).cast("bigint")))
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from quarry import fixed
 from quarry.operators.clean import clean_flagged, first_seen, split_flagged
-from quarry.sources.io import path_exists
+from quarry.streaming.key_registry import KeyRegistry
 
 
 # ---------------------------------------------------------------- sources
@@ -57,35 +57,8 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType |
     return r.load(path)
 
 
-REGISTRY_BUCKETS = 256
-
-
-def _bucket(key: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(REGISTRY_BUCKETS)).cast("int")
-
-
-def registered(spark: SparkSession, path: str, key: Sequence[str], run: str, batch_id: int,
-               key_types: dict[str, T.DataType], batch: DataFrame | None = None) -> DataFrame:
-    """Keys registered before this batch: by any other run, or by earlier
-    batches of this one (a replayed batch ignores its own keys).
-
-    Registry files lie in folders by key hash; with ``batch`` only the folders
-    that its keys fall into are read (at most ``REGISTRY_BUCKETS`` numbers
-    reach the driver), so a batch's cost does not follow the whole history.
-    """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], T.StructType([T.StructField(k, key_types[k]) for k in key]))
-    own = T.StructType([*[T.StructField(k, key_types[k]) for k in key], T.StructField("run", T.StringType()),
-                        T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
-    reg = spark.read.schema(own).parquet(path)
-    if batch is not None:
-        reg = reg.where(F.col("bucket").isin([r[0] for r in batch.select(_bucket(key)).distinct().collect()]))
-    return reg.where((F.col("run") != run) | (F.col("batch_id") < batch_id)).select(*key)
-
-
-def _write_batch(df: DataFrame, fmt: str, root: str, run: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode("overwrite").format(fmt)
-    (w.partitionBy(*partition_by) if partition_by else w).save(f"{root}/run={run}/batch_id={batch_id}")
+def _write_batch(df: DataFrame, fmt: str, root: str, run: str, batch_id: int) -> None:
+    df.write.mode("overwrite").format(fmt).save(f"{root}/run={run}/batch_id={batch_id}")
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -111,7 +84,7 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
     registered before (O35, O67); write each sink under
     ``run=<query id>/batch_id=N`` (overwrite, so a replay is idempotent, and a
     new checkpoint never touches an earlier run's output); register the new
-    keys last, in the same way and by key hash (O15, O07).
+    keys last, as a run of the ``KeyRegistry`` (O15, O07).
     """
     spark = stream.sparkSession
     trig = trigger or {"availableNow": True}
@@ -130,17 +103,15 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
                     _write_batch(rejects, "parquet", reject_path, run, batch_id)
             out = rows
             if registry_path is not None:
-                key_types = {k: rows.schema[k].dataType for k in key}
-                known = registered(spark, registry_path, key, run, batch_id, key_types, rows)
-                out = first_seen(rows, known, key, order)
+                registry = KeyRegistry(spark, registry_path, key, {k: rows.schema[k].dataType for k in key})
+                out = first_seen(rows, registry.known(rows, run, batch_id), key, order)
             out = out.drop(*drop_cols)
             if registry_path is not None:
                 out = out.persist()
             for fmt, root in sinks.items():
                 _write_batch(out, fmt, root, run, batch_id)
             if registry_path is not None:
-                keys = out.select(*key, _bucket(key).alias("bucket"))  # one row per key already
-                _write_batch(keys, "parquet", registry_path, run, batch_id, ["bucket"])
+                registry.register(out, run, batch_id)  # one row per key already
                 out.unpersist()
             if held is not None:
                 held.unpersist()

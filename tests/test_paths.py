@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from quarry.operators import paths as P
@@ -28,3 +30,65 @@ def test_long_path_comes_whole(spark):
                               "node int, dist double, hops int, pred int")
     assert P.path_to(d, n) == list(range(n + 1))
     assert P.path_to(d, 999) == [] and P.path_to(d, 0) == [0]
+
+
+def _dijkstra(edges, source):
+    import heapq
+
+    out, heap, dist = {}, [(0.0, source)], {}
+    for a, b, c in edges:
+        out.setdefault(a, []).append((b, c))
+    while heap:
+        d, x = heapq.heappop(heap)
+        if x in dist:
+            continue
+        dist[x] = d
+        for y, c in out.get(x, ()):
+            heapq.heappush(heap, (d + c, y))
+    return dist
+
+
+def _check_route(route, edges, source, target, want):
+    rows = sorted((r.pos, r.node, r.cost) for r in route.rows.collect())
+    assert [r[0] for r in rows] == list(range(len(rows)))
+    assert rows[0][1:] == (source, 0.0) and rows[-1][1] == target and abs(rows[-1][2] - want) < 1e-9
+    cost = {}
+    for a, b, c in edges:
+        cost[a, b] = min(c, cost.get((a, b), c))
+    for (_, a, ca), (_, b, cb) in zip(rows, rows[1:]):
+        assert abs(cb - ca - cost[a, b]) < 1e-9
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_route_between_two_nodes_equals_dijkstra(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(60), rng.randrange(60), float(rng.choice([0, 1, 2, 5, 9, 30]))) for _ in range(200)]
+    edges += [(7, x, 50.0) for x in range(60)]  # a hub
+    df = spark.createDataFrame(edges, "src int, dst int, cost double")
+    dist = _dijkstra(edges, 3)
+    for target in (59, 20):
+        route = P.cheapest_route(df, 3, target)
+        assert (target in dist) == (route.cost is not None)
+        if target in dist:
+            assert abs(route.cost - dist[target]) < 1e-9
+            _check_route(route, edges, 3, target, dist[target])
+
+
+def test_route_expands_less_than_one_sided_search(spark):
+    edges = [(0, 1, 1.0), (1, 2, 1.0)] + [(2, 100 + i, 5.0) for i in range(200)] + [(0, 500 + i, 1.5) for i in range(200)]
+    edges += [(500 + i, 900 + i, 1.5) for i in range(200)]
+    both = P.undirected(spark.createDataFrame(edges, "src int, dst int, cost double"))
+    route = P.cheapest_route(both, 0, 2)
+    assert [(r.pos, r.node, r.cost) for r in route.rows.orderBy("pos").collect()] == [(0, 0, 0.0), (1, 1, 1.0), (2, 2, 2.0)]
+    assert sum(route.expanded) < 10
+
+
+def test_route_edge_cases(spark):
+    df = spark.createDataFrame([(1, 2, 1.0), (2, 1, 4.0), (3, 4, 1.0), (None, 2, 1.0), (1, 4, None), (1, 1, 0.0)],
+                               "src int, dst int, cost double")
+    assert P.cheapest_route(df, 1, 4).rows.collect() == [] and P.cheapest_route(df, 1, 4).cost is None
+    assert [tuple(r) for r in P.cheapest_route(df, 2, 2).rows.collect()] == [(0, 2, 0.0)]
+    assert P.cheapest_route(df, 2, 1).cost == 4.0
+    assert P.cheapest_route(df.limit(0), 1, 2).rows.collect() == []
+    with pytest.raises(ValueError):
+        P.cheapest_route(spark.createDataFrame([(1, 2, -1.0)], "src int, dst int, cost double"), 1, 2)

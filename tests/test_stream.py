@@ -3,10 +3,12 @@ the batch result on the same rows; a replayed batch is idempotent."""
 
 import tempfile
 
+from pyspark.sql import types as T
 
 from quarry.operators.clean import clean_messages, first_seen
 from quarry.sources.schemas import ITEM_FIELDS
 from quarry.streaming import jobs
+from quarry.streaming.key_registry import KeyRegistry
 
 ROWS = [
     (1, 1, '{"item":"a","city":"x"}'), (2, 1, '{"item":"b","city":"y"}'), (3, 1, '{"item":"a","city":"z"}'),
@@ -43,9 +45,11 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     before = out.count()
     replay = spark.createDataFrame([(i, v) for i, b, v in ROWS if b == 1], "id int, value string")
     r1, _ = clean_messages(replay, ITEM_FIELDS, exclude="regCapital", keep=["id"])
-    reg = jobs.registered(spark, f"{root}/reg", ["item"], run, 0, {"item": r1.schema["item"].dataType}, r1)
-    jobs._write_batch(first_seen(r1, reg, ["item"], ["id"]), "parquet", f"{root}/out", run, 0)
+    reg = KeyRegistry(spark, f"{root}/reg", ["item"], {"item": r1.schema["item"].dataType})
+    again = first_seen(r1, reg.known(r1, run, 0), ["item"], ["id"])
+    jobs._write_batch(again, "parquet", f"{root}/out", run, 0)
     assert spark.read.parquet(f"{root}/out").count() == before
+    assert not reg.register(again, run, 0) and reg.keys().count() == len(want)
 
 
 def test_state_store_dedup_across_batches(spark):
@@ -99,7 +103,8 @@ def test_new_checkpoint_loses_and_repeats_nothing(spark):
             stream, key=["item"], order=["id"], sinks={"parquet": f"{root}/out"}, registry_path=f"{root}/reg",
             cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude=None, keep=["id"]), checkpoint=f"{root}/ck{n}"))
     assert sorted(r.item for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c"]
-    assert sorted(r.item for r in spark.read.parquet(f"{root}/reg").collect()) == ["a", "b", "c"]
+    reg = KeyRegistry(spark, f"{root}/reg", ["item"], {"item": T.StringType()})
+    assert sorted(r.item for r in reg.keys().collect()) == ["a", "b", "c"]
 
 
 def test_missing_offsets_are_reported(spark):
