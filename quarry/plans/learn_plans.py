@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry import fixed
@@ -330,26 +331,45 @@ def cheapest_path(spark, sf):
     return dist.select("node", F.round("dist", 6).alias("dist"))
 
 
+def part_edges(spark, sf):
+    """Parts that follow each other in an order; the edge costs the price of the line that follows."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
+    nxt = li.select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(w).alias("dst"),
+                    F.lead("l_extendedprice").over(w).alias("cost"))
+    return P.undirected(nxt.where("dst IS NOT NULL"))
+
+
 def _route_sql(rounds: int) -> str:
-    return _cheapest_sql(rounds).rsplit("\nSELECT", 1)[0].replace("WITH base", "WITH RECURSIVE base") + f"""
-, ends AS (SELECT min(n_nationkey) AS s, max(n_nationkey) AS t FROM nation),
+    parts = ["""
+WITH RECURSIVE l AS (
+  SELECT l_partkey AS src, lead(l_partkey) OVER w AS dst, CAST(lead(l_extendedprice) OVER w AS DOUBLE) AS cost FROM lineitem
+  WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice)),
+e AS (SELECT src, dst, min(cost) AS cost FROM (SELECT src, dst, cost FROM l UNION ALL SELECT dst, src, cost FROM l)
+      WHERE dst IS NOT NULL AND src IS NOT NULL GROUP BY 1, 2),
+ends AS (SELECT min(src) AS s, max(src) AS t FROM e),
+d0 AS (SELECT s AS node, 0.0::DOUBLE AS dist FROM ends)"""]
+    for i in range(rounds):
+        parts.append(f""",
+d{i + 1} AS MATERIALIZED (SELECT node, min(dist) AS dist FROM (
+  SELECT node, dist FROM d{i} UNION ALL SELECT e.dst, d{i}.dist + e.cost FROM d{i} JOIN e ON d{i}.node = e.src)
+  GROUP BY node)""")
+    return "".join(parts) + f""",
+via AS (SELECT b.node, min(e.src) AS pred FROM e JOIN d{rounds} a ON a.node = e.src JOIN d{rounds} b ON b.node = e.dst
+        WHERE e.src <> e.dst AND a.dist + e.cost = b.dist GROUP BY b.node),
 walk AS (
-  SELECT CAST(t AS INT) AS node, 0 AS back FROM ends
-  UNION ALL
-  SELECT p.src, w.back + 1 FROM walk w
-    JOIN LATERAL (SELECT min(e.src) AS src FROM e JOIN d{rounds} a ON a.node = e.src JOIN d{rounds} b ON b.node = e.dst
-                  WHERE e.dst = w.node AND e.src <> e.dst AND a.dist + e.cost = b.dist) p ON true
-  WHERE w.node <> (SELECT s FROM ends) AND p.src IS NOT NULL)
+  SELECT t AS node, 0 AS back FROM ends
+  UNION ALL SELECT v.pred, w.back + 1 FROM walk w JOIN via v ON v.node = w.node WHERE w.node <> (SELECT s FROM ends))
 SELECT CAST((SELECT max(back) FROM walk) - back AS BIGINT) AS pos, CAST(w.node AS BIGINT) AS node, round(d.dist, 6) AS cost
 FROM walk w JOIN d{rounds} d ON d.node = w.node
 """
 
 
-@query("cheapest_route", ops="O114 (between two nodes)", sql=_route_sql(25))
+@query("cheapest_route", ops="O114 (between two nodes)", sql=_route_sql(30))
 def cheapest_route(spark, sf):
-    """The path from the first nation to the last, searched from both ends."""
-    edges = P.undirected(nation_edges(spark, sf))
-    ends = load(spark, sf, "nation").agg(F.min("n_nationkey"), F.max("n_nationkey")).first()
+    """The path from the first part to the last, searched from both ends."""
+    edges = stored(part_edges(spark, sf), "part-edges")
+    ends = edges.agg(F.min("src"), F.max("src")).first()
     route = P.cheapest_route(edges, ends[0], ends[1]).rows
     return route.select("pos", F.col("node").cast("bigint").alias("node"), F.round("cost", 6).alias("cost"))
 
@@ -441,6 +461,31 @@ def tree_model_check(spark, sf):
     return out if back.isEmpty() else out.withColumn("better", F.lit(False))  # the label text must follow the index
 
 
+@query("tree_rules", ops="O100 O101 O102 O104 (rules as an expression)", sql="""
+SELECT l_orderkey, l_linenumber, l_linestatus || l_returnflag AS predicted, TRUE AS same_as_model, TRUE AS shallow FROM lineitem
+""")
+def tree_rules(spark, sf):
+    """The tree's rules, stored as text and read back, score every record; the label's parts are among the features,
+    so the rules give the label itself. ``same_as_model`` compares with the fitted model on the same row."""
+    from quarry.operators import tree_rules as TR
+    from quarry.session import shared_path
+
+    li = load(spark, sf, "lineitem")
+    code = F.ascii("l_linestatus") + F.ascii("l_returnflag") * 3
+    rec = stored(li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("f0"),
+                           F.col("l_discount").cast("double").alias("f1"), code.cast("double").alias("f2"),
+                           F.concat("l_linestatus", "l_returnflag").alias("flag")), "tree-records")
+    cols = ["f0", "f1", "f2"]
+    model = L.fit_tree(rec.where(_split("l_orderkey")), cols, "flag")
+    path = shared_path(spark, "tree-rules")
+    TR.save_rules(spark, TR.compile_tree(model, cols), path)
+    rules = TR.load_rules(spark, path)
+    scored = TR.score_rules(L.predict_rows(model, rec, cols), rules, "by_rules", "index_by_rules")
+    same = F.col("by_rules").eqNullSafe(F.col("predictedLabel")) & F.col("index_by_rules").eqNullSafe(F.col("prediction"))
+    return scored.select("l_orderkey", "l_linenumber", F.col("by_rules").alias("predicted"), same.alias("same_as_model"),
+                         F.lit(rules.depth <= fixed.TREE_DEPTH and rules.nodes < 2 ** (fixed.TREE_DEPTH + 1)).alias("shallow"))
+
+
 @query("kmeans_model_check", ops="O96 O97", sql="""
 SELECT count(*) AS n_scored, 0.0 AS baseline, TRUE AS better, TRUE AS evaluator_agrees FROM documents
 """)

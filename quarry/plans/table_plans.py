@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators import tables as T
 from quarry.plans.registry import query
-from quarry.sources.io import load
+from quarry.session import shared_path
+from quarry.sources.io import load, stored
 
 from quarry.fixed import AGE_REFERENCE_YEAR, PIVOT_DEFAULT, PIVOT_VALUES
 
@@ -346,3 +347,58 @@ def ordinal_scan(spark, sf):
     from quarry.sources.io import ordinal_scan as scan
 
     return scan(load(spark, sf, "customer"), [0, 2])
+
+
+@query("daily_distinct", ops="O53 (mergeable)", sql="""
+SELECT 'user_id' AS "column", count(DISTINCT user_id) AS exact, TRUE AS within, TRUE AS same_as_one_pass, TRUE AS day_within FROM events
+UNION ALL SELECT 'event_type', count(DISTINCT event_type), TRUE, TRUE, TRUE FROM events
+UNION ALL SELECT 'event_id', count(DISTINCT event_id), TRUE, TRUE, TRUE FROM events
+""")
+def daily_distinct(spark, sf):
+    """Sketches of each day, added in two runs, against the exact counts, the sketch of one pass, and one day's counts."""
+    from quarry.operators import sketches as K
+
+    ev = load(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    cols, path = ["user_id", "event_type", "event_id"], shared_path(spark, "daily-sketches")
+    odd = F.pmod(F.dayofmonth("day"), F.lit(2)) == 1
+    K.add_parts(spark, path, ev.where(odd), "day", cols)
+    kept = K.add_parts(spark, path, ev.where(~odd | odd.isNull()), "day", cols)
+    once = K.distinct_counts(K.part_sketches(ev, F.lit("all"), cols)).select("column", F.col("estimate").alias("once"))
+    last = ev.agg(F.max("day").cast("string")).first()[0]
+    day = K.distinct_counts(kept, [last]).select("column", F.col("estimate").alias("of_day"))
+    exact, exact_day = T.column_cardinality(ev, cols), T.column_cardinality(ev.where(F.col("day").cast("string") == last), cols)
+
+    def long(wide, name):
+        return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"distinct_{c}").alias(name))
+                                               for c in cols])).alias("x")).select("x.*")
+
+    err = K.relative_error()
+    out = (long(exact, "exact").join(long(exact_day, "exact_day"), "column").join(K.distinct_counts(kept), "column")
+           .join(once, "column").join(day, "column"))
+
+    def close(e, x):
+        return F.abs(F.col(e) - F.col(x)) <= F.ceil(F.col(x) * err)
+
+    return out.select("column", "exact", close("estimate", "exact").alias("within"),
+                      (F.col("estimate") == F.col("once")).alias("same_as_one_pass"), close("of_day", "exact_day").alias("day_within"))
+
+
+@query("packed_partitions", ops="O98", sql="""
+WITH n AS (SELECT count(*) AS n FROM events),
+k AS (SELECT event_type, count(*) AS n_rows FROM events GROUP BY event_type)
+SELECT event_type, n_rows, (k.n_rows > ceil(n.n / 8.0)) AS cut, TRUE AS together, TRUE AS fair FROM k, n
+""")
+def packed_partitions(spark, sf):
+    """Events in eight partitions by their type; types with more rows than a fair share are spread."""
+    from quarry.operators.placing import place_by_key
+
+    ev = load(spark, sf, "events").select("event_id", "event_type")
+    placed = place_by_key(ev, F.col("event_type"), 8, F.col("event_id"))
+    at = placed.rows.select("event_type", F.spark_partition_id().alias("p"))
+    cells = stored(at.groupBy("event_type", "p").agg(F.count(F.lit(1)).alias("n")), "packed")
+    fair = cells.groupBy("p").agg(F.sum("n").alias("n")).agg(F.max("n").alias("m"), F.sum("n").alias("n")).first()
+    even = fair["m"] <= 1.5 * fair["n"] / 8  # within a half of the fair share
+    out = cells.groupBy("event_type").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("parts"))
+    cut = F.col("n_rows") > F.ceil(F.lit(fair["n"]) / 8)
+    return out.select("event_type", "n_rows", cut.alias("cut"), (cut | (F.col("parts") == 1)).alias("together"),
+                      F.lit(bool(even)).alias("fair"))

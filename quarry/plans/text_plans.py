@@ -18,20 +18,32 @@ tf AS (
 """
 
 
-@query("word_count_top", ops="O01 O46 O61 O75", sql="""
+_TOP_WORDS_SQL = """
 WITH lines AS (SELECT unnest(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS line FROM documents),
 toks AS (
   SELECT CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN []::VARCHAR[]
               ELSE string_split(rtrim(line, ' '), ' ') END AS ws FROM lines),
 w AS (SELECT unnest(ws) AS word FROM toks)
 SELECT word, count(*) AS count FROM w GROUP BY word ORDER BY count DESC, word LIMIT 20
-""")
+"""
+
+
+@query("word_count_top", ops="O01 O46 O61 O75", sql=_TOP_WORDS_SQL)
 def word_count_top(spark, sf):
     docs = load(spark, sf, "documents").select("text")
     counts = X.word_count(X.words(X.text_lines(docs)))
     return counts.orderBy(F.desc("count"), F.asc("word")).limit(20)
 
 
+@query("top_words_exact", ops="O51 O61 O66 (bounded summaries)", sql=_TOP_WORDS_SQL)
+def top_words_exact(spark, sf):
+    """The same list from task summaries and an exact count of what they leave in question."""
+    from quarry.operators.heavy import top_values_exact
+
+    words = X.words(X.text_lines(load(spark, sf, "documents").select("text")))
+    return top_values_exact(words, "word", 20).rows.select(F.col("value").alias("word"), "count")
+
+
 def doc_terms(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", X.tokens("text", stop_words=None).alias("toks"))
     return X.term_counts(docs, "doc_id", "toks", stop_words=X.STOP_WORDS)
