@@ -39,14 +39,17 @@ from quarry.llm._shared import materialise
 
 SUPPORT = 10
 MAX_WORDS = 3
-SHARDS = 3
+SHARDS = 2
 TOP = 2000
 #: A candidate inside a longer one goes when the longer one has at least this share (percent) of its occurrences.
 COVERED = 50
 #: A power of two, at most 2**20 (8 MB): two bits a phrase are taken from the upper 52 bits of its hash.
 FILTER_CELLS = 1 << 20
-SLICE = 4 << 20
-SALT = 16
+_PART = 1 << 13
+SLICE = 1 << 19
+#: Partial counts that a task puts together before it hands them on; a quarter as many where they are text.
+HELD = 1 << 19
+SALT = 8
 #: Lower 12 bits of a key: language bucket and shard.
 _SHARD_BITS, _LANG_BITS = 4, 8
 _U = np.uint64
@@ -121,13 +124,18 @@ class Words:
 
 
 def _each_slice(batch: pa.RecordBatch, size: int = SLICE):
-    """``Words`` of every slice of the batch's first column, in order."""
-    data, at = _offsets(batch.column(0))
-    starts = at[:-1]
-    for lo, hi in _slices(data, np.unique(starts), size):
-        first = int(np.searchsorted(at, lo, "right")) - 1
-        last = int(np.searchsorted(starts, hi, "left"))
-        yield Words(data[lo:hi], np.maximum(at[first:last] - lo, 0), first)
+    """``Words`` of every slice of the batch's first column, in order; only a few rows are copied at a time."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    row = 0
+    while row < batch.num_rows:
+        done = int(upto[row - 1]) if row else 0
+        last = max(int(np.searchsorted(upto, done + size, "right")), row + 1)
+        data, at = _offsets(batch.column(0).slice(row, last - row))
+        starts = at[:-1]
+        for lo, hi in _slices(data, np.unique(starts), size):
+            first, stop = int(np.searchsorted(at, lo, "right")) - 1, int(np.searchsorted(starts, hi, "left"))
+            yield Words(data[lo:hi], np.maximum(at[first:stop] - lo, 0), row + first)
+        row = last
 
 
 def _fold(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -153,16 +161,25 @@ def in_filter(cells: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def make_filter(keys: DataFrame, cells: int = FILTER_CELLS):
-    """A broadcast Bloom filter of the column ``key``: at most ``cells`` rows of two longs reach the driver."""
+    """A broadcast Bloom filter of the column ``key``; its ``cells`` longs reach the driver in parts of 64 KB."""
     if cells & (cells - 1) or not 0 < cells <= FILTER_CELLS:
         raise ValueError("cells must be a power of two up to FILTER_CELLS")
     two = F.array(*[F.expr(f"struct(shiftrightunsigned(key, {low}) & {cells - 1}L AS cell, "
                            f"shiftleft(1L, CAST(shiftrightunsigned(key, {low + 20}) & 63L AS INT)) AS mask)")
                     for low in (12, 38)])
-    got = (keys.select(F.explode(two).alias("b")).groupBy("b.cell").agg(F.bit_or("b.mask").alias("mask"))).toPandas()
-    out = np.zeros(cells, np.int64)
-    out[got["cell"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64)
-    return keys.sparkSession.sparkContext.broadcast(out.view(_U))
+    by_cell = keys.select(F.explode(two).alias("b")).groupBy("b.cell").agg(F.bit_or("b.mask").alias("mask"))
+
+    def pack(t: pa.Table) -> pa.Table:
+        cell = t.column("cell").to_numpy()
+        part = np.zeros(_PART, np.int64)
+        part[cell % _PART] = t.column("mask").to_numpy()
+        return pa.table({"part": pa.array([int(cell[0]) // _PART], pa.int64()), "bits": pa.array([part.tobytes()])})
+
+    packed = by_cell.groupBy(F.floor(F.col("cell") / F.lit(_PART))).applyInArrow(pack, "part bigint, bits binary")
+    out = np.zeros(max(cells, _PART), np.int64)
+    for r in packed.toLocalIterator():
+        out[r["part"] * _PART:(r["part"] + 1) * _PART] = np.frombuffer(r["bits"], np.int64)
+    return keys.sparkSession.sparkContext.broadcast(out[:cells].view(_U))
 
 
 class _Batch:
@@ -205,7 +222,7 @@ def local_counts(docs: DataFrame, lengths: tuple[int, ...], parts=None, size: in
     filter, must hold both parts of one word less.
     """
 
-    def run(batches):
+    def counts(batches):
         for batch in batches:
             b = _Batch(batch)
             for w, word, base in b.slices(size):
@@ -219,9 +236,26 @@ def local_counts(docs: DataFrame, lengths: tuple[int, ...], parts=None, size: in
                         continue
                     key = b.hashed(base, word, w.code, at, k)
                     key = (key >> _U(12) << _U(12)) | low[at]
-                    key, n = np.unique(key, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())],
-                                                     names=["key", "n"])
+                    yield np.unique(key, return_counts=True)
+
+    def merged(held):
+        key, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(key, kind="stable")  # sorted runs: a merge
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(np.add.reduceat(n, first))],
+                                          names=["key", "n"])
+
+    def run(batches):
+        held, size_held = [], 0
+        for key, n in counts(batches):
+            held.append((key, n))
+            size_held += len(key)
+            if size_held > HELD:
+                yield merged(held)
+                held, size_held = [], 0
+        if held:
+            yield merged(held)
 
     return docs.mapInArrow(run, "key bigint, n bigint")
 
@@ -229,7 +263,7 @@ def local_counts(docs: DataFrame, lengths: tuple[int, ...], parts=None, size: in
 def exact_counts(docs: DataFrame, lengths: tuple[int, ...], whole, size: int = SLICE) -> DataFrame:
     """lang, phrase, n: partial counts, as text, of the phrases that the broadcast filter ``whole`` holds."""
 
-    def run(batches):
+    def counts(batches):
         for batch in batches:
             b = _Batch(batch)
             for w, word, base in b.slices(size):
@@ -250,9 +284,26 @@ def exact_counts(docs: DataFrame, lengths: tuple[int, ...], whole, size: int = S
                     pick = at[where]
                     cols = [w.words.take(pa.array(w.code[pick + i])) for i in range(k)]
                     text = pc.binary_join_element_wise(*cols, pa.scalar(b" ", pa.large_binary())) if k > 1 else cols[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [b.langs.take(pa.array(lang[pick])), text.cast(pa.binary()).view(pa.string()),
-                         pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+                    yield pa.table([b.langs.take(pa.array(lang[pick])), text.cast(pa.binary()), pa.array(n, pa.int64())],
+                                   names=["lang", "phrase", "n"])
+
+    def merged(held):
+        t = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")]).combine_chunks()
+        for b in t.to_batches():
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("phrase").view(pa.string()), b.column("n_sum")],
+                                             names=["lang", "phrase", "n"])
+
+    def run(batches):
+        held, rows = [], 0
+        for t in counts(batches):
+            held.append(t)
+            rows += t.num_rows
+            if rows > HELD // 4:
+                yield from merged(held)
+                held, rows = [], 0
+                pa.default_memory_pool().release_unused()
+        if held:
+            yield from merged(held)
 
     return docs.mapInArrow(run, "lang string, phrase string, n bigint")
 
@@ -334,7 +385,11 @@ def collocations(docs: DataFrame, support: int = SUPPORT, max_words: int = MAX_W
     longest = inside.groupBy("lang", "phrase").agg(F.max("a").alias("_in"))
     kept = weakest.join(longest, ["lang", "phrase"], "left").where(f"_in IS NULL OR 100 * _in < {covered} * a")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ranked = kept.withColumn("_s", F.pmod(F.xxhash64(F.lit(1), "phrase"), F.lit(4 * SALT)))
+    if top is not None:  # a language's first rows come from those of its parts: no task sees a whole language
+        part = Window.partitionBy("lang", "_s").orderBy(*order)
+        ranked = ranked.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
