@@ -32,6 +32,12 @@ def map_field_or_default(m: Column, key: str, default: str = "0") -> Column:
     return F.when(F.map_contains_key(m, F.lit(key)), m[key]).otherwise(F.lit(default))
 
 
+def padded(c: str | Column, width: int, fill: str = "0") -> Column:
+    """Text filled up on the left to ``width``; longer text stays whole (``lpad`` alone would cut it)."""
+    x = col_of(c).cast("string")
+    return F.when(F.length(x) < width, F.lpad(x, width, fill)).otherwise(x)
+
+
 def octet(addr: str | Column, i: int) -> Column:
     """Octet ``i`` (0-based) of a dotted address as int; null when missing or bad."""
     v = F.get(F.split(col_of(addr), "[.]"), i).try_cast("int")

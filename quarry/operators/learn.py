@@ -79,10 +79,21 @@ def predict_rows(model: PipelineModel, df: DataFrame, feature_cols: Sequence[str
     return scored.unionByName(df.where(~F.coalesce(ok, F.lit(False))), allowMissingColumns=True)
 
 
+def cluster_features(df: DataFrame, text_col: str = "text", num_features: int = fixed.KMEANS_FEATURES) -> DataFrame:
+    """``df`` with its TF-IDF vectors in ``features`` (O96), dealt evenly: a fit reads them in every iteration, and a
+    file of one row group would leave all of it to one task."""
+    even = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return Pipeline(stages=text_features(text_col, num_features)).fit(even).transform(even)
+
+
+def kmeans(k: int = fixed.KMEANS_K, seed: int = fixed.KMEANS_SEED) -> KMeans:
+    return KMeans(k=k, seed=seed, featuresCol="features")
+
+
 def kmeans_estimator(text_col: str = "text", k: int = fixed.KMEANS_K, seed: int = fixed.KMEANS_SEED,
                      num_features: int = fixed.KMEANS_FEATURES) -> Pipeline:
-    """TF-IDF then k-means with a fixed seed."""
-    return Pipeline(stages=[*text_features(text_col, num_features), KMeans(k=k, seed=seed, featuresCol="features")])
+    """TF-IDF then k-means with a fixed seed (O96), as one pipeline that can be saved."""
+    return Pipeline(stages=[*text_features(text_col, num_features), kmeans(k, seed)])
 
 
 def within_set_sse(model: PipelineModel) -> float:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import padded
 from quarry.operators.clean import clean_messages, first_seen_flagged
 from quarry.plans.registry import query
 from quarry.sources.io import load, parse_mail_index
@@ -113,18 +114,31 @@ def label_text_cut(spark, sf):
     return lines.select("doc_id", F.substring("line", 1, 1).alias("label"), F.expr("substring(line, 3)").alias("text"))
 
 
-@query("index_labels", ops="O19", sql="""
-SELECT lpad(CAST(doc_id // 1000 AS VARCHAR), 3, '0') || '_' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') AS key,
-       CASE WHEN toxic = 1 THEN '1' ELSE '0' END AS label
-FROM labels
-""")
-def index_labels(spark, sf):
-    lab = load(spark, sf, "labels")
+def mail_path(doc_id: str = "doc_id") -> tuple:
+    """Folder and file name of a mail, three digits each at least."""
+    d = F.col(doc_id)
+    return padded((d / 1000).cast("bigint"), 3), padded(d % 1000, 3)
+
+
+def _padded_sql(x: str) -> str:
+    return f"CASE WHEN length(CAST({x} AS VARCHAR)) < 3 THEN lpad(CAST({x} AS VARCHAR), 3, '0') ELSE CAST({x} AS VARCHAR) END"
+
+
+MAIL_KEY_SQL = f"{_padded_sql('doc_id // 1000')} || '_' || {_padded_sql('doc_id % 1000')}"
+
+
+def mail_index(labels):
+    """Index lines like ``spam ../data/000/001``, the word in either case."""
     word = (F.when(F.col("toxic") == 1, F.when(F.col("quality") == 1, F.lit("SPAM")).otherwise(F.lit("spam")))
             .otherwise(F.lit("ham")))
-    line = F.concat(word, F.lit(" ../data/"), F.lpad((F.col("doc_id") / 1000).cast("bigint").cast("string"), 3, "0"),
-                    F.lit("/"), F.lpad((F.col("doc_id") % 1000).cast("string"), 3, "0"))
-    return parse_mail_index(lab.select(line.alias("value")))
+    return labels.select(F.concat(word, F.lit(" ../data/"), F.concat_ws("/", *mail_path())).alias("value"))
+
+
+@query("index_labels", ops="O19", sql=f"""
+SELECT {MAIL_KEY_SQL} AS key, CASE WHEN toxic = 1 THEN '1' ELSE '0' END AS label FROM labels
+""")
+def index_labels(spark, sf):
+    return parse_mail_index(mail_index(load(spark, sf, "labels")))
 
 
 def detail_message(events: DataFrame) -> DataFrame:

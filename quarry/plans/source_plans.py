@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import tables as T
+from quarry.plans.clean_plans import MAIL_KEY_SQL, mail_index, mail_path
 from quarry.plans.registry import query
 from quarry.plans.table_plans import _CUSTOMER_SQL, _ip_points
 from quarry.session import shared_path
@@ -58,20 +59,15 @@ def address_predicate(spark, sf):
     return _ip_points(spark, sf).where(T.in_any_range(F.col("ip"), ranges)).select("event_id", "ip")
 
 
-@query("mail_lines", ops="O18", sql="""
-WITH m AS (SELECT lpad(CAST(doc_id // 1000 AS VARCHAR), 3, '0') || '_' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') AS key,
-                  doc_id, replace(text, chr(10), '') AS text FROM documents)
-SELECT key, coalesce(CAST(l.toxic AS VARCHAR), 'null') AS label, coalesce(CAST(l.toxic AS VARCHAR), 'null') || ':' || text AS line
-FROM m LEFT JOIN labels l USING (doc_id)
+@query("mail_lines", ops="O18 O19", sql=f"""
+WITH m AS (SELECT {MAIL_KEY_SQL} AS key, replace(text, chr(10), '') AS text FROM documents),
+i AS (SELECT {MAIL_KEY_SQL} AS key, CASE WHEN toxic = 1 THEN '1' ELSE '0' END AS label FROM labels)
+SELECT key, coalesce(label, 'null') AS label, coalesce(label, 'null') || ':' || text AS line FROM m LEFT JOIN i USING (key)
 """)
 def mail_lines(spark, sf):
-    """Mails as bytes (made from the documents), decoded, joined to their index, as ``label:text`` lines.
-
-    Joined by document, as in the SQL: ``lpad`` also cuts, so from doc_id 1,000,000 on keys are not unique.
-    """
+    """Mails as bytes (made from the documents), decoded, joined by their folder_file key to the parsed index, as
+    ``label:text`` lines."""
     docs = load(spark, sf, "documents")
-    key = F.concat_ws("_", F.lpad((F.col("doc_id") / 1000).cast("bigint").cast("string"), 3, "0"),
-                      F.lpad((F.col("doc_id") % 1000).cast("string"), 3, "0"))
-    mails = docs.select("doc_id", key.alias("key"), io.decoded(F.encode("text", "UTF-8"), "UTF-8").alias("text"))
-    index = load(spark, sf, "labels").select("doc_id", F.col("toxic").cast("string").alias("label"))
-    return io.label_lines(mails, index, by="doc_id")
+    mails = docs.select(F.concat_ws("_", *mail_path()).alias("key"),
+                        io.decoded(F.encode("text", "UTF-8"), "UTF-8").alias("text"))
+    return io.label_lines(mails, io.parse_mail_index(mail_index(load(spark, sf, "labels"))))

@@ -21,17 +21,13 @@ def events_stream(spark, sf):
     return jobs.file_stream(spark, sf, "parquet", schema, glob="events.parquet")
 
 
-def events_in_batches(spark, sf, base, batches=4):
-    """The events written in time order as ``batches`` files, streamed one file a micro-batch;
-    most users recur in several of them."""
+def event_parts(spark, sf, parts=4):
+    """The events cut into ``parts`` time ranges, in order, each of about as many rows; most users recur in several."""
     ev = load(spark, sf, "events")
-    bounds = ev.agg(F.percentile(F.unix_micros(F.col("ts").cast("timestamp")),
-                                 [i / batches for i in range(1, batches)])).first()[0]
-    part = sum(((F.unix_micros(F.col("ts").cast("timestamp")) > F.lit(b)).cast("int") for b in bounds), F.lit(0))
-    for i in range(batches):
-        ev.where(part == i).coalesce(1).write.parquet(f"{base}/events/part{i}")
-    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
-            .option("recursiveFileLookup", "true").parquet(f"{base}/events"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = ev.agg(F.approx_percentile(at, [i / parts for i in range(1, parts)], F.lit(1000))).first()[0]
+    part = sum(((at > F.lit(b)).cast("int") for b in bounds), F.lit(0))
+    return [ev.where(part == i) for i in range(parts)]
 
 
 @query("stream_clean_items", ops="O07 O15 O16 O27 O28 O29 O35 O67 O68 O71", sql=_ITEM_SQL + f"""
@@ -41,16 +37,19 @@ SELECT 'parquet' AS sink, {_ITEM_COLS} FROM f UNION ALL SELECT 'json' AS sink, {
 UNION ALL SELECT 'registry', 0, NULL, NULL, NULL, NULL, NULL, item, NULL, NULL FROM f
 """)
 def stream_clean_items(spark, sf):
-    """Four micro-batches whose keys recur; both sinks and the key registry are returned."""
+    """Four runs of one job, each resumed from the checkpoint with the events that came since; keys recur. Both sinks
+    and the key registry are returned."""
     base = shared_path(spark, "stream_clean_items")
-    msgs = item_messages(events_in_batches(spark, sf, base))
-    qs = jobs.clean_and_register(
-        msgs, key=["item"], order=["ts", "event_id"],
-        cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"]),
-        sinks={"parquet": f"{base}/items", "json": f"{base}/index"},
-        registry_path=f"{base}/registry", checkpoint=f"{base}/_checkpoint",
-        reject_path=f"{base}/rejects", drop_cols=["ts"])
-    jobs.await_all(qs)
+    schema = load(spark, sf, "events").schema
+    for i, part in enumerate(event_parts(spark, sf)):
+        part.write.parquet(f"{base}/events/part{i}")
+        arrived = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/events")
+        jobs.await_all(jobs.clean_and_register(
+            item_messages(arrived), key=["item"], order=["ts", "event_id"],
+            cleaner=jobs.item_cleaner(ITEM_FIELDS, exclude="regCapital", keep=["event_id", "ts"]),
+            sinks={"parquet": f"{base}/items", "json": f"{base}/index"},
+            registry_path=f"{base}/registry", checkpoint=f"{base}/_checkpoint",
+            reject_path=f"{base}/rejects", drop_cols=["ts"]))
     cols = ["event_id", *ITEM_FIELDS]
     schema = "event_id bigint, " + ", ".join(f"{c} string" for c in ITEM_FIELDS)
     rows = spark.read.schema(schema).parquet(f"{base}/items").select(F.lit("parquet").alias("sink"), *cols)

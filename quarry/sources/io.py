@@ -119,14 +119,15 @@ def read_mail_corpus(spark: SparkSession, root_glob: str, index: DataFrame,
     separator, label from the index (O19) by a left join; a file missing from
     the index gets the label text ``null``.
 
-    Returns (folder, key, label, text). Decoding runs in an Arrow UDF because
-    Spark's ``decode`` only knows the legacy charsets behind a flag.
+    Returns (folder, key, label, text). UTF-8 is decoded by Spark, other
+    charsets in an Arrow UDF; bytes that do not decode become U+FFFD either way.
     """
     @F.pandas_udf(T.StringType())
-    def _decode(b: pd.Series) -> pd.Series:
-        return b.map(lambda x: None if x is None else
-                     bytes(x).decode(charset, errors="replace").replace("\r\n", "\n").replace("\n", "").replace("\r", ""))
+    def _legacy(b: pd.Series) -> pd.Series:
+        return b.map(lambda x: None if x is None else bytes(x).decode(charset, errors="replace"))
 
+    utf8 = charset.upper() in ("UTF-8", "UTF8")
+    text = without_breaks(F.make_valid_utf8(F.col("content").cast("string")) if utf8 else _legacy("content"))
     files = (spark.read.format("binaryFile").load(root_glob)
              .select("path", "content"))
     parts = F.split(F.col("path"), "/")
@@ -134,22 +135,26 @@ def read_mail_corpus(spark: SparkSession, root_glob: str, index: DataFrame,
     files = files.select(
         F.element_at(parts, n - 1).alias("folder"),
         F.concat_ws("_", F.element_at(parts, n - 1), F.element_at(parts, n)).alias("key"),
-        _decode("content").alias("text"))
+        text.alias("text"))
     return (files.join(index, "key", "left")
             .select("folder", "key", F.coalesce(F.col("label"), F.lit("null")).alias("label"), "text"))
 
 
+def without_breaks(text: Column) -> Column:
+    return F.regexp_replace(text, "\\r\\n|\\n|\\r", "")
+
+
 def decoded(raw: Column, charset: str) -> Column:
     """Bytes to text with Spark's own decoder, line breaks removed; for the
     charsets it knows (UTF-8, UTF-16, ISO-8859-1, US-ASCII)."""
-    return F.regexp_replace(F.decode(raw, charset), "\\r\\n|\\n|\\r", "")
+    return without_breaks(F.decode(raw, charset))
 
 
-def label_lines(mails: DataFrame, index: DataFrame, by: str = "key") -> DataFrame:
-    """(key, label, line): mails joined to their index on ``by``, ``label:text``; the
+def label_lines(mails: DataFrame, index: DataFrame) -> DataFrame:
+    """(key, label, line): mails joined to their index by key, ``label:text``; the
     label of a mail that is not in the index is the text ``null`` (O18)."""
     label = F.coalesce(F.col("label"), F.lit("null"))
-    return mails.join(index, by, "left").select("key", label.alias("label"),
+    return mails.join(index, "key", "left").select("key", label.alias("label"),
                                                    F.concat_ws(":", label, "text").alias("line"))
 
 

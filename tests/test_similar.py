@@ -161,3 +161,15 @@ def test_edit_ratio_join_longer_strings_small_alphabet(spark):
     for tau in (0.6, 0.75, 0.9):
         got = {(r.key_a, r.key_b) for r in S.edit_ratio_join(df, "s", "s", tau).collect()}
         assert got == brute_edit(strings, tau), tau
+
+
+def test_strict_query_differs_from_folded_case(spark, sf001):
+    """The rows of ``edit_ratio_strict_pairs`` are such that folding case gives other distances."""
+    from quarry.plans import similar_plans as P
+
+    third = F.length("p_name") % 3
+    text = F.coalesce(*[F.when(third == i, F.translate("p_name", a, b)) for i, (a, b) in enumerate(P.SWAPS)])
+    folded = S.edit_ratio_join(P._names(spark, sf001).withColumn("written", text), "p_name", "written", P.EDIT_TAU)
+    a = {(r.key_a, r.key_b, r.dist) for r in folded.collect()}
+    b = {(r.name_a, r.name_b, r.dist) for r in P.edit_ratio_strict_pairs(spark, sf001).collect()}
+    assert a - b and b - a
