@@ -116,30 +116,30 @@ def verified(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: fl
     return both / (size[i] + size[j] - both) >= threshold
 
 
+def row_key(seed: int):
+    """Half of a row's 128-bit key. Rows of one key are equal in id and text; a null id is an id like any other."""
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
 def nodes_of(docs: DataFrame) -> DataFrame:
-    """doc_id, node (128-bit hash of the shingle set, null without a word), sig, bands."""
-    docs = docs.select("doc_id", "text")
+    """doc_id, k1, k2 (row key), node (128-bit hash of the shingle set, null without a word), bands."""
+    docs = docs.select("doc_id", "text", row_key(1).alias("k1"), row_key(2).alias("k2"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
-                node, sig, band = [], [], []
+                node, band = [], []
                 for t in b.column(1):
                     s = _bytes.shingles(t.as_py(), SHINGLE)
-                    if not len(s):
-                        node.append(None), sig.append(None), band.append(None)
-                        continue
-                    node.append(node_key(s))
-                    g = signature(s)
-                    sig.append(g.tobytes())
-                    band.append(band_keys(g))
+                    node.append(node_key(s) if len(s) else None)
+                    band.append(band_keys(signature(s)) if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(node, pa.string()), pa.array(sig, pa.binary()),
-                     pa.array(band, pa.list_(pa.int64()))], names=["doc_id", "node", "sig", "bands"])
+                    [b.column(0), b.column(2), b.column(3), pa.array(node, pa.string()),
+                     pa.array(band, pa.list_(pa.int64()))], names=["doc_id", "k1", "k2", "node", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, node string, sig binary, bands array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {id_type}, k1 bigint, k2 bigint, node string, bands array<bigint>")
 
 
 def node_key(s: np.ndarray) -> str:
@@ -158,14 +158,9 @@ def compare_groups(members: DataFrame, threshold: float, tolerance: float) -> Da
         out: list[tuple] = []
         pdf = pdf.sort_values(["comp", "_i", "_j", "_o", "node"], kind="stable")
         for _, part in pdf.groupby(["comp", "_i", "_j"], sort=False):
-            sets = [_bytes.shingles(t, SHINGLE) for t in part["text"]]
-            # rows that share a doc_id may differ in text: the node says which is meant
-            meant = [k for k, s in enumerate(sets) if len(s) and node_key(s) == part["node"].iat[k]]
-            part = part.iloc[meant]
-            sets = [sets[k] for k, dup in zip(meant, part["node"].duplicated()) if not dup]
-            part = part[~part["node"].duplicated()]
             if len(part) < 2:
                 continue
+            sets = [_bytes.shingles(t, SHINGLE) for t in part["text"]]
             sig = np.asarray([signature(s) for s in sets])
             own, first = part["_o"].to_numpy(), int((part["_o"] == part["_i"].iloc[0]).sum())
             if own[0] == own[-1]:
@@ -194,20 +189,22 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     """doc_id, class_id, n_links, kept: one row per row of ``docs``."""
     feats = materialise(nodes_of(docs), "shingle-nodes")
     nodes = feats.where("node is not null").groupBy("node").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"))
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"), F.min(F.struct("k1", "k2")).alias("row"))
     nid = F.xxhash64("node").alias("nid")
     keys = feats.where("node is not null").select(nid, F.explode("bands").alias("k")).distinct()
     low = keys.groupBy("k").agg(F.min("nid").alias("m"), F.max("nid").alias("x")).where("m < x").select("k", "m")
     edges = keys.join(low, "k").where("nid <> m").select(F.col("nid").alias("a"), F.col("m").alias("b"))
     comps = connected_components(edges)  # candidates: a shared band is not yet a link
     members = nodes.withColumn("nid", F.xxhash64("node")).join(
-        comps.select(F.col("id").alias("nid"), "comp"), "nid").select("node", "n", "rep", "comp")
+        comps.select(F.col("id").alias("nid"), "comp"), "nid").select("node", "n", "comp", "row.*")
     members = materialise(members, "jaccard-members")
-    texts = docs.select(F.col("doc_id").alias("_d"), "text")
-    # always a shuffled join: the members of candidate components grow with the corpus
-    full = members.hint("merge").join(texts, F.col("rep").eqNullSafe(F.col("_d"))).select("node", "n", "comp", "text")
-    found = materialise(compare_groups(deal_pairs_of_blocks(full, "comp", F.col("node"), block, pack),
-                                       threshold, tolerance), "jaccard-links")
+    # One row of every member's text: fetched by row key, so rows that share an id (a null one too) are told apart.
+    # Always a shuffled join: the members of candidate components grow with the corpus.
+    wanted = docs.select(row_key(1).alias("k1"), row_key(2).alias("k2"), "text").join(
+        members.select("k1", "k2").hint("merge"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    dealt = deal_pairs_of_blocks(members, "comp", F.col("node"), block, pack)
+    full = dealt.hint("merge").join(wanted, ["k1", "k2"]).drop("k1", "k2")
+    found = materialise(compare_groups(full, threshold, tolerance), "jaccard-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
     tree = found.where("b is not null").select("a", "b")
     classes = connected_components(tree)

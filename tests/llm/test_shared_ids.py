@@ -1,4 +1,7 @@
+import random
+
 import corpus_pipeline as C
+from quarry.llm.bayes_jaccard import jaccard_classes
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -21,3 +24,27 @@ def near(text):
 
     a, b = set(_bytes.shingles(text).tolist()), set(_bytes.shingles(text + " x").tolist())
     return len(a & b) / len(a | b) >= 0.8
+
+
+def test_two_thousand_null_ids_are_told_apart(spark):
+    """As many rows are compared as when every row has its own id; nothing is joined all against all."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    texts = []
+    for g in range(500):
+        words = [f"w{rng.randrange(9000)}" for _ in range(40)]
+        texts += [" ".join(words)] * 2 + [" ".join([*words[:-1], f"x{i}"]) for i in range(2)]
+    rows = list(enumerate(texts))
+    with_ids = spark.createDataFrame(rows, "doc_id bigint, text string")
+    took, links = [], []
+    for df in (with_ids, with_ids.withColumn("doc_id", F.lit(None).cast("bigint")), with_ids.withColumn("doc_id", F.col("doc_id") % 3)):
+        t = time.time()
+        out = jaccard_classes(df).collect()
+        took.append(time.time() - t)
+        links.append(sorted(r.n_links for r in out))
+        assert len(out) == 2000
+    assert links[0] == links[1] == links[2] == [3] * 2000
+    assert max(took[1:]) < 4 * took[0] + 5
