@@ -115,6 +115,35 @@ def phrase_terms(spark, sf):
     return toks.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
 
+@query("phrase_dictionary_terms", ops="O84 O86 O87 (dictionary of any size)", sql=f"""
+WITH bw AS (SELECT list_filter(string_split_regex(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '') AS ws FROM benchmark),
+dict AS (SELECT DISTINCT ws[i] || ' ' || ws[i + 1] || ' ' AS p FROM (SELECT ws, unnest(range(1, len(ws))) AS i FROM bw)),
+t AS (SELECT doc_id, lower(text) AS x FROM documents),
+toks AS (
+  SELECT doc_id, unnest(range(len(regexp_extract_all(x, '\\p{{L}}+')))) AS i, unnest(regexp_extract_all(x, '\\p{{L}}+')) AS w,
+         unnest(regexp_extract_all(x, '\\p{{L}}+([^\\p{{L}}]*)', 1)) AS sep FROM t),
+nxt AS (SELECT *, lead(w) OVER d AS w2, lead(sep) OVER d AS sep2 FROM toks WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT n.*, dict.p IS NOT NULL AS hit FROM nxt n
+      LEFT JOIN dict ON dict.p = n.w || ' ' || n.w2 || ' ' AND n.sep = ' ' AND n.sep2[1] = ' '),
+isles AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, hit ORDER BY i) AS isle FROM m),
+taken AS (SELECT *, hit AND row_number() OVER (PARTITION BY doc_id, hit, isle ORDER BY i) % 2 = 1 AS took FROM isles),
+kept AS (SELECT *, coalesce(lag(took) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS covered FROM taken),
+terms AS (SELECT CASE WHEN took THEN w || w2 ELSE w END AS term FROM kept WHERE NOT covered)
+SELECT term, count(*) AS count FROM terms WHERE term NOT IN ({_STOP_SQL}) GROUP BY term
+""")
+def phrase_dictionary_terms(spark, sf):
+    """Every pair of words that follow each other in a benchmark text is a phrase (with the blank after it)."""
+    from quarry.operators.phrases import phrase_tokens
+
+    ws = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
+    pairs = F.transform(F.sequence(F.lit(1), F.size("ws") - 1),
+                        lambda i: F.concat(F.get("ws", i - 1), F.lit(" "), F.get("ws", i), F.lit(" ")))
+    dictionary = (load(spark, sf, "benchmark").select(ws.alias("ws")).where(F.size("ws") > 1)
+                  .select(F.explode(pairs).alias("phrase")).distinct())
+    docs = phrase_tokens(load(spark, sf, "documents").select("text"), dictionary, stop_words=X.STOP_WORDS)
+    return (docs.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("count")))
+
+
 @query("whitespace_token_counts", ops="O85", sql="""
 WITH toks AS (
   SELECT unnest(regexp_split_to_array(regexp_replace(lower(text), '\\s+$', ''), '\\s')) AS word FROM documents)
