@@ -71,3 +71,13 @@ def mail_lines(spark, sf):
     mails = docs.select(F.concat_ws("_", *mail_path()).alias("key"),
                         io.decoded(F.encode("text", "UTF-8"), "UTF-8").alias("text"))
     return io.label_lines(mails, io.parse_mail_index(mail_index(load(spark, sf, "labels"))))
+
+
+@query("named_documents", ops="O99", sql="""
+SELECT lang || CAST(doc_id AS VARCHAR) AS name, text AS content FROM documents
+""")
+def named_documents(spark, sf):
+    """``name.txt<TAB>content`` records cut at the first separator; a text may hold tabs and line breaks."""
+    d = load(spark, sf, "documents")
+    lines = d.select(F.concat(F.col("lang"), F.col("doc_id").cast("string"), F.lit(".txt\t"), F.col("text")).alias("value"))
+    return io.named_documents(lines)

@@ -285,6 +285,17 @@ def observed_counters(spark, sf):
         "sum_linenumber bigint, n bigint, min_quantity double, max_quantity double")
 
 
+@query("observed_lists", ops="O56 (list)", sql="""
+SELECT string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types, count(*) AS n FROM events
+""")
+def observed_lists(spark, sf):
+    """Values collected as a side effect of one pass; the distinct ones, which keeps the metric row small."""
+    ev = load(spark.newSession(), sf, "events")  # a sibling session, see T.observed_counters
+    m = T.observed_counters(ev, {"types": F.array_join(F.sort_array(F.collect_set("event_type")), ","),
+                                 "n": F.count(F.lit(1))}, name="lists")
+    return spark.createDataFrame([(m["types"], m["n"])], "types string, n bigint")
+
+
 @query("top_rows_per_user", ops="O65", sql="""
 SELECT o_custkey, o_orderkey, o_totalprice,
        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank

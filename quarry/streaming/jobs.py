@@ -27,7 +27,8 @@ from quarry.streaming.key_registry import KeyRegistry
 def topic_stream(spark: SparkSession, servers: str, topics: str, starting: str = "earliest",
                  fail_on_loss: bool = False) -> DataFrame:
     """Log-topic source (O06): resume comes from the checkpoint; with none,
-    ``startingOffsets`` plays the reset policy (earliest = ``smallest``).
+    ``startingOffsets`` plays the reset policy (earliest = ``smallest``) or
+    names each partition's offset (``offsets.starting_json``).
     Offsets that fell out of retention are skipped, as the source's
     per-partition clamp does; topic, partition and offset come along so that
     ``missing_offsets`` reports what was skipped. ``fail_on_loss`` stops instead."""
