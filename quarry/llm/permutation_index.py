@@ -7,6 +7,12 @@ the files of its own first pivots, adds up the footrule distance to every
 vector posted there (an absent pivot counts as the place after the last), and
 the nearest permutations are reranked by the exact inner product.
 
+Permutations follow angles, the answer follows inner products, which also grow
+with a vector's length. So every entry gets one more component that fills it up
+to the greatest norm, and a query gets a zero there: among vectors of equal
+norm the nearest in angle has the largest inner product, and the inner products
+are those of the original vectors.
+
 The rows are indexed in blocks; each block of queries meets each block of the
 index, and the best of every pair of blocks are merged. Equal vectors are one
 entry that carries its smallest ids, so a hot vector cannot crowd out others.
@@ -41,6 +47,12 @@ def orders(x: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     return np.take_along_axis(part, np.argsort(np.take_along_axis(near, part, 1), axis=1, kind="stable"), 1)
 
 
+def filled(x: np.ndarray, top_norm: float) -> np.ndarray:
+    """The rows with one more component that brings each to the norm ``top_norm``, as unit vectors."""
+    x = x / max(top_norm, 1e-300)
+    return np.c_[x, np.sqrt(np.maximum(1.0 - (x * x).sum(1), 0.0))]
+
+
 class InvertedFiles:
     """Posting lists (entry, place) per pivot of one block of vectors."""
 
@@ -88,24 +100,28 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding"
     copies = rows.select("node", "vec_id").withColumn("_r", nth).where(F.col("_r") <= k + 1).drop("_r")
     entries = rows.groupBy("node").agg(F.first("v").alias("v"))
     chosen = entries.orderBy(id_hash("node", seed), "node").limit(pivots).collect()  # at most ``pivots`` rows
-    p = np.asarray([r["v"] for r in chosen], np.float64).reshape(len(chosen), size)
-    p = p / np.maximum(np.sqrt((p * p).sum(1, keepdims=True)), 1e-300)
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    top_norm = np.sqrt(rows.agg(F.max(squares)).first()[0] or 1.0)
+    p = filled(np.asarray([r["v"] for r in chosen], np.float64).reshape(len(chosen), size), top_norm)
     length = min(order, len(p))
 
-    def permute(batches):
-        for b in batches:
-            x = matrix(b.column(1))
-            if not len(x):
-                continue
-            o = orders(x, p, length)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(o.astype(np.int32)),
-                                              pa.list_(pa.int32()))], names=["node", "v", "o"])
+    def permute(as_query: bool):
+        def run(batches):
+            for b in batches:
+                x = matrix(b.column(1))
+                if not len(x):
+                    continue
+                x = np.c_[x, np.zeros(len(x))] if as_query else filled(x, top_norm)
+                o = pa.array(list(orders(x, p, length).astype(np.int32)), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), o], names=["node", "v", "o"])
+        return run
 
     schema = "node string, v array<double>, o array<int>"
-    index = materialise(entries.select("node", "v").mapInArrow(permute, schema), "permutations")
+    index = materialise(entries.select("node", "v").mapInArrow(permute(False), schema), "permutations")
     n_blocks = max(1, -(-index.count() // block))
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select("vec_id", "node")
-    q_nodes = index.join(asked.select("node").distinct(), "node", "left_semi")
+    q_nodes = index.join(asked.select("node").distinct(), "node", "left_semi").select("node", "v")
+    q_nodes = materialise(q_nodes.mapInArrow(permute(True), schema), "query-permutations")
     q_blocks = max(1, -(-q_nodes.count() // 1024))
     of = lambda n, s: F.pmod(F.xxhash64(F.lit(s), "node"), F.lit(n)).cast("int")
     grid = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
