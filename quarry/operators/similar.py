@@ -235,3 +235,18 @@ def char_cosine_join(df: DataFrame, key: str, text: str, tau: float, char_class:
     out = dots.join(na, "key_a").join(nb, "key_b")
     cos = F.col("dot") / (F.col("na") * F.col("nb"))
     return out.select("key_a", "key_b", cos.alias("cosine")).where(F.col("cosine") >= F.lit(tau) - F.lit(_EPS))
+
+
+def letter_cosine_join(df: DataFrame, key: str, text: str, tau: float, letters: str, **layout) -> DataFrame:
+    """``char_cosine_join`` for a small alphabet (O82): (key_a, key_b, cosine).
+
+    With a few dozen characters nearly all texts share one, so meeting on
+    characters would propose nearly all pairs. The counts are taken as vectors
+    and compared block by block under angle bounds instead (``topk.pairs_above``).
+    """
+    from quarry.operators.topk import pairs_above
+
+    c = F.col(text)
+    counts = F.array(*[(F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))).cast("double") for ch in letters])
+    pairs = pairs_above(df.select(F.col(key).alias("id"), counts.alias("features")), tau, **layout)
+    return pairs.select(F.col("a").alias("key_a"), F.col("b").alias("key_b"), F.col("score").alias("cosine"))

@@ -299,3 +299,71 @@ def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Sch
         return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return run
+
+
+# ---------------------------------------------------------------- all pairs above a threshold
+
+def pairs_above(vectors: DataFrame, tau: float, id_col: str = "id", vec_col: str = "features", block: int = 1024,
+                max_blocks: int = MAX_BLOCKS, eps: float = 1e-9) -> DataFrame:
+    """(a, b, score): every pair of rows with ``a < b`` and cosine at least ``tau`` (O82 on small alphabets).
+
+    Rows are blocked as in ``top_k``; two blocks meet only if the angle between
+    their centres, less the width of both, can be within the threshold's. Pairs
+    are compared by matrix products, block against block, so the pairs below
+    the threshold are never rows. Vectors that take no part, ids that repeat
+    and empty tables as in ``top_k``; rows of one id make no pair.
+    """
+    if not 0.0 < tau <= 1.0:
+        raise ValueError("tau must be in (0, 1]")
+    kind = vectors.schema[id_col].dataType
+    its = stored(_vectors(vectors, id_col, vec_col, False), "pairs-rows")
+    size = its.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
+    result = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("score", T.DoubleType())])
+    if not size["n"]:
+        return its.sparkSession.createDataFrame([], result)
+    width = size["width"]
+    pivots = [r["vec"] for r in its.orderBy(F.xxhash64("id", "vec")).limit(PIVOTS).collect()]
+    pivots = _chain(np.asarray([p for p in pivots if len(p) == width], np.float64))
+    blocks = stored(_blocks(_placed(its, pivots, 1.0, False), max(block, -(-size["n"] // max_blocks)), width), "pairs-blocks")
+    summary = blocks.select("blk", "centre", "widest", "most", "least").orderBy("blk").toPandas()
+    shared = its.sparkSession.sparkContext.broadcast(_Bounds(summary, True))  # at most max_blocks rows
+
+    def near(frames):
+        for pdf in frames:
+            out: list[tuple] = []
+            for blk in pdf["blk"]:
+                s = shared.value
+                i = int(np.searchsorted(s.blk, blk))
+                gap = np.arccos(np.clip(s.centre @ s.centre[i], -1, 1)) - s.widest - s.widest[i]
+                want = (np.cos(np.maximum(gap, 0.0)) >= tau - 2 * SLACK) & (s.blk >= blk)
+                out += [(int(blk), int(b)) for b in s.blk[want]]
+            yield pd.DataFrame(out, columns=["qblk", "blk"])
+
+    plan = stored(blocks.select("blk").mapInPandas(near, "qblk int, blk int"), "pairs-plan")
+    group = F.floor(F.col("qblk") / F.lit(GROUP)).cast("int")
+    left = plan.join(blocks.select(F.col("blk").alias("qblk"), F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat")), "qblk")
+    need = plan.select(F.col("blk").alias("b"), group.alias("g")).distinct()
+    right = blocks.select(F.col("blk").alias("b"), "ids", "mat").join(need, "b")
+    schema = to_arrow_schema(result)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if right.num_rows:
+            ids, b_blk = right.column("ids")[0].as_py(), right.column("b")[0].as_py()
+            x = np.frombuffer(right.column("mat")[0].as_py()).reshape(-1, width)
+            x_norm = np.sqrt((x * x).sum(1))
+            for qblk, q_ids, mat in zip(*(left.column(c) for c in ("qblk", "q_ids", "q_mat"))):
+                q_ids, q = q_ids.as_py(), np.frombuffer(mat.as_py()).reshape(-1, width)
+                q_norm = np.sqrt((q * q).sum(1))
+                for at in range(0, len(q), 256):
+                    cos = (q[at:at + 256] @ x.T) / (q_norm[at:at + 256, None] * x_norm[None, :])
+                    row, col = np.nonzero(cos >= tau - eps)
+                    row = row + at
+                    if qblk.as_py() == b_blk:
+                        row, col = row[row < col], col[row < col]
+                    score = (q[row] * x[col]).sum(1) / (q_norm[row] * x_norm[col])
+                    out += [(*sorted((q_ids[r], ids[c])), s) for r, c, s in zip(row.tolist(), col.tolist(), score.tolist())
+                            if s >= tau - eps and q_ids[r] is not None and ids[c] is not None and q_ids[r] != ids[c]]
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    return left.groupBy("blk", group).cogroup(right.groupBy("b", "g")).applyInArrow(compare, result)

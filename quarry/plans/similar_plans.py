@@ -11,6 +11,10 @@ from quarry.sources.io import load
 EDIT_TAU = 0.7
 COSINE_TAU = 0.8
 
+# One common Han character for each Latin letter, to make Han text from table columns.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HAN = "人大中国上下小山水火木土金日月天地东西南北花鸟鱼虫风"
+
 
 def _names(spark, sf):
     return load(spark, sf, "part").select("p_name").distinct()
@@ -33,7 +37,7 @@ def edit_ratio_pairs(spark, sf):
                       F.round("ratio", 6).alias("ratio"))
 
 
-@query("char_cosine_pairs", ops="O82", sql=f"""
+_COSINE_SQL = f"""
 WITH n AS (SELECT DISTINCT p_name FROM part),
 c AS (SELECT p_name, unnest(regexp_extract_all(p_name, '[A-Za-z]')) AS ch FROM n),
 v AS (SELECT p_name, ch, count(*) AS cnt FROM c GROUP BY p_name, ch),
@@ -43,13 +47,23 @@ d AS (SELECT a.p_name AS name_a, b.p_name AS name_b, sum(a.cnt * b.cnt) AS dot
 SELECT name_a, name_b, round(dot / (na.nrm * nb.nrm), 6) AS cosine
 FROM d JOIN nr na ON na.p_name = name_a JOIN nr nb ON nb.p_name = name_b
 WHERE dot / (na.nrm * nb.nrm) >= {COSINE_TAU} - 1e-9
-""")
+"""
+
+
+@query("char_cosine_pairs", ops="O82", sql=_COSINE_SQL)
 def char_cosine_pairs(spark, sf):
     out = S.char_cosine_join(_names(spark, sf), "p_name", "p_name", COSINE_TAU, char_class=S.LATIN_CLASS)
     return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"),
                       F.round("cosine", 6).alias("cosine"))
 
 
+@query("letter_cosine_pairs", ops="O82 (blocks under angle bounds)", sql=_COSINE_SQL)
+def letter_cosine_pairs(spark, sf):
+    out = S.letter_cosine_join(_names(spark, sf), "p_name", "p_name", COSINE_TAU, LETTERS.upper() + LETTERS)
+    return out.select(F.col("key_a").alias("name_a"), F.col("key_b").alias("name_b"),
+                      F.round("cosine", 6).alias("cosine"))
+
+
 # Letters of every third name written with characters 32 code points away (one match under the rule), 64
 # away (none), or not at all, so that the strict rule and folded case differ.
 SWAPS = (("aeio", "!EI/"), ("aet", "A0T"), ("psn", "0sN"))
@@ -88,11 +102,6 @@ def edit_ratio_strict_pairs(spark, sf):
                       F.round("ratio", 6).alias("ratio"))
 
 
-# One common Han character for each Latin letter, to make Han text from table columns.
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-HAN = "人大中国上下小山水火木土金日月天地东西南北花鸟鱼虫风"
-
-
 @query("han_cosine_pairs", ops="O82 (Han characters of GB2312)", sql=f"""
 WITH n AS (SELECT DISTINCT p_name, translate(lower(p_name), '{LETTERS}', '{HAN}') AS han FROM part),
 c AS (SELECT p_name, unnest(regexp_extract_all(han, '[{HAN}]')) AS ch FROM n),

@@ -112,3 +112,40 @@ def test_model_ranking_over_als_factors(spark):
                 score += hits / (pos + 1)
         total += score / min(len(actual[u]), k)
     assert m.n_users == len(users) and abs(m.mapk - total / len(users)) < 1e-9
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_pairs_above_equal_brute_force(spark, block):
+    rng = np.random.default_rng(block)
+    x = np.concatenate([rng.integers(0, 4, size=(150, 8)), np.repeat(rng.integers(0, 3, size=(10, 8)), 6, 0)]).astype(float)
+    ids = rng.permutation(len(x)).tolist()
+    got = sorted((r.a, r.b, round(r.score, 9)) for r in topk.pairs_above(frame(spark, ids, x), 0.9, block=block).collect())
+    norm = np.sqrt((x * x).sum(1))
+    want = []
+    for i in range(len(x)):
+        for j in range(i):
+            if norm[i] and norm[j]:
+                s = float((x[i] * x[j]).sum() / (norm[i] * norm[j]))
+                if s >= 0.9 - 1e-9:
+                    want.append((*sorted((ids[i], ids[j])), round(s, 9)))
+    assert got == sorted(want) and len(want) > 100
+
+
+def test_pairs_above_edge_cases(spark):
+    rows = [("a", [1.0, 0.0]), ("b", [2.0, 0.0]), ("b", [3.0, 0.0]), (None, [1.0, 0.0]), ("z", [0.0, 0.0]), ("n", None)]
+    src = spark.createDataFrame(rows, "id string, features array<double>")
+    assert sorted(tuple(r) for r in topk.pairs_above(src, 0.5).collect()) == [("a", "b", 1.0), ("a", "b", 1.0)]
+    assert topk.pairs_above(src.limit(0), 0.5).collect() == []
+    with pytest.raises(ValueError):
+        topk.pairs_above(src, 0.0)
+
+
+def test_letter_cosine_equals_the_character_join(spark):
+    from quarry.operators import similar as S
+
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcXYZ -1"), rng.integers(0, 9))) for _ in range(120)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    a = {(r.key_a, r.key_b, round(r.cosine, 9)) for r in S.char_cosine_join(df, "k", "t", 0.8, S.LATIN_CLASS).collect()}
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "abcdefghijklmnopqrstuvwxyz"
+    assert a == {(r.key_a, r.key_b, round(r.cosine, 9)) for r in S.letter_cosine_join(df, "k", "t", 0.8, letters).collect()}
