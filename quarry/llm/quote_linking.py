@@ -2,11 +2,12 @@
 
 Lines that start with ``>`` marks are quotes, their nesting level is the
 number of marks. Runs of lines of one level are passages; a blank line parts
-their paragraphs. Quoted passages and paragraphs are normalised (lower case,
-white space collapsed), hashed, and joined to the first message of the same
-conversation whose own text, or a paragraph of it, has that hash and that came
-earlier. The lowest quote level, then whole passages before paragraphs, then
-the latest such message decides what a message replies to. Threads are found
+their paragraphs. Quoted passages, paragraphs and single lines (of trimmed
+quotes) are normalised (lower case, white space collapsed), hashed, and joined
+to the first message of the same conversation whose own text, or a paragraph or
+a line of it, has that hash and that came earlier. The lowest quote level, then
+whole passages before paragraphs before lines, then the latest such message
+decides what a message replies to. Threads are found
 by pointer doubling; messages are put in reply order: thread by thread, a
 reply always after what it answers, quotes removed.
 
@@ -16,8 +17,8 @@ sort, so a conversation of any size is never gathered.
 
 Defined cases: rows equal in all four columns are one message; a null text has
 no lines and an empty own text; a null conv_id or turn links with nothing and
-is a thread of its own; a quote of a later or unknown message stays unlinked; an empty
-table gives no rows; other columns are ignored.
+is a thread of its own; a quote of a later or unknown message, or of a part of a line,
+stays unlinked; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,11 +88,13 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
                   .select(*_KEY, "level", F.lit(1).alias("kind"), F.md5("t").alias("h")))
     passages = (lines.where("level > 0").groupBy(*_KEY, "passage", "level").agg(_norm(_joined()).alias("t"))
                 .where("t <> ''").select(*_KEY, "level", F.lit(0).alias("kind"), F.md5("t").alias("h")))
+    single = lines.where("not blank").select(*_KEY, "level", F.lit(2).alias("kind"), F.md5(_norm(F.col("body"))).alias("h"))
     said = (own.select("conv_id", "turn", _norm(F.col("own")).alias("t")).where("t <> ''")
             .select("conv_id", "turn", F.md5("t").alias("h"))
-            .unionByName(paragraphs.where("level = 0").select("conv_id", "turn", "h")))
+            .unionByName(paragraphs.where("level = 0").select("conv_id", "turn", "h"))
+            .unionByName(single.where("level = 0").select("conv_id", "turn", "h")))
     first = said.groupBy("conv_id", "h").agg(F.min("turn").alias("said_turn"))
-    quotes = passages.unionByName(paragraphs.where("level > 0"))
+    quotes = passages.unionByName(paragraphs.where("level > 0")).unionByName(single.where("level > 0"))
     best = F.min(F.struct("level", "kind", (-F.col("said_turn")).alias("late")))
     replies = (quotes.join(first, ["conv_id", "h"]).where("said_turn < turn").groupBy("conv_id", "turn")
                .agg(best.alias("b")).select("conv_id", "turn", (-F.col("b.late")).alias("parent_turn")))
@@ -144,14 +147,19 @@ passages AS (
   SELECT * FROM (SELECT m, conv_id, turn, level, 0 AS kind,
          trim(regexp_replace(lower(string_agg(body, chr(10) ORDER BY pos)), '[ \t\r\n]+', ' ', 'g')) AS t
   FROM numbered WHERE level > 0 GROUP BY m, conv_id, turn, level, passage) WHERE t <> ''),
+single AS (
+  SELECT m, conv_id, turn, level, 2 AS kind, trim(regexp_replace(lower(body), '[ \t\r\n]+', ' ', 'g')) AS t
+  FROM numbered WHERE NOT blank),
 said AS (
   SELECT conv_id, t, min(turn) AS said_turn FROM (
     SELECT conv_id, turn, t FROM
       (SELECT conv_id, turn, trim(regexp_replace(lower(own), '[ \t\r\n]+', ' ', 'g')) AS t FROM own) WHERE t <> ''
-    UNION ALL SELECT conv_id, turn, t FROM paragraphs WHERE level = 0) GROUP BY ALL),
+    UNION ALL SELECT conv_id, turn, t FROM paragraphs WHERE level = 0
+    UNION ALL SELECT conv_id, turn, t FROM single WHERE level = 0) GROUP BY ALL),
 links AS (
   SELECT q.conv_id, q.turn, q.level, q.kind, s.said_turn FROM
-    (SELECT * FROM passages UNION ALL SELECT * FROM paragraphs WHERE level > 0) q
+    (SELECT * FROM passages UNION ALL SELECT * FROM paragraphs WHERE level > 0
+     UNION ALL SELECT * FROM single WHERE level > 0) q
     JOIN said s ON q.conv_id = s.conv_id AND q.t = s.t AND s.said_turn < q.turn),
 replies AS (
   SELECT conv_id, turn, said_turn AS parent_turn FROM links

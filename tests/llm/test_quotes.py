@@ -61,3 +61,14 @@ def test_empty_table_and_given_table(spark, sf001):
 def test_only_dataframe_operations(spark, sf001):
     plan = link_quotes(spark.read.parquet(f"{sf001}/conversations.parquet"))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_trimmed_quotes_and_very_long_texts(spark):
+    rows = [(1, 0, "a", "First point.\nSecond point, longer.\nThird."), (1, 1, "b", "> second point,  longer.\n\nAgreed."),
+            (1, 2, "a", "Other\nThird."), (1, 3, "b", ">Third.\n>Other"),  # lines of two messages: the later one answers
+            (1, 4, "b", ">Second point\nno"),  # part of a line: unlinked
+            (1, 5, "c", "> First point.\n> Second point, longer.\n> Third.\nall"),  # a whole passage before any line
+            (2, 0, "a", "x" * 300_000 + "\n" + "line\n" * 50_000), (2, 1, "b", "> " + "x" * 300_000)]
+    r = compare(spark, spark.createDataFrame(rows, SCHEMA))
+    got = [r[1, t, w].parent_turn for t, w in ((1, "b"), (3, "b"), (4, "b"), (5, "c"))]
+    assert got == [0, 2, None, 0] and r[2, 1, "b"].parent_turn == 0
