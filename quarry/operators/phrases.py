@@ -100,7 +100,8 @@ def phrase_tokens(docs: DataFrame, phrases: DataFrame, text: str = "text", phras
     the tokens are the words. Rows that repeat are each tokenised.
     """
     lowered = F.translate(F.lower(F.col(text)), _CUT, " ")
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_low", lowered), "phrase-texts")
+    even = docs.repartition(docs.sparkSession.sparkContext.defaultParallelism)  # texts are cut in tasks of like size
+    rows = stored(even.withColumn("_row", F.monotonically_increasing_id()).withColumn("_low", lowered), "phrase-texts")
     texts = rows.select(F.col("_row").alias("row"), F.col("_low").alias("text")).where("text IS NOT NULL")
     taken = phrase_matches(texts, phrases, phrase).select(F.col("row").alias("_row"), F.col("taken").alias("_taken"))
     out = rows.join(taken, "_row", "left")

@@ -95,6 +95,7 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
         if df.isEmpty():
             df.unpersist()
             return
+        registry = None
         try:
             run = run_of(spark, checkpoint)
             rows, held = df, None
@@ -117,6 +118,8 @@ def clean_and_register(stream: DataFrame, *, key: Sequence[str], order: Sequence
             if held is not None:
                 held.unpersist()
         finally:
+            if registry is not None:
+                registry.release()
             df.unpersist()
 
     q = (stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)

@@ -69,6 +69,7 @@ class KeyRegistry:
                  fan_in: int = FAN_IN, rows_per_file: int = ROWS_PER_FILE):
         self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
         self.fan_in, self.rows_per_file, self.files_read = fan_in, rows_per_file, 0
+        self._held: list[DataFrame] = []
         self.schema = T.StructType([*[T.StructField(k, key_types[k]) for k in key], T.StructField("run", T.StringType()),
                                     T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType()),
                                     T.StructField("h", T.LongType())])
@@ -159,20 +160,22 @@ class KeyRegistry:
         fields = T.StructType([*self.schema.fields[:len(self.key)], T.StructField("h", T.LongType()),
                                T.StructField("bucket", T.IntegerType()), T.StructField("rid", T.StringType())])
         maybe = keys.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(probe, fields).persist()
-        try:
-            where = maybe.select("rid", "bucket").distinct().collect()  # runs x buckets at most
-            if not where:
-                return none
-            runs = sorted({r["rid"] for r in where})
-            self.files_read = sum(r["files"] for r in m["runs"] if r["id"] in runs)
-            old = self._read_runs(runs).where(F.col("bucket").isin(sorted({r["bucket"] for r in where})))
-            old = old.where((F.col("run") != run) | (F.col("batch_id") < batch_id))
-            same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in self.key]
-            out = (maybe.select(*self.key, "h").distinct().alias("l")
-                   .join(old.alias("r"), [F.col("l.h") == F.col("r.h"), *same], "left_semi").select(*self.key))
-            return out.checkpoint()  # the batch's own share of the registry, before ``maybe`` is let go
-        finally:
-            maybe.unpersist()
+        self._held.append(maybe)
+        where = maybe.select("rid", "bucket").distinct().collect()  # runs x buckets at most
+        if not where:
+            return none
+        runs = sorted({r["rid"] for r in where})
+        self.files_read = sum(r["files"] for r in m["runs"] if r["id"] in runs)
+        old = self._read_runs(runs).where(F.col("bucket").isin(sorted({r["bucket"] for r in where})))
+        old = old.where((F.col("run") != run) | (F.col("batch_id") < batch_id))
+        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in self.key]
+        return (maybe.select(*self.key, "h").distinct().alias("l")
+                .join(old.alias("r"), [F.col("l.h") == F.col("r.h"), *same], "left_semi").select(*self.key))
+
+    def release(self) -> None:
+        """Let go of what ``known`` keeps; call it when its result has been used."""
+        while self._held:
+            self._held.pop().unpersist()
 
     def register(self, keys: DataFrame, run: str, batch_id: int) -> bool:
         """Add a batch's new keys (one row per key) as a run; false when the manifest has this batch already."""

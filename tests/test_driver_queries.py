@@ -49,7 +49,7 @@ def test_every_query_has_oracle_or_is_declared():
     q, o = plans.queries(), plans.oracle_sql()
     assert set(q) <= set(E.queries()) and set(o) <= set(q)
     # predictions themselves have no SQL; the ``*_model_check`` queries compare each fitted model with one
-    assert set(q) - set(o) == {"als_explicit", "als_implicit", "als_top_items", "als_item_neighbours",
+    assert set(q) - set(o) == {"als_explicit", "als_implicit", "als_top_items", "als_item_neighbours", "map_at_k_model",
                                "classify_spam_lr", "classify_lang_nb", "classify_tree", "kmeans_docs"}
 
 
