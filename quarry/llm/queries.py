@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm import oracles
 from quarry.llm._shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,14 +50,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-@register("op6_bayes_jaccard")
+@register("op6_bayes_jaccard", oracles.JACCARD)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.bayes_jaccard import jaccard_classes
 
     return jaccard_classes(read(spark, sf_dir, "documents"))
 
 
-@register("op3_suffix_dedup")
+@register("op3_suffix_dedup", oracles.REPEATS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@register("op7_projection_dedup")
+@register("op7_projection_dedup", oracles.VECTOR_LINKS)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.projection_dedup import vector_components
 

@@ -2,13 +2,11 @@ import collections
 import random
 import re
 
-import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import queries
 from quarry.llm import son_phrases as S
 
 SCHEMA = "doc_id bigint, text string, lang string, phrase string, shard string, n string"
@@ -107,14 +105,6 @@ def test_words_of_a_batch():
     assert len(np.unique(w.hashes())) == 5
 
 
-def test_query_equals_sql(spark, sf001):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf001}/documents.parquet'")
-    df = queries.QUERIES["op12_son_phrases"](spark, sf001)
-    want = con.execute(queries.ORACLE["op12_son_phrases"]).fetchall()
-    assert sorted(tuple(r) for r in df.collect()) == sorted(want) and want
-
-
 def test_filter_holds_what_was_put_in(spark):
     keys = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 3000, np.int64)
     held = S.make_filter(spark.createDataFrame([(int(k),) for k in keys], "key bigint"), 1 << 14).value

@@ -3,10 +3,8 @@ import random
 import re
 import zlib
 
-import duckdb
 import pytest
 
-from quarry.llm import queries
 from quarry.llm import variable_grams as V
 
 SCHEMA = "doc_id bigint, text string, word string, n string, gram string, length string"
@@ -122,10 +120,3 @@ def test_dictionary_is_pruned_by_frequency_and_bounded(spark):
     assert "abcde" in d and V.decompose("abcdeé", d, 2, 5)[:2] == [("abcde", 0), ("bcdeé", 1)]
     few = V.gram_dictionary(words, 2, 5, entries=2)
     assert all(sum(len(g) == q for g in few) <= 2 for q in range(2, 6))
-
-
-def test_query_equals_sql(spark, sf001):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf001}/documents.parquet'")
-    want = con.execute(queries.ORACLE["op11_variable_grams"]).fetchall()
-    assert want and got(queries.QUERIES["op11_variable_grams"](spark, sf001)) == sorted(want)
