@@ -28,11 +28,14 @@ PREFIX = 4
 
 
 def _found(starts: DataFrame, beginnings: DataFrame, entries: DataFrame) -> DataFrame:
-    """(row, pos, len, mid): the longest phrase at every start (row, pos, mid, head); ``head`` is the text from there."""
+    """(row, pos, len, mid, open): the longest phrase at every start (row, pos, mid, head); ``head`` is the text from
+    there, one character more than the longest phrase has; ``open``: the match ends inside a word."""
     met = starts.withColumn("key", F.expr("substring(head, 1, _c)")).join(beginnings, "key")
     met = met.select("row", "pos", "mid", "head", F.explode("lens").alias("len")).where("len <= length(head)")
     met = met.withColumn("p", F.expr("substring(head, 1, len)")).join(entries, "p")
-    return met.groupBy("row", "pos").agg(F.max("len").alias("len"), F.first("mid").alias("mid"))
+    cuts = F.expr("substring(head, len, 1)").rlike(RUN) & F.expr("substring(head, len + 1, 1)").rlike(RUN)
+    best = met.groupBy("row", "pos").agg(F.max(F.struct(F.col("len"), cuts.alias("open"))).alias("b"), F.first("mid").alias("mid"))
+    return best.select("row", "pos", "b.len", "mid", "b.open")
 
 
 def phrase_matches(texts: DataFrame, phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
@@ -55,7 +58,7 @@ def phrase_matches(texts: DataFrame, phrases: DataFrame, phrase: str = "phrase")
     cut = texts.select("row", F.split(F.regexp_replace("text", starts_at, _CUT + "$1"), _CUT).alias("pieces"))
     pieces = cut.select("row", "pieces", F.posexplode("pieces").alias("i", "piece"))
     upto = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    heads = pieces.select("row", "i", "piece", F.expr(f"substring(array_join(slice(pieces, i + 1, {most}), ''), 1, {most})").alias("head"))
+    heads = pieces.select("row", "i", "piece", F.expr(f"substring(array_join(slice(pieces, i + 1, {most + 1}), ''), 1, {most + 1})").alias("head"))
     heads = heads.withColumn("pos", F.coalesce(F.sum(F.length("piece")).over(upto), F.lit(0)).cast("int")).where("i > 0")
     starts = heads.select("row", "pos", F.lit(False).alias("mid"), "head", F.lit(c).alias("_c"))
     found = stored(_found(starts, beginnings, entries), "phrase-found")
@@ -63,11 +66,10 @@ def phrase_matches(texts: DataFrame, phrases: DataFrame, phrase: str = "phrase")
     word_end = F.length(F.regexp_extract(F.expr("substring(text, at + 1)"), f"^{RUN}*", 0))
     every, done = found, None
     while True:
-        ends = found.select("row", (F.col("pos") + F.col("len")).alias("at")).distinct()
-        inside = ends.join(texts, "row").where(
-            F.expr("substring(text, at, 1)").rlike(RUN) & F.expr("substring(text, at + 1, 1)").rlike(RUN))
+        ends = found.where("open").select("row", (F.col("pos") + F.col("len")).alias("at")).distinct()
+        inside = ends.join(texts, "row")
         inner = inside.select("row", "text", F.explode(F.sequence(F.col("at"), F.col("at") + word_end - 1)).alias("pos"))
-        new = inner.select("row", "pos", F.lit(True).alias("mid"), F.expr(f"substring(text, pos + 1, {most})").alias("head"),
+        new = inner.select("row", "pos", F.lit(True).alias("mid"), F.expr(f"substring(text, pos + 1, {most + 1})").alias("head"),
                            F.lit(c).alias("_c")).dropDuplicates(["row", "pos"])
         if done is not None:
             new = new.join(done, ["row", "pos"], "left_anti")

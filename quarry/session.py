@@ -9,6 +9,7 @@ master is local (tests, laptop runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -69,7 +70,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = _configured_dir(spark) or _LOCAL_ROOT.get(sc.applicationId)
     if root is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):  # not local-cluster[..]: its executors are processes apart
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="quarry-ckpt-")
         _LOCAL_ROOT[sc.applicationId] = root
