@@ -57,11 +57,14 @@ def phrase_matches(texts: DataFrame, phrases: DataFrame, phrase: str = "phrase")
     # a piece runs from one token start to the next; nothing but the text before the first one has no start
     cut = texts.select("row", F.split(F.regexp_replace("text", starts_at, _CUT + "$1"), _CUT).alias("pieces"))
     pieces = cut.select("row", "pieces", F.posexplode("pieces").alias("i", "piece"))
+    head = F.expr(f"substring(array_join(slice(pieces, i + 1, {most + 1}), ''), 1, {most + 1})").alias("head")
+    starts = pieces.where("i > 0").select("row", F.col("i").alias("pos"), F.lit(False).alias("mid"), head, F.lit(c).alias("_c"))
+    met = stored(_found(starts, beginnings, entries).withColumnRenamed("pos", "i"), "phrase-met")
+    # where the matched pieces stand: numbers alone are shuffled by text
     upto = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    heads = pieces.select("row", "i", "piece", F.expr(f"substring(array_join(slice(pieces, i + 1, {most + 1}), ''), 1, {most + 1})").alias("head"))
-    heads = heads.withColumn("pos", F.coalesce(F.sum(F.length("piece")).over(upto), F.lit(0)).cast("int")).where("i > 0")
-    starts = heads.select("row", "pos", F.lit(False).alias("mid"), "head", F.lit(c).alias("_c"))
-    found = stored(_found(starts, beginnings, entries), "phrase-found")
+    places = (pieces.select("row", "i", F.length("piece").alias("n")).join(met.select("row").distinct(), "row", "left_semi")
+              .select("row", "i", F.coalesce(F.sum("n").over(upto), F.lit(0)).cast("int").alias("pos")))
+    found = stored(met.join(places, ["row", "i"]).select("row", "pos", "len", "mid", "open"), "phrase-found")
     # words that some match ends inside: the scan may go on from any place in them
     word_end = F.length(F.regexp_extract(F.expr("substring(text, at + 1)"), f"^{RUN}*", 0))
     every, done = found, None
