@@ -13,9 +13,15 @@ result is exact: only what a proven bound rules out is not scored.
 
 Everything of the size of a table stays in tables. To the driver come the
 pivots (``PIVOTS`` rows) and the block summaries (at most ``MAX_BLOCKS`` rows;
-the blocks grow beyond ``BLOCK`` rows when there would be more). An item block
-that all queries want is sent to one task for each ``GROUP`` query blocks, so
-no task is handed more than ``GROUP`` query blocks and one item block.
+the blocks grow beyond ``BLOCK`` rows when there would be more). Blocks meet in
+tiles of neighbouring query blocks by neighbouring item blocks: a round sends a
+query block once to each tile it needs, an item block likewise, and a task is
+handed at most ``TILE`` bytes of either (one block, if that is more). Only
+scores that reach a query's k-th best so far leave the task.
+
+Where at most half of the vectors of a table differ, equal ones are handled
+once: queries of one vector share their list, and of the items of one vector
+only the ``k`` smallest ids can be in any list.
 """
 
 from __future__ import annotations
@@ -37,6 +43,7 @@ BLOCK = 2048
 MAX_BLOCKS = 8192
 PIVOTS = 128
 GROUP = 8
+TILE = 16 << 20
 STRATA = 64
 #: Bounds and first scores are taken this much (relative) more generously than double rounding asks for.
 SLACK = 1e-9
@@ -69,6 +76,18 @@ def _matrix(column, width: int) -> np.ndarray:
     return flat.reshape(len(column), width)
 
 
+def _stored_matrix(m: np.ndarray) -> bytes:
+    """The bytes of a matrix of doubles, in single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = m.astype(np.float32)
+    return (single if (single == m).all() else m).tobytes()
+
+
+def _read_matrix(mat: bytes, rows: int, width: int) -> np.ndarray:
+    kind = np.float32 if len(mat) == rows * width * 4 else np.float64
+    return np.frombuffer(mat, kind).reshape(rows, width).astype(np.float64)
+
+
 def _unit(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = np.sqrt((m * m).sum(1))
     return m / np.where(n > 0, n, 1.0)[:, None], n
@@ -125,7 +144,7 @@ def _blocks(placed: DataFrame, size: int, width: int) -> DataFrame:
         cos = np.clip(u[n > 0] @ centre, -1, 1)
         widest = float(np.arccos(cos.min())) if length > 0 and len(cos) else float(np.pi)
         ids = pa.array([t.column("id").to_pylist()], pa.list_(t.schema.field("id").type))
-        return pa.table({"blk": t.column("blk").slice(0, 1), "ids": ids, "mat": [m.tobytes()], "centre": [centre.tolist()],
+        return pa.table({"blk": t.column("blk").slice(0, 1), "ids": ids, "mat": [_stored_matrix(m)], "centre": [centre.tolist()],
                          "widest": [widest], "most": [float(n.max())], "least": [float(n.min())]})
 
     return cut.groupBy("blk").applyInArrow(
@@ -164,6 +183,13 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, *, cosine: bool = False,
     same_table = queries is items and query_id == item_id and query_vec == item_vec
     its = stored(_vectors(items, item_id, item_vec, not cosine), "topk-items")
     qs = its if same_table else stored(_vectors(queries, query_id, query_vec, not cosine), "topk-queries")
+    if not exclude_same:
+        if _repeats(qs):
+            return _by_vector(qs, its, k, cosine, block, max_blocks)
+        if _repeats(its):
+            nth = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
+            its = stored(its.withColumn("_nth", nth).where(F.col("_nth") <= k).drop("_nth"), "topk-items")
+            same_table = False
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     size = its.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width"), F.max(norm).alias("norm")).first()
     schema = f"query {q_type}, item {i_type}, score double, rank int"
@@ -184,20 +210,24 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, *, cosine: bool = False,
     own = blocks if same_table and rows == block else _blocks(_placed(qs, pivots, 1.0, False), block, width)
     own = stored(own.select(F.col("blk").alias("qblk"), "ids", "mat").mapInArrow(
         _ordered(shared, width), f"qblk int, ids array<{q_type}>, mat binary, visit array<int>"), "topk-query-blocks")
+    cores = spark.sparkContext.defaultParallelism
+    q_tile, i_tile = _tile(own.count(), block, width, cores), _tile(len(bounds.blk), rows, width, cores)
+    q_grp, i_grp = F.floor(F.col("qblk") / F.lit(q_tile)).cast("int"), F.floor(F.col("b") / F.lit(i_tile)).cast("int")
     top, scored, lo, step = None, [], 0, 1
     while lo < len(bounds.blk):
-        state = own.select("qblk", "mat", F.slice("visit", lo + 1, step).alias("visit"))
+        state = own.select("qblk", F.size("ids").alias("rows"), "mat", F.slice("visit", lo + 1, step).alias("visit"))
         if top is None:
             state = state.withColumn("kth", F.lit(None).cast("array<struct<pos:int,score:double>>"))
         else:
             kth = top.where(F.col("rank") == k).groupBy("qblk").agg(F.collect_list(F.struct("pos", "score")).alias("kth"))
             state = state.join(kth, "qblk", "left")  # at most ``block`` entries a row
-        plan = stored(state.mapInPandas(_wanted(shared, width), "qblk int, blk int, open array<int>"), "topk-plan")
+        plan = stored(state.mapInPandas(_wanted(shared, width, i_tile), "qblk int, igrp int, blks array<int>, open array<binary>, "
+                                        "least binary"), "topk-plan")
         left = plan.join(own.select("qblk", F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat")), "qblk")
-        left = left.withColumn("grp", F.floor(F.col("qblk") / F.lit(GROUP)).cast("int"))
-        need = plan.select(F.col("blk").alias("b"), F.floor(F.col("qblk") / F.lit(GROUP)).cast("int").alias("g")).distinct()
-        right = blocks.select(F.col("blk").alias("b"), "ids", "mat").join(need, "b")
-        found = left.groupBy("blk", "grp").cogroup(right.groupBy("b", "g")).applyInArrow(
+        left = left.withColumn("grp", q_grp)
+        need = plan.select(F.explode("blks").alias("b"), q_grp.alias("g")).distinct()
+        right = blocks.select(F.col("blk").alias("b"), "ids", "mat").join(need, "b").withColumn("i", i_grp)
+        found = left.groupBy("igrp", "grp").cogroup(right.groupBy("i", "g")).applyInArrow(
             _scored(k, width, cosine, exclude_same, to_arrow_schema(result)), result)
         found = stored(found, "topk-found")
         scored.append(found.agg(F.sum("pairs").alias("pairs")))
@@ -213,14 +243,36 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, *, cosine: bool = False,
                 total.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("scored")))
 
 
+def _tile(blocks: int, rows: int, width: int, cores: int) -> int:
+    """Blocks along a side of a tile: at most ``TILE`` bytes, and few enough for several tiles a core."""
+    return max(1, min(TILE // (rows * width * 8), int(blocks / (2 * np.sqrt(cores)))))
+
+
+def _repeats(vectors: DataFrame) -> bool:
+    """Whether at most about half of the vectors differ; only what is faster depends on it, not what comes out."""
+    r = vectors.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("vec")).alias("d")).first()
+    return 0 < r["d"] * 2 <= r["n"]
+
+
+def _by_vector(qs: DataFrame, its: DataFrame, k: int, cosine: bool, block: int, max_blocks: int) -> TopK:
+    """``top_k`` of every different query vector, its list given to each row that has the vector."""
+    numbered = stored(serial_number(qs.select("vec").distinct(), [F.col("vec")], name="id"), "topk-distinct")
+    top = top_k(numbered, its, k, cosine=cosine, query_vec="vec", item_vec="vec", block=block, max_blocks=max_blocks)
+    one = F.struct(F.col("item"), "score", "rank")
+    lists = top.rows.groupBy("query").agg(F.collect_list(one).alias("best"))  # k entries a row
+    lists = stored(lists.join(numbered, lists["query"] == numbered["id"]).select("vec", "best"), "topk-lists")
+    rows = qs.join(lists, "vec").select(F.col("id").alias("query"), F.explode("best").alias("b")).select("query", "b.*")
+    return TopK(rows, top.scored)
+
+
 def _ordered(shared, width: int):
     """Adds the order in which a query block visits item blocks; it is stored, so every round sees the same one."""
 
     def run(batches):
         for b in batches:
             visit = []
-            for mat in b.column(2):
-                u = _unit(np.frombuffer(mat.as_py()).reshape(-1, width))[0]
+            for ids, mat in zip(b.column(1), b.column(2)):
+                u = _unit(_read_matrix(mat.as_py(), len(ids), width))[0]
                 total = np.zeros(len(shared.value.blk))
                 for at in range(0, len(u), 256):
                     total += shared.value(u[at:at + 256], np.ones(len(u[at:at + 256]))).sum(0)
@@ -231,14 +283,15 @@ def _ordered(shared, width: int):
     return run
 
 
-def _wanted(shared, width: int):
-    """(qblk, blk, open): the next item blocks that a query block still needs, and which of its queries do."""
+def _wanted(shared, width: int, tile: int):
+    """(qblk, igrp, blks, open, least): the next item blocks that a query block still needs, by tiles; for each of them
+    a bit per query that does, and the score that an item must reach for each query."""
 
     def run(frames):
         for pdf in frames:
             out: list[tuple] = []
-            for qblk, mat, visit, kth in zip(pdf["qblk"], pdf["mat"], pdf["visit"], pdf["kth"]):
-                u, n = _unit(np.frombuffer(mat).reshape(-1, width))
+            for qblk, rows, mat, visit, kth in zip(pdf["qblk"], pdf["rows"], pdf["mat"], pdf["visit"], pdf["kth"]):
+                u, n = _unit(_read_matrix(mat, rows, width))
                 if shared.value.cosine:
                     n = np.ones(len(n))
                 least = np.full(len(u), -np.inf)
@@ -247,29 +300,41 @@ def _wanted(shared, width: int):
                 at = np.searchsorted(shared.value.blk, np.asarray(visit, np.int32))
                 need = np.concatenate([shared.value(u[i:i + 256], n[i:i + 256])[:, at] >= least[i:i + 256, None]
                                        for i in range(0, len(u), 256)])
-                out += [(int(qblk), int(b), np.flatnonzero(need[:, j]).tolist())
-                        for j, b in enumerate(visit) if need[:, j].any()]
-            yield pd.DataFrame(out, columns=["qblk", "blk", "open"])
+                tiles: dict = {}
+                for j, b in enumerate(visit):
+                    if need[:, j].any():
+                        tiles.setdefault(int(b) // tile, []).append((int(b), np.packbits(need[:, j]).tobytes()))
+                out += [(int(qblk), t, [b for b, _ in x], [o for _, o in x], least.tobytes()) for t, x in tiles.items()]
+            yield pd.DataFrame(out, columns=["qblk", "igrp", "blks", "open", "least"])
 
     return run
 
 
 def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Schema):
-    """Each open query's best ``k`` of one item block, and one row with the number of pairs scored."""
+    """Of one tile, every score that can be among a query's best ``k``, and one row with the number of pairs scored."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, pairs = [], 0
-        if right.num_rows:
-            ids = right.column("ids")[0].as_py()
-            order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i]))  # ties: the smaller id, null first
-            ids = [ids[i] for i in order]
-            where: dict = {}
-            for i, x in enumerate(ids):
-                where.setdefault(x, []).append(i)
-            x = np.frombuffer(right.column("mat")[0].as_py()).reshape(-1, width)[order]
-            x_norm = np.sqrt((x * x).sum(1))
-            for qblk, q_ids, mat, open_ in zip(*(left.column(c) for c in ("qblk", "q_ids", "q_mat", "open"))):
-                qblk, q_ids, open_ = qblk.as_py(), q_ids.as_py(), np.asarray(open_.as_py(), np.int64)
-                m = np.frombuffer(mat.as_py()).reshape(-1, width)
+        at_item, pairs, cols = {b: i for i, b in enumerate(right.column("b").to_pylist())}, 0, [[] for _ in range(5)]
+        items: dict = {}
+
+        def item_block(b):
+            if b not in items:
+                ids = right.column("ids")[at_item[b]].as_py()
+                order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i]))  # ties: the smaller id, null first
+                x = _read_matrix(right.column("mat")[at_item[b]].as_py(), len(ids), width)[order]
+                ids = [ids[i] for i in order]
+                where: dict = {}
+                for i, v in enumerate(ids):
+                    where.setdefault(v, []).append(i)
+                items[b] = ids, where, x, np.sqrt((x * x).sum(1))
+            return items[b]
+
+        for qblk, blks, opens, least, q_ids, mat in zip(*(left.column(c) for c in ("qblk", "blks", "open", "least", "q_ids", "q_mat"))):
+            qblk, q_ids, least = qblk.as_py(), q_ids.as_py(), np.frombuffer(least.as_py())
+            m = _read_matrix(mat.as_py(), len(q_ids), width)
+            places, names, points = [], [], []
+            for b, bits in zip(blks.as_py(), opens.as_py()):
+                ids, where, x, x_norm = item_block(b)
+                open_ = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))[:len(m)])
                 pairs += len(open_) * len(x)
                 for at in range(0, len(open_), 256):
                     pos = open_[at:at + 256]
@@ -283,8 +348,8 @@ def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Sch
                         for r, p in enumerate(pos):
                             rough[r, where.get(q_ids[p], [])] = -np.inf
                     c = min(k, len(x))
-                    edge = np.partition(rough, len(x) - c, 1)[:, len(x) - c]
                     slack = SLACK if cosine else SLACK * scale.max(1)
+                    edge = np.maximum(np.partition(rough, len(x) - c, 1)[:, len(x) - c], least[pos])
                     row, col = np.nonzero((rough >= (edge - slack)[:, None]) & (rough > -np.inf))
                     # the score itself: sums in an order that does not depend on where a vector stands
                     score = (q[row] * x[col]).sum(1)
@@ -292,11 +357,22 @@ def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Sch
                         score /= q_norm[row] * x_norm[col]
                     best = np.lexsort((col, -score, row))
                     row, col, score = row[best], col[best], score[best]
-                    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-                    out += [(q_ids[pos[r]], ids[c], s, qblk, int(pos[r]), None)
-                            for r, c, s in zip(row[keep].tolist(), col[keep].tolist(), score[keep].tolist())]
-        out.append((None, None, None, None, None, pairs))
-        return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    keep = (np.arange(len(row)) - np.searchsorted(row, row) < k) & (score >= least[pos[row]])
+                    places.append(pos[row[keep]])
+                    points.append(score[keep])
+                    names += [ids[c] for c in col[keep].tolist()]
+            place, score = np.concatenate(places), np.concatenate(points)
+            # over the blocks of the tile: no score below a query's k-th one; equal ones all stay
+            best = np.lexsort((-score, place))
+            first = np.searchsorted(place[best], place[best])
+            last = np.minimum(first + k, np.searchsorted(place[best], place[best], "right")) - 1
+            for i in best[score[best] >= score[best][last]].tolist():
+                for c, v in zip(cols, (q_ids[place[i]], names[i], score[i], qblk, int(place[i]))):
+                    c.append(v)
+        for c in cols:
+            c.append(None)
+        counts = [None] * (len(cols[0]) - 1) + [pairs]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip([*cols, counts], schema)], schema=schema)
 
     return run
 
@@ -350,10 +426,11 @@ def pairs_above(vectors: DataFrame, tau: float, id_col: str = "id", vec_col: str
         out: list[tuple] = []
         if right.num_rows:
             ids, b_blk = right.column("ids")[0].as_py(), right.column("b")[0].as_py()
-            x = np.frombuffer(right.column("mat")[0].as_py()).reshape(-1, width)
+            x = _read_matrix(right.column("mat")[0].as_py(), len(ids), width)
             x_norm = np.sqrt((x * x).sum(1))
             for qblk, q_ids, mat in zip(*(left.column(c) for c in ("qblk", "q_ids", "q_mat"))):
-                q_ids, q = q_ids.as_py(), np.frombuffer(mat.as_py()).reshape(-1, width)
+                q_ids = q_ids.as_py()
+                q = _read_matrix(mat.as_py(), len(q_ids), width)
                 q_norm = np.sqrt((q * q).sum(1))
                 for at in range(0, len(q), 256):
                     cos = (q[at:at + 256] @ x.T) / (q_norm[at:at + 256, None] * x_norm[None, :])

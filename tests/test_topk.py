@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from quarry.operators import recommend as R
@@ -149,3 +150,31 @@ def test_letter_cosine_equals_the_character_join(spark):
     a = {(r.key_a, r.key_b, round(r.cosine, 9)) for r in S.char_cosine_join(df, "k", "t", 0.8, S.LATIN_CLASS).collect()}
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "abcdefghijklmnopqrstuvwxyz"
     assert a == {(r.key_a, r.key_b, round(r.cosine, 9)) for r in S.letter_cosine_join(df, "k", "t", 0.8, letters).collect()}
+
+
+def test_equal_vectors_are_scored_once(spark):
+    """Every row of equal queries and items used to be scored: 400 by 600 here."""
+    rng = np.random.default_rng(5)
+    q, x = rng.integers(-4, 5, (4, 3)) / 4 + 0.125, rng.integers(-4, 5, (6, 3)) / 4
+    users = spark.createDataFrame([(i, q[i % 4].tolist()) for i in range(400)], "id int, features array<double>")
+    items = spark.createDataFrame([(i, x[i * 7 % 6].tolist()) for i in range(600)], "id int, features array<double>")
+    t = topk.top_k(users, items, 5, block=64)
+    got = {}
+    for r in t.rows.collect():
+        got.setdefault(r["query"], []).append((r["rank"], r["item"], r["score"]))
+    for u in range(400):
+        best = sorted((-float((q[u % 4] * x[i * 7 % 6]).sum()), i) for i in range(600))[:5]
+        assert sorted(got[u]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert len(got) == 400 and t.scored.first()["scored"] <= 4 * 30
+
+
+def test_a_query_block_is_sent_once_to_a_tile(spark):
+    """It used to be sent once for every item block that it needs."""
+    n, width, tile = 64, 3, 4
+    rng = np.random.default_rng(6)
+    summary = pd.DataFrame({"blk": range(12), "centre": list(rng.normal(size=(12, width))), "widest": 3.2, "most": 1.0, "least": 1.0})
+    shared = type("Shared", (), {"value": topk._Bounds(summary, False)})()
+    one = pd.DataFrame([(0, n, rng.normal(size=(n, width)).tobytes(), list(range(12)), None)],
+                       columns=["qblk", "rows", "mat", "visit", "kth"])
+    out = pd.concat(topk._wanted(shared, width, tile)([one]))
+    assert sorted(out["igrp"]) == [0, 1, 2] and sorted(b for x in out["blks"] for b in x) == list(range(12))
