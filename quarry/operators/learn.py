@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from quarry import fixed
 from quarry.operators.text import WORD_PATTERN
 
+#: Texts are dealt to so many tasks that each has about so many bytes.
+TASK_BYTES = 64 << 20
+
 
 def text_features(text_col: str = "text", num_features: int = fixed.LR_FEATURES, raw_tokens: bool = False) -> list:
     """Tokens -> hashed term frequencies -> IDF.
@@ -81,8 +84,9 @@ def predict_rows(model: PipelineModel, df: DataFrame, feature_cols: Sequence[str
 
 def cluster_features(df: DataFrame, text_col: str = "text", num_features: int = fixed.KMEANS_FEATURES) -> DataFrame:
     """``df`` with its TF-IDF vectors in ``features`` (O96), dealt evenly: a fit reads them in every iteration, and a
-    file of one row group would leave all of it to one task."""
-    even = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    file of one row group would leave all of it to one task. A task is dealt about ``TASK_BYTES`` of text."""
+    text = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    even = df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-text // TASK_BYTES)))
     return Pipeline(stages=text_features(text_col, num_features)).fit(even).transform(even)
 
 

@@ -77,3 +77,11 @@ def test_train_test_split(spark):
     assert sorted(r.id for r in tr.collect()) == sorted(r.id for r in L.train_test_split(df, "id")[0].collect())
     a, b = L.train_test_split(df, seed=7)
     assert a.count() + b.count() == 2000
+
+
+def test_features_are_dealt_by_size(spark, monkeypatch):
+    """Twelve cores used to mean twelve tasks, however much text there was."""
+    monkeypatch.setattr(L, "TASK_BYTES", 100, raising=False)
+    df = spark.createDataFrame([("some words of text " * 3,)] * 200, "text string")
+    out = L.cluster_features(df, num_features=16)
+    assert out.rdd.getNumPartitions() >= 100 and out.count() == 200
