@@ -100,6 +100,9 @@ def path_to(dist: DataFrame, target) -> list:
 
 # ---------------------------------------------------------------- two nodes
 
+#: Up to so many open nodes are sent to the edges, and no edge is moved.
+SMALL_FRONTIER = 50_000
+
 class _Side:
     """One direction of a two-sided search: (node, dist, pred, active), kept in the shared folder."""
 
@@ -115,10 +118,8 @@ class _Side:
     def expand(self, bound: float | None) -> None:
         """One round: every active node nearer than ``bound`` offers its edges; the others can be on no better path."""
         near = F.lit(True) if bound is None else F.col("dist") < F.lit(bound)
-        go = self.dist.where(F.col("active") & near).select(
-            F.col("node").alias("src"), F.col("dist").alias("upto"),
-            F.explode(F.sequence(F.lit(0), F.lit(self.salt - 1))).alias("_s"))
-        offers = go.join(self.edges, ["src", "_s"]).select(
+        go = self.dist.where(F.col("active") & near).select(F.col("node").alias("src"), F.col("dist").alias("upto"))
+        offers = self._offers(go).select(
             F.col("dst").alias("node"), (F.col("upto") + F.col("cost")).alias("offer"), F.col("src").alias("via"))
         best = offers.groupBy("node").agg(F.min(F.struct("offer", "via")).alias("b")).select("node", "b.offer", "b.via")
         better = F.col("offer").isNotNull() & (F.col("dist").isNull() | (F.col("offer") < F.col("dist")))
@@ -128,6 +129,12 @@ class _Side:
             (better | (F.coalesce("active", F.lit(False)) & ~F.coalesce(near, F.lit(False)))).alias("active")).checkpoint()
         self.measure()
 
+    def _offers(self, go: DataFrame) -> DataFrame:
+        if self.n_active <= SMALL_FRONTIER:
+            return self.edges.join(F.broadcast(go), "src")
+        copies = go.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(self.salt - 1))))
+        return copies.join(self.edges, ["src", "_s"])
+
     def measure(self) -> None:
         r = self.dist.agg(F.min(F.when(F.col("active"), F.col("dist"))).alias("least"),
                           F.count(F.when(F.col("active"), 1)).alias("n"),

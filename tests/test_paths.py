@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import paths as P
 
@@ -92,3 +93,16 @@ def test_route_edge_cases(spark):
     assert P.cheapest_route(df.limit(0), 1, 2).rows.collect() == []
     with pytest.raises(ValueError):
         P.cheapest_route(spark.createDataFrame([(1, 2, -1.0)], "src int, dst int, cost double"), 1, 2)
+
+
+def test_a_small_frontier_does_not_move_the_edges(spark, monkeypatch):
+    """All edges used to be shuffled and sorted in every round, however few nodes were open."""
+    df = spark.createDataFrame([(i, (i + j + 1) % 9, float(j + 1)) for i in range(9) for j in range(3)],
+                               "src int, dst int, cost double")
+    side = P._Side(df, 0, "int", 8)
+    go = side.dist.where("active").select(F.col("node").alias("src"), F.col("dist").alias("upto"))
+    assert "hashpartitioning" not in side._offers(go)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(P, "SMALL_FRONTIER", 0)
+    far = side._offers(go).select("src", "dst", "cost", "upto").collect()
+    monkeypatch.undo()
+    assert sorted(far) == sorted(side._offers(go).select("src", "dst", "cost", "upto").collect()) and len(far) == 3
