@@ -141,7 +141,9 @@ def phrase_dictionary_terms(spark, sf):
     dictionary = (load(spark, sf, "benchmark").select(ws.alias("ws")).where(F.size("ws") > 1)
                   .select(F.explode(pairs).alias("phrase")).distinct())
     docs = phrase_tokens(load(spark, sf, "documents").select("text"), dictionary, stop_words=X.STOP_WORDS)
-    return (docs.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("count")))
+    # explode_outer: explode would have the tokens worked out twice, once to filter texts by their number
+    terms = docs.select(F.explode_outer("toks").alias("term")).where(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
 
 @query("whitespace_token_counts", ops="O85", sql="""

@@ -59,3 +59,24 @@ def test_ten_thousand_phrases_and_a_long_text(spark):
         want.append(re.sub(" ", "", pair) if pair in held else tokens[at])
         at += 2 if pair in held else 1
     assert got == [want, ["no", "match", "here"]]
+
+
+def test_one_lookup_a_token_where_phrases_have_one_form(spark, monkeypatch):
+    kept = {}
+
+    def stored(df, name):
+        kept[name] = store(df, name)
+        return kept[name]
+
+    store = P.stored
+    monkeypatch.setattr(P, "stored", stored)
+    phrases = ["of " + "x" * n + " " for n in range(1, 9)]
+    got, want = both(spark, ["of xx of xxx, of  x of xxxxxxxxx of x"], phrases)
+    assert got == want and got[0][0] == "ofxx"
+    assert [len(r.forms) for r in kept["phrase-beginnings"].collect()] == [1]  # however many lengths there are
+    assert "phrase-starts" not in kept  # nothing ends inside a word: no second pass over the texts
+
+
+def test_a_control_character_is_no_blank(spark):
+    got, want = both(spark, ["x\u0001y z", "x y z"], ["x y "])
+    assert got == want == {0: ["x", "y", "z"], 1: ["xy", "z"]}
