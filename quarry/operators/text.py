@@ -121,17 +121,25 @@ class ExactNaiveBayes:
     ``pi_c = ln(n_c + lam) - ln(N + C*lam)``,
     ``theta_ct = ln(cnt_ct + lam) - ln(sum_t cnt_ct + V*lam)``.
     Scoring never builds the (class x vocabulary) matrix nor a (document x
-    class) cross product: ``score = pi_c - den_c * len_d + sum_t tf * ln(cnt_ct + lam)``
-    where the last sum only touches terms seen with the class; the per-class
-    constants are the model (C rows) and travel as literals.
+    class) cross product: ``score = pi_c - den_c * len_d + sum_t tf * ln(cnt_ct + lam)``;
+    the per-class constants are the model (C rows) and travel as literals.
+
+    Term counts are only summed, so a term may come in several rows of a
+    document (every occurrence with ``tf`` 1, say). Most occurrences are of few
+    terms: the terms that make up at least one part in ``HOT_TERMS`` of the
+    training set, at most that many, are broadcast, and only occurrences of
+    the others are shuffled to the model.
     """
 
+    HOT_TERMS = 50_000
+
     def __init__(self, lam: float = 1.0):
         self.lam = lam
 
     def fit(self, tf: DataFrame, labels: DataFrame, doc_id: str, label: str) -> "ExactNaiveBayes":
+        """``labels``: a row per training document; ``tf`` has their terms, with or without the column ``label``."""
         lam = self.lam
-        lt = tf.join(labels.select(doc_id, label), doc_id)
+        lt = tf if label in tf.columns else tf.join(labels.select(doc_id, label), doc_id)
         # One row per term: its count in every class it was seen with. Read by
         # the fit's totals and by every scoring pass, so it is stored once.
         counts = lt.groupBy("term", label).agg(F.sum("tf").alias("cnt"))
@@ -148,13 +156,20 @@ class ExactNaiveBayes:
         self.pi = {k: math.log(v[0] + lam) - math.log(n_docs + c * lam) for k, v in per_class.items()}
         self.den = {k: math.log((v[1] or 0) + vocab * lam) for k, v in per_class.items()}
         self.label = label
+        self.least_hot = sum(v[1] or 0 for v in per_class.values()) / self.HOT_TERMS
         return self
 
     def predict(self, tf: DataFrame, docs: DataFrame, doc_id: str, out: str = "prediction") -> DataFrame:
         lam = F.lit(self.lam)
-        part = [F.sum(F.col("tf") * F.log(F.try_element_at("by_class", F.lit(c)) + lam)).alias(f"_s{i}")
-                for i, c in enumerate(self.classes)]
-        sparse = tf.join(self.terms, "term").groupBy(doc_id).agg(F.sum("tf").alias("_len"), *part)
+        seen = F.aggregate(F.map_values("by_class"), F.lit(0).cast("bigint"), lambda a, n: a + n)
+        logs = [F.log(F.coalesce(F.try_element_at("by_class", F.lit(c)), F.lit(0)) + lam) for c in self.classes]
+        weights = self.terms.select("term", (seen >= F.lit(self.least_hot)).alias("hot"), F.array(*logs).alias("w"))
+        hot = F.broadcast(weights.where("hot").drop("hot"))  # at most HOT_TERMS rows
+        tf = tf.select(doc_id, "term", "tf")
+        rare = tf.join(hot.select("term"), "term", "left_anti").join(weights.where("NOT hot").drop("hot"), "term")
+        met = tf.join(hot, "term").unionByName(rare)
+        part = [F.sum(F.col("tf") * F.get("w", F.lit(i))).alias(f"_s{i}") for i in range(len(self.classes))]
+        sparse = met.groupBy(doc_id).agg(F.sum("tf").alias("_len"), *part)
         d = docs.join(sparse, doc_id, "left")
         ln = F.coalesce(F.col("_len"), F.lit(0)).cast("double")
         scores = [F.struct((F.lit(self.pi[c]) - F.lit(self.den[c]) * ln

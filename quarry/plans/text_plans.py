@@ -88,15 +88,22 @@ SELECT doc_id, lang, arg_max(cls, score) AS prediction FROM sc GROUP BY doc_id,
 """)
 def naive_bayes_scores(spark, sf):
     """Train on the documents that have a row in ``labels``, score all others."""
-    docs = load(spark, sf, "documents").select("doc_id", "lang")
+    docs = load(spark, sf, "documents")
     labelled = load(spark, sf, "labels").select("doc_id")
-    # Term counts feed the fit and the scoring: tokenise once.
-    tf = stored(doc_terms(spark, sf), "term-counts")
-    train_docs = docs.join(labelled, "doc_id", "left_semi")
-    model = X.ExactNaiveBayes(1.0).fit(tf.join(train_docs.select("doc_id"), "doc_id", "left_semi"),
-                                       train_docs, "doc_id", "lang")
-    test_docs = docs.join(labelled, "doc_id", "left_anti")
-    return model.predict(tf.join(test_docs.select("doc_id"), "doc_id", "left_semi"), test_docs, "doc_id")
+    train_docs = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_semi")
+    test_docs = docs.select("doc_id", "lang").join(labelled, "doc_id", "left_anti")
+    # Texts meet their labels once and are tokenised once; an id that documents share has all their labels.
+    langs = train_docs.groupBy("doc_id").agg(F.collect_list("lang").alias("langs"))
+    toks = stored(docs.select("doc_id", "text").join(langs, "doc_id", "left")
+                  .select("doc_id", "langs", X.tokens("text", stop_words=None).alias("toks")), "tokens")
+
+    def terms(rows, *keep):
+        one = rows.select(*keep, F.explode("toks").alias("term")).where(~F.col("term").isin(*X.STOP_WORDS))
+        return one.withColumn("tf", F.lit(1).cast("bigint"))
+
+    train = toks.where("langs IS NOT NULL").select("doc_id", F.explode("langs").alias("lang"), "toks")
+    model = X.ExactNaiveBayes(1.0).fit(terms(train, "doc_id", "lang"), train_docs, "doc_id", "lang")
+    return model.predict(terms(toks.where("langs IS NULL"), "doc_id"), test_docs, "doc_id")
 
 
 # User phrases kept whole by the tokeniser in ``phrase_terms``.

@@ -1,5 +1,7 @@
 import math
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import split_words
@@ -62,3 +64,51 @@ def test_hash_split_is_repeatable(spark):
     a = df.where(X.hash_split("id")).count()
     assert a == df.where(X.hash_split("id")).count()
     assert 600 < a < 800
+
+
+@pytest.mark.parametrize("hot_terms", [1, 4, 50_000])
+def test_exact_naive_bayes_shuffles_only_rare_terms(spark, monkeypatch, hot_terms):
+    rows = [(1, "en", "the cat the dog the"), (2, "fr", "le chat le chien"), (3, "en", "dog dog cat xyz"),
+            (4, None, "the the cat le"), (5, None, "le chien xyz unseen"), (6, None, "")]
+    toks = (spark.createDataFrame(rows, "doc_id int, lang string, text string")
+            .select("doc_id", "lang", F.explode_outer(F.split("text", " ")).alias("term")).where("term <> ''")
+            .withColumn("tf", F.lit(1)))  # occurrences, not counts, with their label
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id int, lang string")
+    monkeypatch.setattr(X.ExactNaiveBayes, "HOT_TERMS", hot_terms)
+    lam = 0.5
+    model = X.ExactNaiveBayes(lam).fit(toks.where("doc_id <= 3"), docs.where("doc_id <= 3"), "doc_id", "lang")
+    got = {r.doc_id: r.prediction for r in model.predict(toks.where("doc_id > 3").drop("lang"), docs.where("doc_id > 3"), "doc_id").collect()}
+    known = Counter(), {"en": Counter(), "fr": Counter()}
+    for _, lang, text in rows[:3]:
+        known[0].update(text.split())
+        known[1][lang].update(text.split())
+    want = {}
+    for i, _, text in rows[3:]:
+        want[i] = max(("en", "fr"), key=lambda c: math.log((2 if c == "en" else 1) + lam) + sum(
+            math.log((known[1][c][w] + lam) / (known[1][c].total() + lam * len(known[0]))) for w in text.split() if w in known[0]))
+    assert got == want
+
+
+def test_naive_bayes_scores_shuffles_no_term_counts(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from quarry.plans import text_plans
+    from quarry.plans.registry import REGISTRY
+
+    kept = {}
+
+    def stored(df, name):
+        kept[name] = df
+        return store(df, name)
+
+    store = text_plans.stored
+    monkeypatch.setattr(text_plans, "stored", stored)
+    spark.createDataFrame([(1, "The cat", "en"), (2, "le chat", "fr"), (2, "le chien", "en"), (3, "chat chat", "fr"), (4, None, "en")],
+                          "doc_id int, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1,), (2,), (2,), (9,)], "doc_id int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = sorted((r.doc_id, r.lang, r.prediction) for r in text_plans.naive_bayes_scores(spark, str(tmp_path)).collect())
+    duck = duckdb.connect()
+    for name in ("documents", "labels"):
+        duck.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert got == sorted(duck.sql(REGISTRY["naive_bayes_scores"].sql).fetchall()) and len(got) == 2
+    assert list(kept) == ["tokens"] and kept["tokens"].count() == 5  # a row a text, no rows of (document, term)
