@@ -9,10 +9,14 @@ from quarry.llm._shared import materialise
 
 
 def _joined(edges: DataFrame, low: DataFrame, salt: int) -> DataFrame:
-    """Each edge (u, v) with the smallest neighbour m of u; a hub's edges meet in ``salt`` tasks, not one."""
+    """Each edge (u, v) with the smallest neighbour m of u; a hub's edges meet in ``salt`` tasks, not one.
+
+    Always a shuffled join: the planner does not count the ``salt`` copies of a row, and would
+    have the driver build a broadcast of ``salt`` times the size that it allows.
+    """
     spread = edges.withColumn("_s", F.pmod(F.xxhash64(F.lit(13), "v"), F.lit(salt)).cast("int"))
     copies = low.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return spread.join(copies, ["u", "_s"]).drop("_s")
+    return spread.join(copies.hint("merge"), ["u", "_s"]).drop("_s")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", salt: int = 16) -> DataFrame:
