@@ -16,8 +16,10 @@ pivots (``PIVOTS`` rows) and the block summaries (at most ``MAX_BLOCKS`` rows;
 the blocks grow beyond ``BLOCK`` rows when there would be more). Blocks meet in
 tiles of neighbouring query blocks by neighbouring item blocks: a round sends a
 query block once to each tile it needs, an item block likewise, and a task is
-handed at most ``TILE`` bytes of either (one block, if that is more). Only
-scores that reach a query's k-th best so far leave the task.
+handed at most ``TILE`` bytes of either (one block, if that is more). A pair is
+first scored in single precision and compared with the k-th best so far, less
+what rounding can amount to; only pairs that pass are scored in double
+precision, and only scores that reach that k-th best leave the task.
 
 Where at most half of the vectors of a table differ, equal ones are handled
 once: queries of one vector share their list, and of the items of one vector
@@ -45,7 +47,7 @@ PIVOTS = 128
 GROUP = 8
 TILE = 16 << 20
 STRATA = 64
-#: Bounds and first scores are taken this much (relative) more generously than double rounding asks for.
+#: Bounds are taken this much (relative) more generously than double rounding asks for.
 SLACK = 1e-9
 
 
@@ -88,6 +90,12 @@ def _read_matrix(mat: bytes, rows: int, width: int) -> np.ndarray:
     return np.frombuffer(mat, kind).reshape(rows, width).astype(np.float64)
 
 
+def _short(m: np.ndarray, size) -> np.ndarray:
+    """The rows over ``size`` (0: as they are) in single precision."""
+    size = np.broadcast_to(size, len(m))
+    return (m / np.where(size > 0, size, 1.0)[:, None]).astype(np.float32)
+
+
 def _unit(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = np.sqrt((m * m).sum(1))
     return m / np.where(n > 0, n, 1.0)[:, None], n
@@ -312,9 +320,15 @@ def _wanted(shared, width: int, tile: int):
 
 def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Schema):
     """Of one tile, every score that can be among a query's best ``k``, and one row with the number of pairs scored."""
+    # twice the most by which sums of ``width`` products in single precision, of rounded numbers, miss those of unit vectors
+    slack = (width + 8) * 2.0 ** -22
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         at_item, pairs, cols = {b: i for i, b in enumerate(right.column("b").to_pylist())}, 0, [[] for _ in range(5)]
         items: dict = {}
+        # written again by every strip: fresh memory for each would take longer than the products
+        strip = 256 * max((len(ids) for ids in right.column("ids")), default=0)
+        room, passed = np.empty(strip, np.float32), np.empty(strip, bool)
 
         def item_block(b):
             if b not in items:
@@ -323,36 +337,51 @@ def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Sch
                 x = _read_matrix(right.column("mat")[at_item[b]].as_py(), len(ids), width)[order]
                 ids = [ids[i] for i in order]
                 where: dict = {}
-                for i, v in enumerate(ids):
+                for i, v in enumerate(ids if exclude_same else ()):
                     where.setdefault(v, []).append(i)
-                items[b] = ids, where, x, np.sqrt((x * x).sum(1))
+                x_norm = np.sqrt((x * x).sum(1))
+                # for the first look: in single precision, unit vectors or (inner product) at most as long
+                size = x_norm if cosine else x_norm.max()
+                items[b] = ids, where, x, x_norm, size, np.ascontiguousarray(_short(x, size).T)
             return items[b]
 
         for qblk, blks, opens, least, q_ids, mat in zip(*(left.column(c) for c in ("qblk", "blks", "open", "least", "q_ids", "q_mat"))):
             qblk, q_ids, least = qblk.as_py(), q_ids.as_py(), np.frombuffer(least.as_py())
             m = _read_matrix(mat.as_py(), len(q_ids), width)
+            m_norm = np.sqrt((m * m).sum(1))
+            short = _short(m, m_norm)
             places, names, points = [], [], []
             for b, bits in zip(blks.as_py(), opens.as_py()):
-                ids, where, x, x_norm = item_block(b)
+                ids, where, x, x_norm, size, x_short = item_block(b)
                 open_ = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))[:len(m)])
                 pairs += len(open_) * len(x)
+                with np.errstate(over="ignore"):
+                    need = least if cosine else least / np.where(m_norm > 0, m_norm, 1.0) / (size if size > 0 else 1.0)
+                c = min(k, len(x))
                 for at in range(0, len(open_), 256):
                     pos = open_[at:at + 256]
-                    q = m[pos]
-                    q_norm = np.sqrt((q * q).sum(1))
-                    rough = q @ x.T
-                    scale = q_norm[:, None] * x_norm[None, :]
-                    if cosine:
-                        rough /= scale
+                    rough = room[:len(pos) * len(x)].reshape(len(pos), len(x))
+                    np.matmul(short[pos], x_short, out=rough)
                     if exclude_same:
                         for r, p in enumerate(pos):
                             rough[r, where.get(q_ids[p], [])] = -np.inf
-                    c = min(k, len(x))
-                    slack = SLACK if cosine else SLACK * scale.max(1)
-                    edge = np.maximum(np.partition(rough, len(x) - c, 1)[:, len(x) - c], least[pos])
-                    row, col = np.nonzero((rough >= (edge - slack)[:, None]) & (rough > -np.inf))
+                    edge = need[pos]
+                    new = np.flatnonzero(edge == -np.inf)  # fewer than k items so far: this block's own k-th score
+                    if len(new):
+                        edge[new] = np.partition(rough[new], len(x) - c, 1)[:, len(x) - c]
+                    # rounded down, so that no item is lost that the margin would keep
+                    edge = np.nextafter((edge - slack).astype(np.float32), np.float32(-np.inf))
+                    hit = passed[:rough.size].reshape(rough.shape)
+                    hit = np.flatnonzero(np.greater_equal(rough, edge[:, None], out=hit).ravel())
+                    if not len(hit):
+                        continue
+                    row, col = np.divmod(hit, len(x))
+                    real = rough[row, col] > -np.inf
+                    row, col = row[real], col[real]
+                    q, q_norm = m[pos], m_norm[pos]
                     # the score itself: sums in an order that does not depend on where a vector stands
-                    score = (q[row] * x[col]).sum(1)
+                    score = np.concatenate([(q[row[i:i + 16384]] * x[col[i:i + 16384]]).sum(1)
+                                            for i in range(0, len(row), 16384)] or [np.empty(0)])
                     if cosine:
                         score /= q_norm[row] * x_norm[col]
                     best = np.lexsort((col, -score, row))
@@ -361,6 +390,8 @@ def _scored(k: int, width: int, cosine: bool, exclude_same: bool, schema: pa.Sch
                     places.append(pos[row[keep]])
                     points.append(score[keep])
                     names += [ids[c] for c in col[keep].tolist()]
+            if not places:
+                continue
             place, score = np.concatenate(places), np.concatenate(points)
             # over the blocks of the tile: no score below a query's k-th one; equal ones all stay
             best = np.lexsort((-score, place))
